@@ -15,6 +15,7 @@ from .. import params
 
 __all__ = [
     "canonical_delay", "is_served", "is_revenue", "utc_wall_clock", "service_date",
+    "service_date_of",
     "day_of_week", "safe_int", "is_suburban", "sched_hour", "delay_seconds_int",
     "delay_minutes", "is_late", "is_on_time", "is_raining", "condition_label",
 ]
@@ -54,11 +55,30 @@ def utc_wall_clock(df: DataFrame, col: str, session_zone: str) -> Column:
     return F.convert_timezone(F.lit(session_zone), F.lit("UTC"), ntz)
 
 
+_UTC_NAMES = {"UTC", "Z", "GMT", "Etc/UTC", "Etc/GMT", "+00:00", "UCT", "Zulu"}
+
+
 def service_date(utc_ntz: Column, zone: str = params.SERVICE_ZONE) -> Column:
-    """Calendar date of a UTC instant in the service zone (zone-independent)."""
+    """Calendar date of a UTC instant (as UTC wall clock NTZ) in the service zone."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_ntz))
 
 
+def service_date_of(df: DataFrame, col: str, zone: str = params.SERVICE_ZONE) -> Column:
+    """P4 for a TIMESTAMP or TIMESTAMP_NTZ column of ``df``, right under any session zone.
+
+    Under a UTC session (the package default) it is ``to_date(from_utc_timestamp(ts, zone))``,
+    whose zone rules are resolved once per task; under any other session zone
+    it falls back to ``convert_timezone``, which resolves the zone per row.
+    """
+    session_zone = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
+    if session_zone in _UTC_NAMES:
+        ts = F.col(col)
+        if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+            ts = ts.cast(T.TimestampType())      # identity on the micros under UTC
+        return F.to_date(F.from_utc_timestamp(ts, zone))
+    return service_date(utc_wall_clock(df, col, session_zone), zone)
+
+
 def day_of_week(date_col="service_date") -> Column:
     """P5: three-letter day name, e.g. ``Thu``."""
     return F.date_format(_c(date_col), "E")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .. import params
 from ..functions import columns as C
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, left_join_small
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, left_join_small, small_enough
 from .latest import latest_per_key
 
 EVENT_KEYS = ("trip_id", "service_date", "stop_id")
@@ -33,10 +33,6 @@ SILVER_COLUMNS = (
 )
 
 
-def _session_zone(df: DataFrame) -> str:
-    return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
-
-
 def prepare_updates(updates: DataFrame, zone: str = params.SERVICE_ZONE,
                     tie_breakers: Sequence[str] = (),
                     non_revenue_prefix: str = params.NON_REVENUE_PREFIX) -> DataFrame:
@@ -46,7 +42,7 @@ def prepare_updates(updates: DataFrame, zone: str = params.SERVICE_ZONE,
     captured_at, service_date and any ``tie_breakers`` columns.
     """
     delay = C.canonical_delay()
-    sd = C.service_date(C.utc_wall_clock(updates, "captured_at", _session_zone(updates)), zone)
+    sd = C.service_date_of(updates, "captured_at", zone)
     return (updates
             .where(delay.isNotNull() & C.is_served() & C.is_revenue(prefix=non_revenue_prefix))
             .select("trip_id", "route_id", "stop_id", delay.cast(T.DoubleType()).alias("delay_seconds"),
@@ -59,7 +55,8 @@ def latest_stop_events(prepared: DataFrame, tie_breakers: Sequence[str] = ()) ->
 
 
 def join_schedule(events: DataFrame, stop_times: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
     """J3 + P8 + P11: scheduled arrival by (trip_id, stop_id).
 
     A timetable with duplicate (trip, stop) rows fans the event out, as the
@@ -67,7 +64,7 @@ def join_schedule(events: DataFrame, stop_times: DataFrame,
     """
     st = stop_times.select("trip_id", "stop_id", F.col("arrival_time").alias("sched_arrival"),
                            F.lit(True).alias("_st_hit"))
-    out = left_join_small(events, st, ["trip_id", "stop_id"], max_broadcast_rows)
+    out = left_join_small(events, st, ["trip_id", "stop_id"], max_broadcast_rows, small=small)
     return (out.withColumn("sched_hour", C.sched_hour("sched_arrival"))
                .withColumn("schedule_matched", F.coalesce(F.col("_st_hit"), F.lit(False)))
                .drop("_st_hit"))
@@ -75,23 +72,27 @@ def join_schedule(events: DataFrame, stop_times: DataFrame,
 
 def join_routes(events: DataFrame, routes: DataFrame,
                 pattern: str = params.SUBURBAN_LINE_PATTERN,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
     """J1 + P6 + P7: line code/name, tolerant route type and suburban flag by route_id."""
     r = routes.select("route_id", F.col("route_short_name").alias("line_code"),
                       F.col("route_long_name").alias("line_name"),
                       C.safe_int("route_type").alias("route_type"),
                       C.is_suburban("route_short_name", pattern).alias("is_suburban"))
-    return left_join_small(events, r, "route_id", max_broadcast_rows)
+    return left_join_small(events, r, "route_id", max_broadcast_rows, small=small)
 
 
 def join_stops(events: DataFrame, stops: DataFrame,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
     """Station name by stop_id."""
-    return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id", max_broadcast_rows)
+    return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id",
+                           max_broadcast_rows, small=small)
 
 
 def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.RAIN_MM,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                small: bool | None = None) -> DataFrame:
     """J4 + P12 + P13: hourly weather on (service_date, sched_hour).
 
     A NULL sched_hour never matches; missing weather gives is_raining FALSE.
@@ -99,7 +100,7 @@ def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.
     wx = weather.select(F.to_date("obs_date").alias("_wx_date"), F.col("obs_hour").alias("_wx_hour"),
                         "precip_mm", "temp_c")
     cond = (F.col("service_date") == F.col("_wx_date")) & (F.col("sched_hour") == F.col("_wx_hour"))
-    out = left_join_small(events, wx, cond, max_broadcast_rows)
+    out = left_join_small(events, wx, cond, max_broadcast_rows, small=small)
     return (out.drop("_wx_date", "_wx_hour")
                .withColumn("is_raining", C.is_raining("precip_mm", rain_mm)))
 
@@ -124,10 +125,13 @@ def build_silver(updates: DataFrame, routes: DataFrame, stops: DataFrame, stop_t
                  non_revenue_prefix: str = params.NON_REVENUE_PREFIX,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``)."""
+    # One bounded-count job decides which dimensions are broadcast.
+    small = small_enough({"stop_times": stop_times, "routes": routes, "stops": stops,
+                          "weather": weather}, max_broadcast_rows)
     ev = latest_stop_events(prepare_updates(updates, zone, tie_breakers, non_revenue_prefix),
                             tie_breakers)
-    ev = join_schedule(ev, stop_times, max_broadcast_rows)
-    ev = join_routes(ev, routes, pattern, max_broadcast_rows)
-    ev = join_stops(ev, stops, max_broadcast_rows)
-    ev = join_weather(ev, weather, rain_mm, max_broadcast_rows)
+    ev = join_schedule(ev, stop_times, max_broadcast_rows, small["stop_times"])
+    ev = join_routes(ev, routes, pattern, max_broadcast_rows, small["routes"])
+    ev = join_stops(ev, stops, max_broadcast_rows, small["stops"])
+    ev = join_weather(ev, weather, rain_mm, max_broadcast_rows, small["weather"])
     return finish_silver(ev, late_seconds)

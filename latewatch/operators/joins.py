@@ -1,14 +1,17 @@
 """Size-checked broadcast joins.
 
 A dimension is broadcast only after a bounded row count proves it small:
-``limit(max_rows + 1).count()`` stops counting at the bound, so the check is
-cheap on a scanned dimension and never pulls rows to the driver.  Beyond the
-bound the join is left to Spark as a shuffle join (sort-merge, with AQE
-skew-splitting), which works at any size.
+``limit(max_rows + 1)`` stops counting at the bound, so the check is cheap and
+never pulls rows to the driver.  Several dimensions are checked in one job
+(one ``union`` of their limited row streams).  Beyond the bound the join is
+left to Spark as a shuffle join (sort-merge, with AQE skew splitting), which
+works at any size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,17 +20,38 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
+def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, int]:
+    """Row count of each frame, capped at ``max_rows + 1``, computed in a single job."""
+    if not dfs:
+        return {}
+    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("_dim")) for name, df in dfs.items()]
+    rows = reduce(DataFrame.unionAll, parts).groupBy("_dim").count().collect()
+    got = {r["_dim"]: r["count"] for r in rows}
+    return {name: got.get(name, 0) for name in dfs}
+
+
+def small_enough(dfs: dict[str, DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, bool]:
+    """For each frame: does it have at most ``max_rows`` rows?"""
+    return {k: n <= max_rows for k, n in bounded_counts(dfs, max_rows).items()}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts no further than the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return small_enough({"df": df}, max_rows)["df"]
+
 
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    small: bool | None = None) -> DataFrame:
+    """``broadcast(df)`` when its size is proven under the bound, else ``df`` unchanged.
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven under the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+    ``small`` passes the result of an earlier (combined) check.
+    """
+    if small is None:
+        small = has_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
-def left_join_small(big: DataFrame, small: DataFrame, on: str | list | Column,
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, how: str = "left") -> DataFrame:
-    """``big`` LEFT JOIN ``small``, broadcasting ``small`` only when it is provably small."""
-    return big.join(maybe_broadcast(small, max_rows), on, how)
+def left_join_small(big: DataFrame, small_df: DataFrame, on: str | list | Column,
+                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, how: str = "left",
+                    small: bool | None = None) -> DataFrame:
+    """``big`` LEFT JOIN ``small_df``, broadcasting it only when it is provably small."""
+    return big.join(maybe_broadcast(small_df, max_rows, small), on, how)

@@ -8,8 +8,6 @@ oracle is the same computation as SQL text over the same parquet tables, or
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import aggregates as A
@@ -18,16 +16,7 @@ from ..operators import ranking as R
 from ..operators.enrich import build_silver
 from . import fixtures as fx
 from . import sql as Q
-
-Query = Callable[[SparkSession, str], DataFrame]
-CATALOG: dict[str, tuple[Query, str | None]] = {}
-
-
-def register(name: str, oracle: str | None):
-    def deco(fn: Query) -> Query:
-        CATALOG[name] = (fn, oracle)
-        return fn
-    return deco
+from .registry import CATALOG, Query, register
 
 
 def fixture_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +111,9 @@ FROM weather_delay GROUP BY CASE WHEN is_raining THEN 'Wet' ELSE 'Dry' END""", "
     lambda spark, d: D.widget_weather(A.weather_delay(fixture_silver(spark, d))))
 
 
+from . import q_operators, q_sources, q_model  # noqa: E402,F401  (register their queries)
+
+
 def queries() -> dict[str, Query]:
     return {k: fn for k, (fn, _) in CATALOG.items()}
 
