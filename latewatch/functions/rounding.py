@@ -13,10 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["exact_avg", "exact_pct", "round_ratio"]
+__all__ = ["exact_avg", "exact_pct", "round_ratio", "int_div"]
 
 
-def _int_div(x: Column, y: Column) -> Column:
+def int_div(x: Column, y: Column) -> Column:
     """Exact integer quotient of non-negative ``x`` by positive ``y`` (SQL ``x div y``).
 
     ``x - x % y`` is an exact multiple of ``y``, so the DECIMAL(38,0) division
@@ -33,7 +33,7 @@ def round_ratio(num: Column, den: Column, digits: int) -> Column:
     """
     a = F.abs(num).cast(T.LongType())
     den = den.cast(T.LongType())
-    q = _int_div(a * 2 + den, F.when(den > 0, den * 2))
+    q = int_div(a * 2 + den, F.when(den > 0, den * 2))
     signed = F.when(num < 0, -q).otherwise(q)
     return F.when(den > 0, signed.cast(T.DoubleType()) / F.lit(float(10 ** digits)))
 
