@@ -13,17 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import aggregates as A
 from ..operators import dashboard as D
 from ..operators import ranking as R
-from ..operators.enrich import build_silver
 from . import fixtures as fx
 from . import sql as Q
 from .registry import CATALOG, Query, register
 
 
-def fixture_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SIL: the silver table over the fixture views (ties broken by event_id, descending)."""
-    return build_silver(
-        fx.fx_trip_updates(spark, sf_dir), fx.fx_routes(spark, sf_dir), fx.fx_stops(spark, sf_dir),
-        fx.fx_stop_times(spark, sf_dir), fx.fx_weather(spark, sf_dir), tie_breakers=("event_id",))
+from .catalog_base import fixture_silver  # noqa: E402
 
 
 # --- J5 silver and the gold tables (A1-A6) ------------------------------------

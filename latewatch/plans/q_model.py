@@ -1,0 +1,152 @@
+"""Model queries (P14, M1-M9) over the fixture silver table.
+
+Fitted probabilities cannot be reproduced by SQL, so ``ml_encode``,
+``delay_predictions`` and ``scenario_scores`` are rows-only; the evaluation
+operators are checked on the deterministic score ``sched_hour / 24``.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import params
+from ..operators import model as M
+from .catalog_base import fixture_silver
+from . import sql as Q
+from .registry import register
+
+FEATURES_SQL = """
+SELECT trip_id, stop_id, service_date, coalesce(line_code, 'NA') AS line_code,
+  coalesce(day_of_week, 'NA') AS day_of_week, coalesce(sched_hour, -1) AS sched_hour,
+  coalesce(route_type, -1) AS route_type, coalesce(precip_mm, CAST(0 AS DOUBLE)) AS precip_mm,
+  CASE WHEN is_suburban THEN 1 ELSE 0 END AS is_suburban_i,
+  CASE WHEN is_raining THEN 1 ELSE 0 END AS is_raining_i,
+  coalesce(delay_minutes, CAST(0 AS DOUBLE)) AS delay_minutes,
+  CASE WHEN is_late_5min THEN 1 ELSE 0 END AS is_late_5min
+FROM silver WHERE line_code IS NOT NULL"""
+
+_H = (f"CAST('0x' || substr(md5(concat_ws('|', '{params.SPLIT_SEED}', coalesce(CAST(trip_id AS VARCHAR), ''), "
+      "coalesce(CAST(service_date AS VARCHAR), ''), coalesce(CAST(stop_id AS VARCHAR), ''))), 1, 12) AS BIGINT)")
+
+SPLIT_SQL = f"""
+SELECT h.*, h._h <= th.t AS is_test
+FROM (SELECT *, {_H} AS _h,
+        CASE WHEN (SELECT sum(is_late_5min) FROM features) >= {params.MIN_POSITIVES_TO_STRATIFY}
+             THEN is_late_5min ELSE 0 END AS _g
+      FROM features) h
+JOIN (SELECT _g, quantile_disc(_h, {params.TEST_FRACTION}) AS t FROM (
+        SELECT {_H} AS _h,
+          CASE WHEN (SELECT sum(is_late_5min) FROM features) >= {params.MIN_POSITIVES_TO_STRATIFY}
+               THEN is_late_5min ELSE 0 END AS _g
+        FROM features) x GROUP BY _g) th ON th._g = h._g"""
+
+SCORED_SQL = f"""
+SELECT *, CAST(sched_hour AS DOUBLE) / 24.0 AS prob_late,
+  CASE WHEN CAST(sched_hour AS DOUBLE) / 24.0 >= {params.PREDICT_THRESHOLD} THEN 1 ELSE 0 END AS pred_late
+FROM split"""
+
+
+def _over(body: str, *names: str) -> str:
+    ctes = [("features", FEATURES_SQL), ("split", SPLIT_SQL), ("scored", SCORED_SQL)]
+    wanted = {"features": 1, "split": 2, "scored": 3}[names[-1]] if names else 1
+    return Q.over_silver(body, *ctes[:wanted])
+
+
+def features(spark: SparkSession, d: str) -> DataFrame:
+    return M.ml_features(fixture_silver(spark, d))
+
+
+def split(spark: SparkSession, d: str) -> DataFrame:
+    return M.train_test_split(features(spark, d))
+
+
+def deterministic_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The split with score ``sched_hour / 24`` and its 0.5-threshold prediction."""
+    s = split(spark, d).withColumn("prob_late", F.col("sched_hour").cast(T.DoubleType()) / 24.0)
+    return s.withColumn("pred_late", (F.col("prob_late") >= params.PREDICT_THRESHOLD).cast(T.IntegerType()))
+
+
+register("ml_features", _over("SELECT * FROM features", "features"))(features)
+
+register("class_balance", _over("""
+SELECT count(*) AS rows, CAST(sum(is_late_5min) AS BIGINT) AS positives,
+  CAST(sum(is_late_5min) AS DOUBLE) / count(*) AS rate FROM features""", "features"))(
+    lambda spark, d: M.class_balance(features(spark, d)))
+
+register("train_test_split", _over("""
+SELECT trip_id, stop_id, service_date, is_late_5min, is_test FROM split""", "split"))(
+    lambda spark, d: split(spark, d).select("trip_id", "stop_id", "service_date", "is_late_5min", "is_test"))
+
+
+def _cnt(cond: str) -> str:
+    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+register("classifier_metrics", _over(f"""
+SELECT CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
+  n_train, n_test, n_pos
+FROM (SELECT {_cnt('is_test AND is_late_5min = 1 AND pred_late = 1')} AS tp,
+             {_cnt('is_test AND is_late_5min = 0 AND pred_late = 1')} AS fp,
+             {_cnt('is_test AND is_late_5min = 1 AND pred_late = 0')} AS fn,
+             {_cnt('NOT is_test')} AS n_train, {_cnt('is_test')} AS n_test,
+             {_cnt('is_late_5min = 1')} AS n_pos
+      FROM scored) m""", "scored"))(
+    lambda spark, d: M.classifier_metrics(deterministic_scores(spark, d)))
+
+register("confusion_matrix", _over(" UNION ALL ".join(
+    f"SELECT {a} AS actual, {b} AS predicted, "
+    f"{_cnt(f'is_late_5min = {a} AND pred_late = {b}')} AS n FROM scored WHERE is_test"
+    for a in (0, 1) for b in (0, 1)), "scored"))(
+    lambda spark, d: M.confusion_matrix(deterministic_scores(spark, d).where(F.col("is_test"))))
+
+register("roc_auc", _over("""
+SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+            THEN CAST(sum(pos * (2 * nb + neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * sum(neg) * 2)
+            ELSE CAST('NaN' AS DOUBLE) END AS auc
+FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+      FROM (SELECT prob_late AS score, sum(CASE WHEN is_late_5min = 1 THEN 1 ELSE 0 END) AS pos,
+                   sum(CASE WHEN is_late_5min = 1 THEN 0 ELSE 1 END) AS neg
+            FROM scored WHERE is_test GROUP BY prob_late) ps) c""", "scored"))(
+    lambda spark, d: M.roc_auc(deterministic_scores(spark, d).where(F.col("is_test"))))
+
+_SCEN = (f"SELECT line_code, day_of_week, sched_hour, route_type, {{rain}} AS rain, "
+         f"CAST({{mm}} AS DOUBLE) AS precip_mm, "
+         f"CASE WHEN regexp_matches(line_code, '{params.SUBURBAN_LINE_PATTERN}') THEN 1 ELSE 0 END AS is_suburban_i, "
+         f"CASE WHEN CAST({{mm}} AS DOUBLE) >= {params.RAIN_MM} THEN 1 ELSE 0 END AS is_raining_i "
+         f"FROM (SELECT DISTINCT line_code, day_of_week, sched_hour, route_type FROM features) b")
+register("scenario_features", _over(
+    _SCEN.format(rain="true", mm=params.SCENARIO_WET_MM) + " UNION ALL " +
+    _SCEN.format(rain="false", mm=params.SCENARIO_DRY_MM), "features"))(
+    lambda spark, d: M.scenario_features(fixture_silver(spark, d)))
+
+
+# rows-only: fitted model output ---------------------------------------------------------
+@register("ml_encode", None)
+def ml_encode(spark: SparkSession, d: str) -> DataFrame:
+    f = features(spark, d)
+    enc = Pipeline(stages=M.encoder_stages()).fit(f)
+    return enc.transform(f).select("trip_id", "stop_id", "service_date",
+                                   vector_to_array("features").alias("features"))
+
+
+def _fitted(spark: SparkSession, d: str):
+    s = split(spark, d)
+    return M.fit_model(s.where(~F.col("is_test"))), s
+
+
+@register("delay_predictions", None)
+def delay_predictions(spark: SparkSession, d: str) -> DataFrame:
+    model, s = _fitted(spark, d)
+    return M.delay_predictions(model, s)
+
+
+@register("scenario_scores", None)
+def scenario_scores(spark: SparkSession, d: str) -> DataFrame:
+    model, _ = _fitted(spark, d)
+    return M.scenario_scores(model, M.scenario_features(fixture_silver(spark, d)))
