@@ -105,7 +105,7 @@ def encoder_stages(cat=CAT_FEATURES, num=NUM_FEATURES) -> list:
     ohe = [f"{c}_ohe" for c in cat]
     return [StringIndexer(inputCols=list(cat), outputCols=idx, handleInvalid="keep",
                           stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
             VectorAssembler(inputCols=ohe + list(num), outputCol="features")]
 
 
