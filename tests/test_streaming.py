@@ -26,14 +26,14 @@ def test_ingest_and_latest_state_equal_batch(spark, tmp_path):
     _land_in_three_captures(spark, landing)
     bronze = str(tmp_path / "bronze")
     q = ingest.start_capture_ingest(spark, landing, bronze, str(tmp_path / "cp1"))
-    q.awaitTermination(300)
+    q.awaitTermination()
     batch = captures.read_captures(spark, landing)
     assert spark.read.parquet(bronze).count() == batch.count()
 
     state = str(tmp_path / "state")
     q2 = ingest.start_latest_state(spark, landing, state, str(tmp_path / "cp2"), tie_breakers=("entity_id",),
-                                   max_files_per_trigger=2)
-    q2.awaitTermination(300)
+                                   max_files_per_trigger=8)
+    q2.awaitTermination()
     assert len(q2.recentProgress) >= 2                      # really incremental
     streamed = ingest.read_latest_state(spark, state)
     expected = latest_stop_events(prepare_updates(batch, tie_breakers=("entity_id",)), ("entity_id",))
