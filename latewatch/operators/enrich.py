@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from .. import params
 from ..functions import columns as C
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, left_join_small, small_enough
+from .joins import left_join_small, small_enough
 from .latest import latest_per_key
 
 EVENT_KEYS = ("trip_id", "service_date", "stop_id")
@@ -55,7 +55,7 @@ def latest_stop_events(prepared: DataFrame, tie_breakers: Sequence[str] = ()) ->
 
 
 def join_schedule(events: DataFrame, stop_times: DataFrame,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_broadcast_rows: int | None = None,
                 small: bool | None = None) -> DataFrame:
     """J3 + P8 + P11: scheduled arrival by (trip_id, stop_id).
 
@@ -72,7 +72,7 @@ def join_schedule(events: DataFrame, stop_times: DataFrame,
 
 def join_routes(events: DataFrame, routes: DataFrame,
                 pattern: str = params.SUBURBAN_LINE_PATTERN,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                max_broadcast_rows: int | None = None,
                 small: bool | None = None) -> DataFrame:
     """J1 + P6 + P7: line code/name, tolerant route type and suburban flag by route_id."""
     r = routes.select("route_id", F.col("route_short_name").alias("line_code"),
@@ -83,7 +83,7 @@ def join_routes(events: DataFrame, routes: DataFrame,
 
 
 def join_stops(events: DataFrame, stops: DataFrame,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_broadcast_rows: int | None = None,
                 small: bool | None = None) -> DataFrame:
     """Station name by stop_id."""
     return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id",
@@ -91,7 +91,7 @@ def join_stops(events: DataFrame, stops: DataFrame,
 
 
 def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.RAIN_MM,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_broadcast_rows: int | None = None,
                 small: bool | None = None) -> DataFrame:
     """J4 + P12 + P13: hourly weather on (service_date, sched_hour).
 
@@ -123,11 +123,18 @@ def build_silver(updates: DataFrame, routes: DataFrame, stops: DataFrame, stop_t
                  tie_breakers: Sequence[str] = (), late_seconds: int = params.LATE_SECONDS,
                  rain_mm: float = params.RAIN_MM, pattern: str = params.SUBURBAN_LINE_PATTERN,
                  non_revenue_prefix: str = params.NON_REVENUE_PREFIX,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``)."""
-    # One bounded-count job decides which dimensions are broadcast.
-    small = small_enough({"stop_times": stop_times, "routes": routes, "stops": stops,
-                          "weather": weather}, max_broadcast_rows)
+                 max_broadcast_rows: int | None = None) -> DataFrame:
+    """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``).
+
+    ``max_broadcast_rows=None`` lets Spark size-check the dimensions (statistics
+    at planning, measured shuffle sizes under AQE); a number runs one
+    bounded-count job over all four dimensions and hints the small ones.
+    """
+    if max_broadcast_rows is None:
+        small = {"stop_times": None, "routes": None, "stops": None, "weather": None}
+    else:
+        small = small_enough({"stop_times": stop_times, "routes": routes, "stops": stops,
+                              "weather": weather}, max_broadcast_rows)
     ev = latest_stop_events(prepare_updates(updates, zone, tie_breakers, non_revenue_prefix),
                             tie_breakers)
     ev = join_schedule(ev, stop_times, max_broadcast_rows, small["stop_times"])

@@ -1,11 +1,16 @@
 """Size-checked broadcast joins.
 
-A dimension is broadcast only after a bounded row count proves it small:
-``limit(max_rows + 1)`` stops counting at the bound, so the check is cheap and
-never pulls rows to the driver.  Several dimensions are checked in one job
-(one ``union`` of their limited row streams).  Beyond the bound the join is
-left to Spark as a shuffle join (sort-merge, with AQE skew splitting), which
-works at any size.
+Two policies, both with a sort-merge fallback beyond the bound:
+
+* ``max_rows=None`` (default): no hint.  Spark broadcasts a side only when its
+  size is under ``spark.sql.autoBroadcastJoinThreshold`` — checked at planning
+  time from statistics (file sizes for scans) and again at run time by AQE
+  from the measured shuffle output (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+  Costs no extra job.
+* ``max_rows=N``: an explicit bounded row count (``limit(N + 1).count()``, which
+  stops at the bound and returns one number to the driver) decides the
+  ``broadcast`` hint.  Several dimensions can be checked in one job with
+  :func:`small_enough`.  Use it where statistics are unreliable.
 """
 
 from __future__ import annotations
@@ -39,19 +44,22 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return small_enough({"df": df}, max_rows)["df"]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
                     small: bool | None = None) -> DataFrame:
     """``broadcast(df)`` when its size is proven under the bound, else ``df`` unchanged.
 
-    ``small`` passes the result of an earlier (combined) check.
+    ``small`` passes the result of an earlier (combined) check; ``max_rows=None``
+    and no ``small`` leaves the decision to Spark's own size checks.
     """
     if small is None:
+        if max_rows is None:
+            return df
         small = has_at_most(df, max_rows)
     return F.broadcast(df) if small else df
 
 
 def left_join_small(big: DataFrame, small_df: DataFrame, on: str | list | Column,
-                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, how: str = "left",
+                    max_rows: int | None = None, how: str = "left",
                     small: bool | None = None) -> DataFrame:
-    """``big`` LEFT JOIN ``small_df``, broadcasting it only when it is provably small."""
+    """``big`` LEFT JOIN ``small_df``; broadcast only under a size check (see module doc)."""
     return big.join(maybe_broadcast(small_df, max_rows, small), on, how)

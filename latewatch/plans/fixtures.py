@@ -48,7 +48,7 @@ def fx_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "user_id", "event_type", "value", _k().alias("k"))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey"), F.col("c_nationkey").alias("nk"))
-    x = left_join_small(ev, cust, ev["user_id"] == cust["c_custkey"], max_rows=2_000_000)
+    x = left_join_small(ev, cust, ev["user_id"] == cust["c_custkey"])
     et, k, nk, v = F.col("event_type"), F.col("k"), F.col("nk"), F.col("value")
     delay = F.floor(v * 6).cast(T.DoubleType()) - 60
     return x.select(
