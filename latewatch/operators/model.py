@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 
 from .. import params
 from ..functions.columns import is_suburban
-from .joins import maybe_broadcast
 
 CAT_FEATURES = ("line_code", "day_of_week")
 NUM_FEATURES = ("sched_hour", "route_type", "precip_mm", "is_suburban_i", "is_raining_i")
@@ -109,19 +108,22 @@ def encoder_stages(cat=CAT_FEATURES, num=NUM_FEATURES) -> list:
             VectorAssembler(inputCols=ohe + list(num), outputCol="features")]
 
 
-def balanced_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
-    """Adds ``weight = n / (2 * n_class)`` (balanced class weights)."""
+def balanced_weights(train: DataFrame, label: str = LABEL) -> tuple[DataFrame, int]:
+    """Adds ``weight = n / (k * n_class)`` (balanced class weights); returns (frame, n)."""
     counts = _class_counts(train, label)
     n = sum(counts.values())
     k = max(len(counts), 1)
     w = F.create_map(*[x for c, m in counts.items() for x in (F.lit(c), F.lit(n / (k * m)))])
-    return train.withColumn("weight", w[F.col(label)])
+    return train.withColumn("weight", w[F.col(label)]), n
 
 
 def fit_model(train: DataFrame, label: str = LABEL, max_iter: int = params.MAX_ITER) -> PipelineModel:
-    """M4: fit the encode + logistic-regression pipeline on the training part."""
-    weighted = balanced_weights(train, label)
-    n_train = weighted.count()
+    """M4: fit the encode + logistic-regression pipeline on the training part.
+
+    The estimator persists its instances itself while iterating, so every
+    L-BFGS pass reads cached rows rather than recomputing the features.
+    """
+    weighted, n_train = balanced_weights(train, label)
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
                             family="binomial", standardization=False, elasticNetParam=0.0,
                             regParam=1.0 / max(n_train, 1), maxIter=max_iter, tol=1e-6)
@@ -189,8 +191,9 @@ def roc_auc(test_scored: DataFrame, score_col: str = "prob_late", label: str = L
     prior = totals.withColumn("neg_before_bucket", F.coalesce(F.sum("bucket_neg").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("bucket_neg")
     within = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    # ``prior`` has at most len(splits) - 1 rows (one per bucket): a bound known before it runs
     c = (b.withColumn("neg_before_in_bucket", F.coalesce(F.sum("neg").over(within), F.lit(0)))
-          .join(maybe_broadcast(prior, buckets + 1), "bucket"))
+          .join(F.broadcast(prior), "bucket"))
     nb = F.col("neg_before_bucket") + F.col("neg_before_in_bucket")
     agg = c.agg(F.sum(F.col("pos") * (nb * 2 + F.col("neg"))).cast(T.LongType()).alias("num"),
                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))

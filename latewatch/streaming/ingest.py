@@ -12,9 +12,10 @@ new version of just those ``service_date`` partitions.
 
 Replay safety: the merge is idempotent (``latest(latest(S + B) + B) ==
 latest(S + B)`` with a deterministic tie-break), the merged rows are first
-written to a folder named by the batch id (a replay overwrites it), and the
-state partitions are replaced from that folder, never from the path being
-read.
+written to a staging slot chosen by the batch id (``batch_id % 2``: a replay
+overwrites its own slot, and the other slot belongs to the previous, already
+committed batch, so staging never grows), and the state partitions are
+replaced from that slot, never from the path being read.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def merge_batch(batch: DataFrame, batch_id: int, state_root: str,
     """ST2 body for one micro-batch (also callable directly to replay a batch)."""
     spark = batch.sparkSession
     state_path = f"{state_root}/table"
-    staged_path = f"{state_root}/_staged/batch={batch_id}"
+    staged_path = f"{state_root}/_staged/slot={batch_id % 2}"
     fresh = prepare_updates(batch, zone, tie_breakers)
     prior = _read_state(spark, state_path)
     if prior is not None:
