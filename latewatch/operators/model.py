@@ -208,6 +208,12 @@ def scenario_features(silver: DataFrame, wet_mm: float = params.SCENARIO_WET_MM,
     """M9 input: every observed (line, weekday, hour, route type), once raining and once dry."""
     base = ml_features(silver).select("line_code", "day_of_week", "sched_hour", "route_type").distinct()
     s = base.withColumn("rain", F.explode(F.array(F.lit(True), F.lit(False))))
+    return scenario_inputs(s, wet_mm, dry_mm, rain_mm)
+
+
+def scenario_inputs(s: DataFrame, wet_mm: float = params.SCENARIO_WET_MM,
+                    dry_mm: float = params.SCENARIO_DRY_MM, rain_mm: float = params.RAIN_MM) -> DataFrame:
+    """Model inputs for scenario rows (line_code, day_of_week, sched_hour, route_type, rain)."""
     precip = F.when(F.col("rain"), F.lit(wet_mm)).otherwise(F.lit(dry_mm))
     return s.select(
         "line_code", "day_of_week", "sched_hour", "route_type", "rain",
