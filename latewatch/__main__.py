@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--weather", default=None)
         s.add_argument("--schedule", default=None, help="timetable folder (full refresh only)")
         s.add_argument("--schedule-ext", default="txt")
+        s.add_argument("--tolerant", action="store_true", help="captures with per-file type drift (S2)")
     for name in ("silver", "gold", "proof", "train"):
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True)
@@ -92,7 +93,8 @@ def main(argv: list[str] | None = None) -> int:
         payloads = spark.read.format("text").option("wholetext", "true").load(a.payloads)
         sinks.replace_table(weather.weather_rows(payloads.withColumnRenamed("value", "payload")), path=a.out)
     elif a.cmd == "bronze":
-        out = pipeline.refresh_bronze(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext)
+        out = pipeline.refresh_bronze(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
+                                      tolerant=a.tolerant)
         counts = sinks.table_counts({t: spark.read.parquet(p) for t, p in out.items()})
         _show("bronze tables", counts)
     elif a.cmd == "silver":
@@ -100,7 +102,8 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "gold":
         print("built", ", ".join(pipeline.refresh_gold(spark, a.lake)))
     elif a.cmd == "refresh":
-        out = pipeline.refresh(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext)
+        out = pipeline.refresh(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
+                               tolerant=a.tolerant)
         print("built", ", ".join(out))
     elif a.cmd == "proof":
         silver = spark.read.parquet(training.lake_path(a.lake, "silver", "stop_delays"))

@@ -25,13 +25,17 @@ def _path(out_root: str, layer: str, name: str) -> str:
 
 def refresh_bronze(spark: SparkSession, out_root: str, captures_root: str, weather_path: str | None,
                    schedule_dir: str | None = None, schedule_ext: str = "txt",
-                   vehicles_root: str | None = None) -> dict[str, str]:
-    """Land the bronze tables; returns table name -> folder."""
+                   vehicles_root: str | None = None, tolerant: bool = False) -> dict[str, str]:
+    """Land the bronze tables; returns table name -> folder.
+
+    ``tolerant=True`` reads captures written by other tools with per-file type
+    drift (S2) instead of the fixed-schema scan (S1).
+    """
     written = {}
-    tables: dict[str, DataFrame] = {"rt_trip_updates": captures.read_captures(spark, captures_root)}
+    scan = captures.read_captures_tolerant if tolerant else captures.read_captures
+    tables: dict[str, DataFrame] = {"rt_trip_updates": scan(spark, captures_root)}
     if vehicles_root:
-        tables["rt_vehicle_positions"] = captures.read_captures(spark, vehicles_root,
-                                                                schemas.VEHICLE_POSITIONS)
+        tables["rt_vehicle_positions"] = scan(spark, vehicles_root, schemas.VEHICLE_POSITIONS)
     if weather_path:
         w = weather.read_weather(spark, weather_path)
         if w is not None:
@@ -69,9 +73,10 @@ def refresh_gold(spark: SparkSession, out_root: str) -> dict[str, str]:
 
 def refresh(spark: SparkSession, out_root: str, captures_root: str, weather_path: str | None,
             schedule_dir: str | None = None, schedule_ext: str = "txt",
-            tie_breakers: Sequence[str] = ("entity_id",)) -> dict[str, str]:
+            tie_breakers: Sequence[str] = ("entity_id",), tolerant: bool = False) -> dict[str, str]:
     """bronze -> silver -> gold in order; returns every written table's folder."""
-    out = refresh_bronze(spark, out_root, captures_root, weather_path, schedule_dir, schedule_ext)
+    out = refresh_bronze(spark, out_root, captures_root, weather_path, schedule_dir, schedule_ext,
+                         tolerant=tolerant)
     out["stop_delays"] = refresh_silver(spark, out_root, tie_breakers)
     out.update(refresh_gold(spark, out_root))
     return out

@@ -36,8 +36,9 @@ def land_captures(df: DataFrame, root: str, schema: T.StructType = schemas.TRIP_
     session_zone = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
     utc = utc_wall_clock(df, "captured_at", session_zone)
     out = conform(df, schema).withColumn("dt", F.to_date(utc)).withColumn("hour", F.hour(utc))
-    # one file per (dt, hour) per capture: an hour of captures is bounded by the feed size
-    out.repartition("dt", "hour").write.mode(mode).partitionBy("dt", "hour").parquet(root)
+    # rebalance by (dt, hour): a capture lands as one file per hour folder, while AQE splits an
+    # hour that is unusually large (a backfill) over several tasks instead of one
+    out.hint("rebalance", "dt", "hour").write.mode(mode).partitionBy("dt", "hour").parquet(root)
 
 
 def read_captures(spark: SparkSession, root: str, schema: T.StructType = schemas.TRIP_UPDATES) -> DataFrame:
