@@ -88,10 +88,14 @@ def train_test_split(features: DataFrame, test_fraction: float = params.TEST_FRA
     accuracy = 1_000_000 if largest <= 1_000_000 else 100_000
     h = features.withColumn("_h", split_hash(keys, seed))
     group = F.col(label) if stratify else F.lit(0)
-    th = h.groupBy(group.alias("_g")).agg(
-        F.percentile_approx("_h", test_fraction, accuracy).alias("_t"))   # <= 2 rows: broadcast
-    out = h.withColumn("_g", group).join(F.broadcast(th), "_g", "left")
-    return out.withColumn("is_test", F.col("_h") <= F.col("_t")).drop("_g", "_h", "_t")
+    # at most two thresholds: computed once and applied as literals, so later jobs
+    # over the split never recompute the quantile sketch
+    rows = h.groupBy(group.alias("_g")).agg(
+        F.percentile_approx("_h", test_fraction, accuracy).alias("_t")).collect()
+    cond = F.lit(False)
+    for r in rows:
+        cond = F.when(group == F.lit(r["_g"]), F.col("_h") <= F.lit(int(r["_t"]))).otherwise(cond)
+    return h.withColumn("is_test", cond).drop("_h")
 
 
 def encoder_stages(cat=CAT_FEATURES, num=NUM_FEATURES) -> list:
