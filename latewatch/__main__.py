@@ -56,6 +56,8 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("silver", "gold", "proof", "train"):
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True)
+        if name == "silver":
+            s.add_argument("--since", default=None, help="rebuild service dates >= YYYY-MM-DD only")
         if name == "train":
             s.add_argument("--max-iter", type=int, default=params.MAX_ITER)
 
@@ -98,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
         counts = sinks.table_counts({t: spark.read.parquet(p) for t, p in out.items()})
         _show("bronze tables", counts)
     elif a.cmd == "silver":
-        print("built", pipeline.refresh_silver(spark, a.lake))
+        print("built", pipeline.refresh_silver(spark, a.lake, since=a.since))
     elif a.cmd == "gold":
         print("built", ", ".join(pipeline.refresh_gold(spark, a.lake)))
     elif a.cmd == "refresh":
@@ -106,7 +108,7 @@ def main(argv: list[str] | None = None) -> int:
                                tolerant=a.tolerant)
         print("built", ", ".join(out))
     elif a.cmd == "proof":
-        silver = spark.read.parquet(training.lake_path(a.lake, "silver", "stop_delays"))
+        silver = pipeline.read_silver(spark, a.lake)
         g = lambda n: spark.read.parquet(training.lake_path(a.lake, "gold", n))
         _show("overview (events | trips | lines | % with scheduled time)", A.silver_overview(silver))
         _show("suburban punctuality (avg min | % late | worst min)", A.suburban_summary(silver))

@@ -7,7 +7,9 @@ newest capture per (trip, service date, stop) (W1) -> LEFT JOIN timetable
 Scale notes: the only shuffles of the event stream are the W1 window
 (pre-reduced per map task by the group limit) and, when the timetable is too
 big to broadcast, the J3 sort-merge join over the already de-duplicated
-events.  Routes, stops and weather are broadcast after a bounded size check.
+events.  Dimensions are broadcast only under a size check (Spark's statistics
+and AQE's measured sizes by default, or one explicit bounded count), see
+:mod:`latewatch.operators.joins`.
 """
 
 from __future__ import annotations
@@ -55,8 +57,7 @@ def latest_stop_events(prepared: DataFrame, tie_breakers: Sequence[str] = ()) ->
 
 
 def join_schedule(events: DataFrame, stop_times: DataFrame,
-                  max_broadcast_rows: int | None = None,
-                small: bool | None = None) -> DataFrame:
+                  max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """J3 + P8 + P11: scheduled arrival by (trip_id, stop_id).
 
     A timetable with duplicate (trip, stop) rows fans the event out, as the
@@ -72,8 +73,7 @@ def join_schedule(events: DataFrame, stop_times: DataFrame,
 
 def join_routes(events: DataFrame, routes: DataFrame,
                 pattern: str = params.SUBURBAN_LINE_PATTERN,
-                max_broadcast_rows: int | None = None,
-                small: bool | None = None) -> DataFrame:
+                max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """J1 + P6 + P7: line code/name, tolerant route type and suburban flag by route_id."""
     r = routes.select("route_id", F.col("route_short_name").alias("line_code"),
                       F.col("route_long_name").alias("line_name"),
@@ -83,16 +83,14 @@ def join_routes(events: DataFrame, routes: DataFrame,
 
 
 def join_stops(events: DataFrame, stops: DataFrame,
-               max_broadcast_rows: int | None = None,
-                small: bool | None = None) -> DataFrame:
+               max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Station name by stop_id."""
     return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id",
                            max_broadcast_rows, small=small)
 
 
 def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.RAIN_MM,
-                 max_broadcast_rows: int | None = None,
-                small: bool | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """J4 + P12 + P13: hourly weather on (service_date, sched_hour).
 
     A NULL sched_hour never matches; missing weather gives is_raining FALSE.

@@ -10,8 +10,10 @@ overwrite of its own folder; no step overwrites a folder it reads.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import aggregates as A
@@ -45,24 +47,45 @@ def refresh_bronze(spark: SparkSession, out_root: str, captures_root: str, weath
             tables[f"gtfs_{t}"] = df
     for name, df in tables.items():
         p = _path(out_root, "bronze", name)
-        sinks.replace_table(df, path=p)
+        parts = ("dt", "hour") if name.startswith("rt_") else ()   # captures keep their UTC folders
+        sinks.replace_table(df, path=p, partition_by=parts)
         written[name] = p
     return written
 
 
-def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[str] = ("entity_id",)) -> str:
-    """Build silver from the bronze folders and replace it."""
+def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[str] = ("entity_id",),
+                   since: str | date | None = None) -> str:
+    """Build silver from the bronze folders and replace it (partitioned by service_date).
+
+    ``since`` rebuilds only service dates on or after it: captures are read from
+    UTC folders ``dt >= since - 1 day`` (a service day starts the previous UTC
+    day in the service zone) and only those ``service_date`` partitions are
+    replaced.  W1 never crosses service dates, so the rows equal a full rebuild.
+    """
     b = lambda n: spark.read.parquet(_path(out_root, "bronze", n))
-    silver = build_silver(b("rt_trip_updates"), b("gtfs_routes"), b("gtfs_stops"), b("gtfs_stop_times"),
+    updates = b("rt_trip_updates")
+    if since is not None:
+        first = F.lit(str(since)).cast("date")
+        updates = updates.where(F.col("dt") >= F.date_sub(first, 1))
+    silver = build_silver(updates, b("gtfs_routes"), b("gtfs_stops"), b("gtfs_stop_times"),
                           b("weather"), tie_breakers=tie_breakers)
+    if since is not None:
+        silver = silver.where(F.col("service_date") >= first)
     p = _path(out_root, "silver", "stop_delays")
-    sinks.replace_table(silver, path=p)
+    sinks.replace_table(silver, path=p, partition_by=("service_date",),
+                        only_partitions_present=since is not None)
     return p
 
 
+def read_silver(spark: SparkSession, out_root: str) -> DataFrame:
+    """The silver table in its contract column order."""
+    from ..operators.enrich import SILVER_COLUMNS
+    return spark.read.parquet(_path(out_root, "silver", "stop_delays")).select(*SILVER_COLUMNS)
+
+
 def refresh_gold(spark: SparkSession, out_root: str) -> dict[str, str]:
     """The six gold tables from the written silver table."""
-    silver = spark.read.parquet(_path(out_root, "silver", "stop_delays"))
+    silver = read_silver(spark, out_root)
     written = {}
     for name, fn in A.GOLD_TABLES.items():
         p = _path(out_root, "gold", name)
@@ -73,10 +96,11 @@ def refresh_gold(spark: SparkSession, out_root: str) -> dict[str, str]:
 
 def refresh(spark: SparkSession, out_root: str, captures_root: str, weather_path: str | None,
             schedule_dir: str | None = None, schedule_ext: str = "txt",
-            tie_breakers: Sequence[str] = ("entity_id",), tolerant: bool = False) -> dict[str, str]:
+            tie_breakers: Sequence[str] = ("entity_id",), tolerant: bool = False,
+            since: str | date | None = None) -> dict[str, str]:
     """bronze -> silver -> gold in order; returns every written table's folder."""
     out = refresh_bronze(spark, out_root, captures_root, weather_path, schedule_dir, schedule_ext,
                          tolerant=tolerant)
-    out["stop_delays"] = refresh_silver(spark, out_root, tie_breakers)
+    out["stop_delays"] = refresh_silver(spark, out_root, tie_breakers, since)
     out.update(refresh_gold(spark, out_root))
     return out

@@ -22,7 +22,8 @@ def lake_path(root: str, *parts: str) -> str:
 
 def train_and_score(spark: SparkSession, lake_root: str, max_iter: int = M.params.MAX_ITER) -> dict:
     """Fit on the training part, write predictions and the model; return the metrics."""
-    silver = spark.read.parquet(lake_path(lake_root, "silver", "stop_delays"))
+    from .pipeline import read_silver
+    silver = read_silver(spark, lake_root)
     feats = M.ml_features(silver)
     split = M.train_test_split(feats)
     model = M.fit_model(split.where(~F.col("is_test")), max_iter=max_iter)

@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
-                  fmt: str = "parquet") -> None:
+                  fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+                  only_partitions_present: bool = False) -> None:
     """``CREATE OR REPLACE TABLE ... AS``: overwrite a catalog table or a path.
 
-    The write is atomic per job commit: readers of a path never see a half
-    written table once the job succeeded, and a failed job leaves no
-    ``_SUCCESS`` marker.  Never overwrite a path the same plan is reading.
+    ``partition_by`` keeps folder partitions (so later filters prune them);
+    ``only_partitions_present=True`` replaces just the partitions that occur in
+    ``df`` (dynamic partition overwrite) and keeps the others.  A failed job
+    leaves no ``_SUCCESS`` marker.  Never overwrite a path the same plan is reading.
     """
     w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic" if only_partitions_present else "static")
     if name:
         w.saveAsTable(name)
     elif path:

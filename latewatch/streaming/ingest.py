@@ -8,7 +8,10 @@ ST2 :func:`start_latest_state` keeps the silver build's W1 result up to date:
 each micro-batch is filtered (P1-P3) and dated (P4) *before* it touches state,
 merged with the stored rows of the service dates it touches only, reduced to
 the newest capture per (trip_id, service_date, stop_id), and written back as a
-new version of just those ``service_date`` partitions.
+new version of just those ``service_date`` partitions.  The state has one row
+per (trip, service date, stop), so a day's partition is bounded by that day's
+timetable however many captures arrive; rewriting it per micro-batch costs
+O(scheduled stop events of the touched days).
 
 Replay safety: the merge is idempotent (``latest(latest(S + B) + B) ==
 latest(S + B)`` with a deterministic tie-break), the merged rows are first
