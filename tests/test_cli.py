@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from latewatch import schemas
 from latewatch.__main__ import main
 from latewatch.plans import fixtures as fx
 from latewatch.sources import captures
@@ -18,6 +19,10 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     land = str(raw / "captures")
     assert main(["land-feed", "--feeds", str(raw / "feeds"), "--landing", land]) == 0
     assert captures.read_captures(spark, land).where(F.col("stop_id") == "2020").first().arrival_delay == 372.0
+    vland = str(raw / "vehicles")
+    assert main(["land-feed", "--feeds", str(raw / "feeds"), "--landing", vland, "--kind", "vehiclepos"]) == 0
+    v = captures.read_captures(spark, vland, schemas.VEHICLE_POSITIONS)
+    assert sorted(r.vehicle_id for r in v.collect()) == ["V1", "V2"]
 
     (raw / "weather").mkdir()
     payload = {"hourly": {"time": ["2024-01-02T08:00"], "precipitation": [0.4], "temperature_2m": [20.0]}}
