@@ -41,3 +41,14 @@ def test_dimensions_are_broadcast_under_the_size_check(spark):
     p = plan(fixture_silver(spark, SF_SMALL), "simple")
     assert p.count("BroadcastHashJoin") >= 4
     assert "SortMergeJoin" not in p
+
+
+def test_gold_over_written_silver_prunes_and_pushes_down(spark, tmp_path):
+    from latewatch.operators import aggregates as A
+    path = str(tmp_path / "silver")
+    fixture_silver(spark, SF_SMALL).write.parquet(path)
+    p = plan(A.hourly_punctuality(spark.read.parquet(path)), "simple")
+    scan = next(ln for ln in p.splitlines() if "FileScan parquet" in ln)
+    assert "PushedFilters: [IsNotNull(is_suburban), EqualTo(is_suburban,true), IsNotNull(sched_hour)]" in scan
+    read_schema = scan.split("ReadSchema: ")[1]
+    assert "trip_id" not in read_schema and "stop_name" not in read_schema   # column pruning
