@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdedup, tokenfile, urlfilter
+from . import decontam, exactdedup, simhash, tokenfile, urlfilter
 from .common import table
 
 #: A-Z and a-z, for SQL's translate.
@@ -39,6 +39,27 @@ m AS (SELECT s.page_id, max_by(r.host || r.path, length(r.host || r.path)) AS ru
 SELECT s.page_id, s.host, s.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM s LEFT JOIN m ON m.page_id = s.page_id"""
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP4_SQL = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS s
+        FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM bw WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+dwin AS (SELECT doc_id, i, lens.n AS n, array_to_string(list_slice(w, i, i + lens.n - 1), ' ') AS s
+         FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM dw WHERE len(w) > 0) JOIN lens ON i + lens.n - 1 <= len(w)),
+occ AS (SELECT doc_id, i, dwin.n AS n, item_id FROM dwin JOIN win USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS j FROM (SELECT DISTINCT doc_id, i, n FROM occ)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM occ) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(coalesce(len(dw.w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(dw.w) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.judge(table(spark, sf_dir, "documents"))
 
@@ -49,6 +70,11 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)"""
 
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_wavelet_tokens, op3_url_filter, op5_exact_dedup)}
-SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_exact_dedup": OP5_SQL}
+    f.__name__: f for f in (op2_wavelet_tokens, op3_url_filter, op4_decontamination, op5_exact_dedup, op9_simhash_near_dedup)}
+SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_exact_dedup": OP5_SQL}
