@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exactdedup, simhash, tokenfile, urlfilter
+from . import bpe, decontam, exactdedup, langid, pii, quality, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 #: A-Z and a-z, for SQL's translate.
@@ -17,6 +17,10 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.EXAMPLE_KEY)
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_documents(tokenfile.write_shards(table(spark, sf_dir, "documents")))
 
@@ -71,10 +75,28 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)"""
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.code(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_wavelet_tokens, op3_url_filter, op4_decontamination, op5_exact_dedup, op9_simhash_near_dedup)}
+    f.__name__: f for f in (
+        op1_pii_pseudonyms, op2_wavelet_tokens, op3_url_filter, op4_decontamination, op5_exact_dedup,
+        op6_language_id, op7_toxicity, op8_quality, op9_simhash_near_dedup, op10_bpe_codec)}
 SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_exact_dedup": OP5_SQL}
