@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import raw, slices
 from .langid import held_out
-from .toxicity import labelled
 
 WORD_TERMS, SHAPE_TERMS = 1024, 512
 TERMS = WORD_TERMS + SHAPE_TERMS + 2  # and: repeats, words
@@ -136,7 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Voters:
     idf = inverse_frequencies(docs)
     order = F.xxhash64("doc_id")
     chosen = labels.where(F.col("quality").isNotNull() & ~held_out(parts=5, part=0)).groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(order).limit(LABELLED)
-    found = labelled(docs, chosen, "quality").mapInArrow(_weighted, "doc_id long, quality int, row binary").orderBy(order, "row").limit(LABELLED).toPandas()
+    chosen = F.broadcast(chosen.withColumnRenamed("doc_id", "__id"))  # LABELLED rows at most
+    found = docs.join(chosen, docs["doc_id"] == chosen["__id"]).select("doc_id", "text", "quality").mapInArrow(_weighted, "doc_id long, quality int, row binary").orderBy(order, "row").limit(LABELLED).toPandas()
     rows = np.stack([np.frombuffer(r, np.float16) for r in found["row"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS), np.float32)
     return Voters(idf, rows, found["quality"].to_numpy(np.float32))
 

@@ -202,13 +202,14 @@ def _evidence(model):
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """The rows of ``docs`` (doc_id, text) that have a label, with it."""
     given = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(F.col(label).cast("int")).alias(label))
+    given = given.hint("merge")  # the same plan at every size: label tables outgrow a broadcast
     return docs.join(given, docs["doc_id"] == given["__id"]).select("doc_id", "text", label)
 
 
 def fit(docs: DataFrame, labels: DataFrame):
     """Broadcast model and curve, learnt from the labelled rows that are not held out."""
     spark = docs.sparkSession
-    rows = written(labelled(docs, labels.where(~held_out()), "toxic").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(5))), "toxic-rows")
+    rows = written(labelled(docs.where(~held_out()), labels.where(~held_out()), "toxic").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(5))), "toxic-rows")
     model = spark.sparkContext.broadcast(Model(written(pair_counts(rows.where("part <> 0")), "pairs")))
     unseen = rows.where("part = 0").orderBy(F.xxhash64(F.lit(7), "doc_id")).limit(CURVE_ROWS)
     found = unseen.select("text", "toxic").mapInArrow(_evidence(model), "toxic int, whole double, passage double").toPandas()
