@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, vocabulary
+from .chunks import ChunkEncoder, byte_letters, vocabulary
 from .common import slices
 
 NEVER = 1 << 60
@@ -41,13 +41,6 @@ NEVER = 1 << 60
 PAIRS = 500_000
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in a byte-level vocabulary, and the byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Vocabulary:
     """Tokens, merges and what follows from them."""
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, library, vocabulary
+from .chunks import ChunkEncoder, byte_letters, library, vocabulary
 from .common import slices, written
 
 SHARD_TOKENS = 1 << 20
@@ -178,11 +179,12 @@ def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder on the library; kept between tasks."""
     if path not in _ENCODERS:
         lib = library(path)
-        as_bytes = lambda e: np.array(e.ids, np.uint32).tobytes()
+        letters, model = str.maketrans({b: c for c, b in byte_letters().items()}), lib.model
         special = [t.content for t in lib.get_added_tokens_decoder().values()]
+        # a piece is what the library's own cut gives its model, so it goes to the model at once
         _ENCODERS[path] = ChunkEncoder(
-            lambda ps: [as_bytes(e) for e in lib.encode_batch_fast(ps, add_special_tokens=False)],
-            lambda text: as_bytes(lib.encode(text, add_special_tokens=False)), special)
+            lambda ps: [array("I", [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for p in ps],
+            lambda text: array("I", lib.encode(text, add_special_tokens=False).ids).tobytes(), special)
     return _ENCODERS[path]
 
 
