@@ -93,14 +93,14 @@ def test_language_of_odd_rows(spark, tables):
 WORDS = "trash pathetic idiot worthless disgusting stupid clown scum loser moron".split()
 
 
-def test_toxic_documents_are_caught_and_clean_ones_left(tables):
-    docs = {r.doc_id: set((r.text or "").lower().split()) for r in tables[0].collect()}
-    got = rows(toxicity.score(*tables))
-    assert len(got) == len(docs) and all(r["held_out"] == in_split(r["doc_id"], 4, 2) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
-    plain = {w.strip(".,") for w in WORDS}
-    with_words = [r["predicted"] for r in got if {w.strip(".,") for w in docs[r["doc_id"]]} & plain]
-    without = [r["predicted"] for r in got if not {w.strip(".,") for w in docs[r["doc_id"]]} & plain]
-    assert np.mean(with_words) > 0.75 and np.mean(without) < 0.1  # 30 toxic training texts at this size
+def test_toxic_documents_are_caught_and_clean_ones_left(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    words = {r.doc_id: set((r.text or "").lower().replace(".", " ").replace(",", " ").split()) for r in docs.collect()}
+    got = rows(toxicity.score(docs, labels))
+    assert len(got) == len(words) and all(r["held_out"] == in_split(r["doc_id"], 4, 2) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert np.mean([r["predicted"] for r in held if words[r["doc_id"]] & set(WORDS)]) > 0.9
+    assert np.mean([r["predicted"] for r in held if not words[r["doc_id"]] & set(WORDS)]) < 0.02
 
 
 def test_pair_counts_against_brute_force(spark):
