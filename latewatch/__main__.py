@@ -49,10 +49,13 @@ def _parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True)
         s.add_argument("--captures", required=True)
+        s.add_argument("--vehicles", default=None, help="landing folder of vehicle positions")
         s.add_argument("--weather", default=None)
         s.add_argument("--schedule", default=None, help="timetable folder (full refresh only)")
         s.add_argument("--schedule-ext", default="txt")
         s.add_argument("--tolerant", action="store_true", help="captures with per-file type drift (S2)")
+        if name == "refresh":
+            s.add_argument("--since", default=None, help="rebuild silver for service dates >= YYYY-MM-DD only")
     for name in ("silver", "gold", "proof", "train"):
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True)
@@ -96,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
         sinks.replace_table(weather.weather_rows(payloads.withColumnRenamed("value", "payload")), path=a.out)
     elif a.cmd == "bronze":
         out = pipeline.refresh_bronze(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
-                                      tolerant=a.tolerant)
+                                      vehicles_root=a.vehicles, tolerant=a.tolerant)
         counts = sinks.table_counts({t: spark.read.parquet(p) for t, p in out.items()})
         _show("bronze tables", counts)
     elif a.cmd == "silver":
@@ -105,20 +108,18 @@ def main(argv: list[str] | None = None) -> int:
         print("built", ", ".join(pipeline.refresh_gold(spark, a.lake)))
     elif a.cmd == "refresh":
         out = pipeline.refresh(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
-                               tolerant=a.tolerant)
+                               tolerant=a.tolerant, since=a.since, vehicles_root=a.vehicles)
         print("built", ", ".join(out))
     elif a.cmd == "proof":
         silver = pipeline.read_silver(spark, a.lake)
         g = lambda n: spark.read.parquet(training.lake_path(a.lake, "gold", n))
-        _show("overview (events | trips | lines | % with scheduled time)", A.silver_overview(silver))
-        _show("suburban punctuality (avg min | % late | worst min)", A.suburban_summary(silver))
-        _show("worst suburban lines", A.worst_lines(silver))
-        _show("weather join (% matched | avg dry | avg wet | wet events)", A.weather_overview(silver))
-        _show("network_kpi", g("network_kpi"))
-        _show("worst suburban lines (gold)", R.top_lines(g("line_punctuality")))
-        _show("top late hours", R.top_hours(g("hourly_punctuality")))
-        _show("worst stations", R.top_stations(g("stop_punctuality")))
-        _show("weather split (dry/wet)", g("weather_delay").orderBy("is_raining"))
+        for name, df in {
+                "silver_overview": A.silver_overview(silver), "suburban_summary": A.suburban_summary(silver),
+                "worst_lines": A.worst_lines(silver), "weather_overview": A.weather_overview(silver),
+                "network_kpi": g("network_kpi"), "top_lines": R.top_lines(g("line_punctuality")),
+                "top_hours": R.top_hours(g("hourly_punctuality")), "top_stations": R.top_stations(g("stop_punctuality")),
+                "weather_delay": g("weather_delay").orderBy("is_raining")}.items():
+            _show(f"{name}: {', '.join(df.columns)}", df)
     elif a.cmd == "train":
         m = training.train_and_score(spark, a.lake, a.max_iter)
         print(json.dumps(m, default=str))
@@ -127,13 +128,12 @@ def main(argv: list[str] | None = None) -> int:
                                     "line_code string, day_of_week string, sched_hour int, "
                                     "route_type int, rain boolean")
         r = training.predict_scenarios(spark, a.lake, row).first()
-        print(f"trip:  {a.line} @ {a.hour:02d}:00  ({a.dow}, {'raining' if a.rain else 'dry'})")
-        print(f"P(>5 min late) = {r['prob_late']:.1%}  ->  {r['verdict']}")
+        print(json.dumps(r.asDict()))
     elif a.cmd == "stream":
         from .session import checkpoint_root
         from .streaming import ingest
         cp = a.checkpoint or f"{checkpoint_root(spark)}/latewatch-stream"
-        q1 = ingest.start_capture_ingest(spark, a.landing, training.lake_path(a.lake, "bronze", "rt_trip_updates"),
+        q1 = ingest.start_capture_ingest(spark, a.landing, training.lake_path(a.lake, "stream", "rt_trip_updates"),
                                          f"{cp}/ingest")
         q1.awaitTermination()
         q2 = ingest.start_latest_state(spark, a.landing, training.lake_path(a.lake, "state", "latest"),

@@ -8,7 +8,7 @@ Scale notes: the only shuffles of the event stream are the W1 window
 (pre-reduced per map task by the group limit) and, when the timetable is too
 big to broadcast, the J3 sort-merge join over the already de-duplicated
 events.  Dimensions are broadcast only under a size check (Spark's statistics
-and AQE's measured sizes by default, or one explicit bounded count), see
+and AQE's measured sizes), see
 :mod:`latewatch.operators.joins`.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .. import params
 from ..functions import columns as C
-from .joins import left_join_small, small_enough
+from .joins import left_join_small
 from .latest import latest_per_key
 
 EVENT_KEYS = ("trip_id", "service_date", "stop_id")
@@ -56,8 +56,7 @@ def latest_stop_events(prepared: DataFrame, tie_breakers: Sequence[str] = ()) ->
     return latest_per_key(prepared, EVENT_KEYS, ("captured_at",), tie_breakers)
 
 
-def join_schedule(events: DataFrame, stop_times: DataFrame,
-                  max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
+def join_schedule(events: DataFrame, stop_times: DataFrame) -> DataFrame:
     """J3 + P8 + P11: scheduled arrival by (trip_id, stop_id).
 
     A timetable with duplicate (trip, stop) rows fans the event out, as the
@@ -65,32 +64,28 @@ def join_schedule(events: DataFrame, stop_times: DataFrame,
     """
     st = stop_times.select("trip_id", "stop_id", F.col("arrival_time").alias("sched_arrival"),
                            F.lit(True).alias("_st_hit"))
-    out = left_join_small(events, st, ["trip_id", "stop_id"], max_broadcast_rows, small=small)
+    out = left_join_small(events, st, ["trip_id", "stop_id"])
     return (out.withColumn("sched_hour", C.sched_hour("sched_arrival"))
                .withColumn("schedule_matched", F.coalesce(F.col("_st_hit"), F.lit(False)))
                .drop("_st_hit"))
 
 
 def join_routes(events: DataFrame, routes: DataFrame,
-                pattern: str = params.SUBURBAN_LINE_PATTERN,
-                max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
+                pattern: str = params.SUBURBAN_LINE_PATTERN) -> DataFrame:
     """J1 + P6 + P7: line code/name, tolerant route type and suburban flag by route_id."""
     r = routes.select("route_id", F.col("route_short_name").alias("line_code"),
                       F.col("route_long_name").alias("line_name"),
                       C.safe_int("route_type").alias("route_type"),
                       C.is_suburban("route_short_name", pattern).alias("is_suburban"))
-    return left_join_small(events, r, "route_id", max_broadcast_rows, small=small)
+    return left_join_small(events, r, "route_id")
 
 
-def join_stops(events: DataFrame, stops: DataFrame,
-               max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
+def join_stops(events: DataFrame, stops: DataFrame) -> DataFrame:
     """Station name by stop_id."""
-    return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id",
-                           max_broadcast_rows, small=small)
+    return left_join_small(events, stops.select("stop_id", "stop_name"), "stop_id")
 
 
-def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.RAIN_MM,
-                 max_broadcast_rows: int | None = None, small: bool | None = None) -> DataFrame:
+def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.RAIN_MM) -> DataFrame:
     """J4 + P12 + P13: hourly weather on (service_date, sched_hour).
 
     A NULL sched_hour never matches; missing weather gives is_raining FALSE.
@@ -98,7 +93,7 @@ def join_weather(events: DataFrame, weather: DataFrame, rain_mm: float = params.
     wx = weather.select(F.to_date("obs_date").alias("_wx_date"), F.col("obs_hour").alias("_wx_hour"),
                         "precip_mm", "temp_c")
     cond = (F.col("service_date") == F.col("_wx_date")) & (F.col("sched_hour") == F.col("_wx_hour"))
-    out = left_join_small(events, wx, cond, max_broadcast_rows, small=small)
+    out = left_join_small(events, wx, cond)
     return (out.drop("_wx_date", "_wx_hour")
                .withColumn("is_raining", C.is_raining("precip_mm", rain_mm)))
 
@@ -120,23 +115,12 @@ def build_silver(updates: DataFrame, routes: DataFrame, stops: DataFrame, stop_t
                  weather: DataFrame, *, zone: str = params.SERVICE_ZONE,
                  tie_breakers: Sequence[str] = (), late_seconds: int = params.LATE_SECONDS,
                  rain_mm: float = params.RAIN_MM, pattern: str = params.SUBURBAN_LINE_PATTERN,
-                 non_revenue_prefix: str = params.NON_REVENUE_PREFIX,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
-    """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``).
-
-    ``max_broadcast_rows=None`` lets Spark size-check the dimensions (statistics
-    at planning, measured shuffle sizes under AQE); a number runs one
-    bounded-count job over all four dimensions and hints the small ones.
-    """
-    if max_broadcast_rows is None:
-        small = {"stop_times": None, "routes": None, "stops": None, "weather": None}
-    else:
-        small = small_enough({"stop_times": stop_times, "routes": routes, "stops": stops,
-                              "weather": weather}, max_broadcast_rows)
+                 non_revenue_prefix: str = params.NON_REVENUE_PREFIX) -> DataFrame:
+    """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``)."""
     ev = latest_stop_events(prepare_updates(updates, zone, tie_breakers, non_revenue_prefix),
                             tie_breakers)
-    ev = join_schedule(ev, stop_times, max_broadcast_rows, small["stop_times"])
-    ev = join_routes(ev, routes, pattern, max_broadcast_rows, small["routes"])
-    ev = join_stops(ev, stops, max_broadcast_rows, small["stops"])
-    ev = join_weather(ev, weather, rain_mm, max_broadcast_rows, small["weather"])
+    ev = join_schedule(ev, stop_times)
+    ev = join_routes(ev, routes, pattern)
+    ev = join_stops(ev, stops)
+    ev = join_weather(ev, weather, rain_mm)
     return finish_silver(ev, late_seconds)

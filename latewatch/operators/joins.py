@@ -1,65 +1,16 @@
-"""Size-checked broadcast joins.
+"""Dimension joins whose broadcast Spark decides.
 
-Two policies, both with a sort-merge fallback beyond the bound:
-
-* ``max_rows=None`` (default): no hint.  Spark broadcasts a side only when its
-  size is under ``spark.sql.autoBroadcastJoinThreshold`` — checked at planning
-  time from statistics (file sizes for scans) and again at run time by AQE
-  from the measured shuffle output (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
-  Costs no extra job.
-* ``max_rows=N``: an explicit bounded row count (``limit(N + 1).count()``, which
-  stops at the bound and returns one number to the driver) decides the
-  ``broadcast`` hint.  Several dimensions can be checked in one job with
-  :func:`small_enough`.  Use it where statistics are unreliable.
+No hint is given: a side is broadcast only when its size is under
+``spark.sql.autoBroadcastJoinThreshold``, checked at planning time from
+statistics and again at run time by AQE from the measured shuffle output.
+Beyond it the join is sort-merge, with AQE's skew splitting.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Rows a dimension may have and still be broadcast (a few narrow columns:
-# ~100 B/row -> ~20 MB per executor).
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
-
-def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, int]:
-    """Row count of each frame, capped at ``max_rows + 1``, computed in a single job."""
-    if not dfs:
-        return {}
-    parts = [df.limit(max_rows + 1).select(F.lit(name).alias("_dim")) for name, df in dfs.items()]
-    rows = reduce(DataFrame.unionAll, parts).groupBy("_dim").count().collect()
-    got = {r["_dim"]: r["count"] for r in rows}
-    return {name: got.get(name, 0) for name in dfs}
-
-
-def small_enough(dfs: dict[str, DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, bool]:
-    """For each frame: does it have at most ``max_rows`` rows?"""
-    return {k: n <= max_rows for k, n in bounded_counts(dfs, max_rows).items()}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return small_enough({"df": df}, max_rows)["df"]
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                    small: bool | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven under the bound, else ``df`` unchanged.
-
-    ``small`` passes the result of an earlier (combined) check; ``max_rows=None``
-    and no ``small`` leaves the decision to Spark's own size checks.
-    """
-    if small is None:
-        if max_rows is None:
-            return df
-        small = has_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
 
 
-def left_join_small(big: DataFrame, small_df: DataFrame, on: str | list | Column,
-                    max_rows: int | None = None, how: str = "left",
-                    small: bool | None = None) -> DataFrame:
-    """``big`` LEFT JOIN ``small_df``; broadcast only under a size check (see module doc)."""
-    return big.join(maybe_broadcast(small_df, max_rows, small), on, how)
+def left_join_small(big: DataFrame, small_df: DataFrame, on: str | list | Column, how: str = "left") -> DataFrame:
+    """``big`` LEFT JOIN a usually small dimension, at any size of it."""
+    return big.join(small_df, on, how)

@@ -6,7 +6,8 @@ scoring and evaluation all run as Spark jobs.
 
 * Split (M2): a deterministic hash of the event key, thresholded per class at
   the 25 % quantile of the hash, gives a reproducible stratified split whose
-  test share is exact (within one row) for classes under a million rows.
+  test share is exact (within one row) at any size: counts over the hash's top
+  16 bits name the bucket that holds the rank, and only that bucket is ranked.
 * Model (M3/M4): one-hot line and weekday (unknown category -> all zeros) plus
   five raw numerics; logistic regression with balanced class weights and the
   L2 strength of a unit-C penalised likelihood (``regParam = 1 / n_train``).
@@ -81,21 +82,22 @@ def train_test_split(features: DataFrame, test_fraction: float = params.TEST_FRA
     ``test_fraction`` quantile of the hash (one quantile over all rows when not
     stratified).  Deterministic for a given seed and independent of partitioning.
     """
-    counts = _class_counts(features, label)
-    stratify = counts.get(1, 0) >= min_positives
-    largest = max(counts.values(), default=0) if stratify else sum(counts.values())
-    # exact (rank error < 1) up to a million rows; beyond, a bounded sketch (error <= n / 1e5)
-    accuracy = 1_000_000 if largest <= 1_000_000 else 100_000
-    h = features.withColumn("_h", split_hash(keys, seed))
-    group = F.col(label) if stratify else F.lit(0)
-    # at most two thresholds: computed once and applied as literals, so later jobs
-    # over the split never recompute the quantile sketch
-    rows = h.groupBy(group.alias("_g")).agg(
-        F.percentile_approx("_h", test_fraction, accuracy).alias("_t")).collect()
-    cond = F.lit(False)
-    for r in rows:
-        cond = F.when(group == F.lit(r["_g"]), F.col("_h") <= F.lit(int(r["_t"]))).otherwise(cond)
-    return h.withColumn("is_test", cond).drop("_h")
+    stratify = features.agg(F.coalesce(F.sum(label), F.lit(0)) >= min_positives).scalar()
+    h = (features.withColumn("_h", split_hash(keys, seed))
+         .withColumn("_g", F.when(stratify, F.col(label)).otherwise(0))
+         .withColumn("_top", F.shiftright("_h", 32)))
+    # at most two thresholds; the windows hold 2^16 counts, then one bucket's rows, of a class
+    counts = h.groupBy("_g", "_top").agg(F.count(F.lit(1)).alias("_n"))
+    of_class = Window.partitionBy("_g")
+    rank = F.greatest(F.ceil(F.lit(test_fraction) * F.sum("_n").over(of_class)), F.lit(1))
+    counts = counts.withColumn("_upto", F.sum("_n").over(of_class.orderBy("_top"))).withColumn("_rank", rank)
+    bucket = (counts.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+              .select("_g", "_top", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_place")))
+    ranked = (h.select("_g", "_top", "_h").join(F.broadcast(bucket), ["_g", "_top"])
+              .withColumn("_row", F.row_number().over(of_class.orderBy("_h"))))
+    limits = ranked.where(F.col("_row") == F.col("_place")).select("_g", F.col("_h").alias("_t"))
+    split = h.join(F.broadcast(limits), "_g").withColumn("is_test", F.col("_h") <= F.col("_t"))
+    return split.select(*features.columns, "is_test")
 
 
 def encoder_stages(cat=CAT_FEATURES, num=NUM_FEATURES) -> list:
@@ -199,7 +201,9 @@ def roc_auc(test_scored: DataFrame, score_col: str = "prob_late", label: str = L
     c = (b.withColumn("neg_before_in_bucket", F.coalesce(F.sum("neg").over(within), F.lit(0)))
           .join(F.broadcast(prior), "bucket"))
     nb = F.col("neg_before_bucket") + F.col("neg_before_in_bucket")
-    agg = c.agg(F.sum(F.col("pos") * (nb * 2 + F.col("neg"))).cast(T.LongType()).alias("num"),
+    wide = T.DecimalType(38, 0)  # pairs of rows outgrow 64 bits
+    below = (nb * 2 + F.col("neg")).cast(T.DecimalType(19, 0))
+    agg = c.agg(F.sum((F.col("pos").cast(T.DecimalType(18, 0)) * below).cast(wide)).cast(wide).alias("num"),
                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0),
                  F.col("num").cast(T.DoubleType()) / (F.col("P").cast(T.DoubleType()) * F.col("N") * 2)

@@ -59,8 +59,9 @@ def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[st
 
     ``since`` rebuilds only service dates on or after it: captures are read from
     UTC folders ``dt >= since - 1 day`` (a service day starts the previous UTC
-    day in the service zone) and only those ``service_date`` partitions are
-    replaced.  W1 never crosses service dates, so the rows equal a full rebuild.
+    day in the service zone) and exactly those ``service_date`` partitions are
+    replaced: dates that no longer have rows lose their folder.  W1 never crosses
+    service dates, so the rows equal a full rebuild.
     """
     b = lambda n: spark.read.parquet(_path(out_root, "bronze", n))
     updates = b("rt_trip_updates")
@@ -72,8 +73,19 @@ def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[st
     if since is not None:
         silver = silver.where(F.col("service_date") >= first)
     p = _path(out_root, "silver", "stop_delays")
-    sinks.replace_table(silver, path=p, partition_by=("service_date",),
-                        only_partitions_present=since is not None)
+    if since is None:
+        sinks.replace_table(silver, path=p, partition_by=("service_date",))
+        return p
+    dates = lambda: {r[0] for r in spark.read.parquet(p).where(F.col("service_date") >= first)
+                     .select("service_date").distinct().collect()}                              # days
+    before = dates()
+    new = f"{p}__since"
+    sinks.replace_table(silver, path=new, partition_by=("service_date",))
+    written = spark.read.schema(silver.schema).parquet(new)
+    now = {r[0] for r in written.select("service_date").distinct().collect()}
+    sinks.replace_table(written, path=p, partition_by=("service_date",), only_partitions_present=True)
+    sinks.drop_partitions(spark, p, "service_date", sorted(before - now))
+    sinks.delete(spark, new)
     return p
 
 
@@ -97,10 +109,10 @@ def refresh_gold(spark: SparkSession, out_root: str) -> dict[str, str]:
 def refresh(spark: SparkSession, out_root: str, captures_root: str, weather_path: str | None,
             schedule_dir: str | None = None, schedule_ext: str = "txt",
             tie_breakers: Sequence[str] = ("entity_id",), tolerant: bool = False,
-            since: str | date | None = None) -> dict[str, str]:
+            since: str | date | None = None, vehicles_root: str | None = None) -> dict[str, str]:
     """bronze -> silver -> gold in order; returns every written table's folder."""
     out = refresh_bronze(spark, out_root, captures_root, weather_path, schedule_dir, schedule_ext,
-                         tolerant=tolerant)
+                         vehicles_root=vehicles_root, tolerant=tolerant)
     out["stop_delays"] = refresh_silver(spark, out_root, tie_breakers, since)
     out.update(refresh_gold(spark, out_root))
     return out

@@ -95,16 +95,14 @@ def weather_rows(spark: SparkSession, d: str) -> DataFrame:
 
 # Trip-update feed ------------------------------------------------------------------
 def trip_update_feeds(spark: SparkSession, d: str) -> DataFrame:
-    """Feed messages from customers and their urgent, finished orders.
+    """Feed messages from customers and their orders.
 
     One entity per (customer, block of 64 order keys), one message per entity,
-    so no message grows with the data; a customer without such orders is one
+    so no message grows with the data; a customer without orders is one
     entity with an empty stop list.
     """
     c = fx.table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    o = (fx.table(spark, d, "orders")
-         .where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
-         .select("o_orderkey", "o_custkey", "o_totalprice"))
+    o = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     j = left_join_small(c, o, c["c_custkey"] == o["o_custkey"])
     ok, price = F.col("o_orderkey"), F.floor(F.col("o_totalprice"))
     stu = F.when(ok.isNotNull(), F.struct(
@@ -150,8 +148,7 @@ SELECT 'e' || CAST(c.c_custkey AS VARCHAR) || '_' || CAST(coalesce(o.o_orderkey
   {EPOCH0} + o.o_orderkey * 60 AS departure_time,
   CASE WHEN o.o_orderkey IS NULL THEN NULL WHEN o.o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS stu_schedule_relationship
 FROM customer c
-LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o
-  ON o.o_custkey = c.c_custkey""")
+LEFT JOIN orders o ON o.o_custkey = c.c_custkey""")
 def flatten_trip_updates(spark: SparkSession, d: str) -> DataFrame:
     return feed.flatten_trip_updates(trip_update_feeds(spark, d))
 

@@ -9,7 +9,8 @@ Everything is a built-in expression: no Python runs per row.
 Proto rules kept from the original parser: empty strings and zero timestamps
 are NULL (``x or None``); fields with explicit presence (direction, stop
 sequence, delays, times, bearing, speed) are NULL only when absent; schedule
-relationships default to SCHEDULED (0).
+relationships default to SCHEDULED (0) when absent.  A message that is not JSON
+of the feed's shape, or names an unknown relationship, fails the job.
 """
 
 from __future__ import annotations
@@ -33,11 +34,12 @@ def _zero_null(c: Column) -> Column:
 def _enum(c: Column, mapping: dict[str, int], default: int | None = 0) -> Column:
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
     code = F.coalesce(m[c], c.try_cast(T.IntegerType()))   # name or numeric form
-    return code if default is None else F.coalesce(code, F.lit(default))
+    unknown = F.raise_error(F.concat(F.lit("unknown schedule relationship "), c)).cast(T.IntegerType())
+    return F.when(c.isNull(), F.lit(default)).when(code.isNull(), unknown).otherwise(code)
 
 
 def _entities(feeds: DataFrame, feed_col: str, captured_col: str) -> DataFrame:
-    msg = F.from_json(F.col(feed_col), schemas.FEED_JSON)
+    msg = F.from_json(F.col(feed_col), schemas.FEED_JSON, {"mode": "FAILFAST"})
     return (feeds.select(msg.alias("_m"), F.col(captured_col).alias("captured_at"))
                  .select(_zero_null(F.col("_m.header.timestamp")).alias("feed_ts"), "captured_at",
                          F.explode("_m.entity").alias("_e")))
@@ -99,9 +101,13 @@ def flatten_vehicle_positions(feeds: DataFrame, feed_col: str = "feed",
 def read_feed_json(spark, path: str, captured_col: str = "captured_at") -> DataFrame:
     """Whole-file feed captures (one JSON message per file) -> (feed, captured_at).
 
-    The capture time is the file's modification time unless the caller supplies
-    its own column later.
+    The capture time is the epoch in the file's name (ten digits), else the feed
+    header's timestamp; a file with neither fails the job.  Copying a file does
+    not change it.
     """
     raw = spark.read.format("text").option("wholetext", "true").load(path)
-    return raw.select(F.col("value").alias("feed"),
-                      F.col("_metadata.file_modification_time").alias(captured_col))
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"(?<!\d)(\d{10})(?!\d)", 1).try_cast("long")
+    header = F.get_json_object("value", "$.header.timestamp").try_cast("long")
+    missing = F.raise_error(F.concat(F.lit("no capture time in "), F.col("_metadata.file_name"))).cast("long")
+    epoch = F.coalesce(named, F.when(header > 0, header), missing)
+    return raw.select(F.col("value").alias("feed"), F.timestamp_seconds(epoch).alias(captured_col))

@@ -42,7 +42,9 @@ def read_schedule_table(spark: SparkSession, path: str, multiline: bool = False)
             df = (spark.read.option("header", "true").option("inferSchema", "false")
                   .option("quote", '"').option("escape", '"').option("multiLine", str(multiline).lower())
                   .option("encoding", "UTF-8").csv(path))
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return as_all_strings(df)
 

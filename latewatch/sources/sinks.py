@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _files(spark, path)
+    fs.delete(where, True)
+
+
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """``path`` becomes the finished table ``new``; the old one goes last."""
+    fs, at = _files(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}__old-{uuid.uuid4().hex}")
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} away")
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), at):
+        if had:
+            fs.rename(old, at)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
                   fmt: str = "parquet", partition_by: tuple[str, ...] = (),
                   only_partitions_present: bool = False) -> None:
@@ -15,21 +42,35 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
 
     ``partition_by`` keeps folder partitions (so later filters prune them);
     ``only_partitions_present=True`` replaces just the partitions that occur in
-    ``df`` (dynamic partition overwrite) and keeps the others.  A failed job
-    leaves no ``_SUCCESS`` marker.  Never overwrite a path the same plan is reading.
+    ``df`` (dynamic partition overwrite) and keeps the others.  Rows are rebalanced
+    by the partition columns, so a folder gets few files however many tasks write.
+    A whole table at a path is written beside the old one and takes its place only
+    when it is complete: a failed job leaves the old table.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
         w = w.option("partitionOverwriteMode", "dynamic" if only_partitions_present else "static")
     if name:
         w.saveAsTable(name)
-    elif path:
+    elif path and only_partitions_present:
         w.save(path)
+    elif path:
+        new = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
+        w.save(new)
+        _swap(df.sparkSession, new, path.rstrip("/"))
     else:
         raise ValueError("give a table name or a path")
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Removes the folders of some values of a partition column."""
+    for v in values:
+        delete(spark, f"{path.rstrip('/')}/{column}={v}")
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``SELECT '<t>' AS tbl, count(*) AS n ... UNION ALL ... ORDER BY tbl`` in one job."""
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "n")

@@ -15,10 +15,10 @@ def weather_rows(payloads: DataFrame, payload_col: str = "payload") -> DataFrame
 
     ``time[]``, ``precipitation[]``, ``temperature_2m[]`` and optional ``rain[]``
     are zipped position by position (``arrays_zip`` + ``inline``); a missing rain
-    array gives NULL rain.  obs_date is characters 1-10 of the local time,
+    array gives NULL rain; a broken payload fails the job.  obs_date is characters 1-10 of the local time,
     obs_hour characters 12-13 as an int.
     """
-    h = F.from_json(F.col(payload_col), schemas.WEATHER_JSON).getField("hourly")
+    h = F.from_json(F.col(payload_col), schemas.WEATHER_JSON, {"mode": "FAILFAST"}).getField("hourly")
     times = h.getField("time")
     no_rain = F.array_repeat(F.lit(None).cast(T.DoubleType()), F.size(times))
     zipped = F.arrays_zip(times, h.getField("precipitation"),
@@ -45,6 +45,8 @@ def read_weather(spark: SparkSession, path: str) -> DataFrame | None:
     """The weather table from its Parquet file, or ``None`` when it is absent."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return to_weather_contract(df)

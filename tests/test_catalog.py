@@ -13,12 +13,13 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from latewatch.plans import catalog  # noqa: E402
 from latewatch.plans.fixtures import DRIVER_TABLES  # noqa: E402
 from oracle_check import _rows  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,7 @@ def test_every_key_has_an_oracle_or_is_model_output():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"ml_encode", "delay_predictions", "scenario_scores"}
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

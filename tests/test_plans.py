@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from latewatch.plans import catalog as entry
 from latewatch.plans.catalog_base import fixture_silver
 from conftest import SF_SMALL
 

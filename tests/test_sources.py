@@ -127,3 +127,57 @@ def test_table_counts_and_replace(spark, tmp_path):
     sinks.replace_table(a, path=p)
     sinks.replace_table(b, path=p)
     assert spark.read.parquet(p).count() == 2
+
+
+def _fails(df, *words):
+    import pytest
+    with pytest.raises(Exception) as e:
+        df.collect()
+    assert all(w in str(e.value) for w in words), str(e.value)[:500]
+
+
+def test_broken_input_fails_the_job(spark):
+    cut = spark.createDataFrame([(json.dumps(SMOKE)[:-40], datetime(2024, 6, 18, 3, 0))], "feed string, captured_at timestamp")
+    _fails(feed.flatten_trip_updates(cut), "MALFORMED_RECORD_IN_PARSING")
+    _fails(feed.flatten_vehicle_positions(cut), "MALFORMED_RECORD_IN_PARSING")
+    _fails(weather.weather_rows(spark.createDataFrame([('{"hourly": {"time": ["2024-01-0',)], "payload string")), "MALFORMED_RECORD_IN_PARSING")
+    odd = json.loads(json.dumps(SMOKE))
+    odd["entity"][0]["tripUpdate"]["stopTimeUpdate"][0]["scheduleRelationship"] = "NEW_KIND"
+    _fails(feed.flatten_trip_updates(spark.createDataFrame([(json.dumps(odd), datetime(2024, 6, 18))], "feed string, captured_at timestamp")), "NEW_KIND")
+
+
+def test_only_a_missing_path_counts_as_absent(spark, tmp_path):
+    import pytest
+    assert schedule.read_schedule_table(spark, str(tmp_path / "none.parquet")) is None
+    assert weather.read_weather(spark, str(tmp_path / "none.parquet")) is None
+    (tmp_path / "empty.parquet").mkdir()
+    for read in (schedule.read_schedule_table, weather.read_weather):
+        with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA|infer"):
+            read(spark, str(tmp_path / "empty.parquet"))
+
+
+def test_capture_time_is_not_the_files_date(spark, tmp_path):
+    import os
+    import shutil
+    a, b = tmp_path / "a", tmp_path / "b"
+    a.mkdir(), b.mkdir()
+    (a / "feed_1718600000.json").write_text(json.dumps(SMOKE))
+    (a / "plain.json").write_text(json.dumps(SMOKE))
+    shutil.copytree(a, b, dirs_exist_ok=True)
+    for f in b.iterdir():
+        os.utime(f, (1, 1))
+    times = [sorted(r[0] for r in feed.read_feed_json(spark, str(x)).selectExpr("unix_timestamp(captured_at)").collect()) for x in (a, b)]
+    assert times[0] == times[1] == [1718600000, 1718700000]
+    (b / "none.json").write_text("{}")
+    _fails(feed.read_feed_json(spark, str(b)), "no capture time")
+
+
+def test_a_failed_replace_keeps_the_old_table(spark, tmp_path):
+    p = str(tmp_path / "t")
+    sinks.replace_table(spark.range(5), path=p)
+    import pytest
+    with pytest.raises(Exception):
+        sinks.replace_table(spark.range(5).select(F.raise_error(F.lit("stop")).alias("x")), path=p)
+    assert spark.read.parquet(p).count() == 5
+    sinks.replace_table(spark.range(7), path=p)
+    assert spark.read.parquet(p).count() == 7

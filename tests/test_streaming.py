@@ -46,3 +46,52 @@ def test_ingest_and_latest_state_equal_batch(spark, tmp_path):
     ingest.merge_batch(last, 99, state, ("entity_id",))
     again = sorted(map(_key, ingest.read_latest_state(spark, state).collect()), key=repr)
     assert again == want
+
+
+def _state(spark, state):
+    return sorted(map(_key, ingest.read_latest_state(spark, state).collect()), key=repr)
+
+
+def test_a_job_that_dies_at_any_write_loses_nothing(spark, tmp_path, monkeypatch):
+    """Stops before, between and after the writes of a batch, then replays its id."""
+    import pytest
+    from pyspark.sql.readwriter import DataFrameWriter
+    u = fx.fx_trip_updates(spark, SF_SMALL).withColumn("entity_id", F.col("event_id").cast("string"))
+    day = F.dayofmonth("captured_at")
+    batches = [u.where((day >= lo) & (day <= hi)) for lo, hi in [(1, 10), (9, 20), (18, 31)]]
+    want = sorted(map(_key, latest_stop_events(prepare_updates(u, tie_breakers=("entity_id",)), ("entity_id",)).collect()), key=repr)
+    for broken, after in (("parquet", False), ("parquet", True), ("json", False), ("json", True)):
+        state = str(tmp_path / f"{broken}-{after}")
+        for i, batch in enumerate(batches):
+            if i:
+                plain = getattr(DataFrameWriter, broken)
+
+                def dies(self, *a, **k):
+                    if after:
+                        plain(self, *a, **k)
+                    raise RuntimeError("lost")
+                before = _state(spark, state)
+                with monkeypatch.context() as m:
+                    m.setattr(DataFrameWriter, broken, dies)
+                    with pytest.raises(RuntimeError):
+                        ingest.merge_batch(batch, i, state)
+                if not (broken == "json" and after):
+                    assert _state(spark, state) == before
+            ingest.merge_batch(batch, i, state)
+        assert _state(spark, state) == want
+
+
+def test_stream_refresh_and_stream_again(spark, tmp_path):
+    """The batch refresh replaces its own table only; the stream goes on."""
+    from latewatch.plans.pipeline import refresh_bronze
+    landing, lake = str(tmp_path / "landing"), str(tmp_path / "lake")
+    u = fx.fx_trip_updates(spark, SF_SMALL).withColumn("entity_id", F.col("event_id").cast("string"))
+    captures.land_captures(u.where(F.dayofmonth("captured_at") <= 15), landing)
+    go = lambda: ingest.start_capture_ingest(spark, landing, f"{lake}/stream/rt_trip_updates", f"{lake}/cp").awaitTermination()
+    go()
+    refresh_bronze(spark, lake, landing, None)
+    captures.land_captures(u.where(F.dayofmonth("captured_at") > 15), landing)
+    go()
+    assert spark.read.parquet(f"{lake}/stream/rt_trip_updates").count() == u.count()
+    refresh_bronze(spark, lake, landing, None)
+    assert spark.read.parquet(f"{lake}/bronze/rt_trip_updates").count() == u.count()
