@@ -38,7 +38,13 @@ from .common import slices
 
 NEVER = 1 << 60
 #: Token pairs that a worker remembers.
-PAIRS = 500_000
+PAIRS = 100_000
+#: Words of one trie.
+RUN = 8192
+#: Text bytes encoded at once.
+SLICE = 2 << 20
+#: Pieces and chunks that a worker remembers.
+PIECES, CHUNKS = 150_000, 80_000
 
 
 class Vocabulary:
@@ -64,9 +70,7 @@ class Vocabulary:
             a, b = (self.ids[spell(x)] for x in (pair if isinstance(pair, list) else pair.split(" ")))
             self.merges[a << 32 | b] = rank
             parts.setdefault(self.ids[self.text[a] + self.text[b]], (a, b, rank))
-        self.right, self.left = {}, {}
-        for i in self.ids.values():
-            self.right[i], self.left[i] = self._edge(parts, i, 1), self._edge(parts, i, 0)
+        self.parts = parts
         self.packed = [np.array([i], np.uint32).tobytes() for i in range(top + 1)]
         self._automaton()
 
@@ -104,20 +108,19 @@ class Vocabulary:
             found = self._step.get(state << 8 | b)
         return found or 0
 
-    @staticmethod
-    def _edge(parts: dict, token: int, side: int) -> list[tuple[int, int]]:
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """(part, rank of the merge that takes it) along one edge of a token, from the token down."""
         out, taken = [(token, NEVER)], token
-        while taken in parts:
-            rank = parts[taken][2]
-            taken = parts[taken][side]
+        while taken in self.parts:
+            rank = self.parts[taken][2]
+            taken = self.parts[taken][side]
             out.append((taken, rank))
         return out
 
     def go_together(self, a: int, b: int) -> bool:
         """Whether the merges leave token ``a`` before token ``b`` as they are."""
-        get, right = self.merges.get, self.right[a]
-        for y, until_y in self.left[b]:
+        get, right = self.merges.get, self._edge(a, 1)
+        for y, until_y in self._edge(b, 0):
             for x, until_x in right:
                 rank = get(x << 32 | y)
                 if rank is not None and rank < until_x and rank <= until_y:
@@ -133,17 +136,26 @@ class TrieEncoder:
         self._known: dict[int, bool] = {}
 
     def __call__(self, words: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
+        """Little-endian 32-bit ids of each word.
+
+        In runs of sorted words, so that a trie stays small and shares most.
+        """
+        out: list[bytes] = [b""] * len(words)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        for at in range(0, len(order), RUN):
+            self._walk(words, order[at:at + RUN], out)
+        return out
+
+    def _walk(self, words: list[str], numbers: list[int], out: list[bytes]) -> None:
         root: dict = {}
-        for number, word in enumerate(words):
+        for number in numbers:
             node = root
-            for b in word.encode():
+            for b in words[number].encode():
                 nxt = node.get(b)
                 if nxt is None:
                     nxt = node[b] = {}
                 node = nxt
             node[-1] = number
-        out: list[bytes] = [b""] * len(words)
         v, known = self.v, self._known
         step, ends, together = v.step, v.ends, v.go_together
         last, size = [0], [0]  # of the path's prefixes: their last tokens, and how long those are
@@ -172,7 +184,6 @@ class TrieEncoder:
                     out[child] = self._read(last, size)
                 else:
                     stack.append((n + 1, b, child, state))
-        return out
 
     def _read(self, last: list[int], size: list[int]) -> bytes:
         ids, n, packed = [], len(last) - 1, self.v.packed
@@ -187,7 +198,7 @@ class Codec:
 
     def __init__(self, path: str) -> None:
         self.v = Vocabulary(path)
-        self.encode = ChunkEncoder(TrieEncoder(self.v), self._whole, list(self.v.special))
+        self.encode = ChunkEncoder(TrieEncoder(self.v), self._whole, list(self.v.special), PIECES, CHUNKS)
         self._split = re.compile("(" + "|".join(map(re.escape, self.v.special)) + ")") if self.v.special else None
 
     def _whole(self, text: str) -> bytes:
@@ -223,7 +234,7 @@ def _coded(path: str, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 ids, at = own.encode(part.column("text"))
                 n, said, back, full = [], [], [], []
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):

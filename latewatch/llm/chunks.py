@@ -55,8 +55,10 @@ class ChunkEncoder:
     whole: one text to the same; special: strings that make a text go there.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], special: list[str]) -> None:
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], special: list[str],
+                 n_pieces: int = PIECES, n_chunks: int = CHUNKS) -> None:
         self.encode_pieces, self.whole, self.special = encode_pieces, whole, special
+        self.n_pieces, self.n_chunks = n_pieces, n_chunks
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.find = regex.compile(PATTERN).findall
@@ -68,7 +70,7 @@ class ChunkEncoder:
         new = list({p for ps in cut for p in ps if p not in known})
         fresh = dict(zip(new, self.encode_pieces(new), strict=True)) if new else {}
         out = [known[ps[0]] if len(ps) == 1 and ps[0] in known else b"".join([known[p] if p in known else fresh[p] for p in ps]) for ps in cut]
-        if len(known) < PIECES:
+        if len(known) < self.n_pieces:
             known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
         return out
 
@@ -109,7 +111,7 @@ class ChunkEncoder:
         for i in np.flatnonzero(slow).tolist():
             text = texts[i].as_py()
             own[i] = self.whole(text) if any(s in text for s in self.special) else b"".join(self._encode(self.find(text)))
-        if len(held) < CHUNKS:
+        if len(held) < self.n_chunks:
             held.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
         # spread the distinct ids over all places
         place = index.copy()

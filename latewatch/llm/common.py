@@ -52,6 +52,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def raw(column: pa.Array) -> list[bytes]:

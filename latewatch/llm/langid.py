@@ -38,6 +38,8 @@ CELLS = 18
 SHARED = 4.0
 PENALTY = 2.0
 ROUNDS = 6
+#: Text bytes looked at at once: each takes some forty bytes of arrays.
+SLICE = 2 << 20
 #: Letters to themselves (A-Z to a-z), bytes of other scripts too, all else to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 LETTER = re.compile(r"[^\W\d_]")
@@ -62,7 +64,7 @@ def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(part.column("lang").to_pylist(), raw(part.column("text")), strict=True):
                 by.setdefault(lang, []).append(text)
@@ -185,7 +187,7 @@ def predict(model: Model, texts: list[bytes], detail: bool = False) -> tuple[lis
 def _predicted(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 found, score, _ = predict(model.value, raw(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(found, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
     return run
@@ -206,7 +208,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def _kept(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 found, _, _ = predict(model.value, raw(part.column("text")))
                 yield part.filter(pa.array([x != "und" for x in found]))
     return run

@@ -70,12 +70,10 @@ def test_decoding_broken_bytes(codec):
 
 
 def test_small_memory_gives_the_same(codec, monkeypatch):
-    from latewatch.llm import chunks
     import pyarrow as pa
     texts = pa.array([t for t in ODD_TEXTS if t])
     want = codec.encode(texts)[0].tolist()
-    monkeypatch.setattr(chunks, "PIECES", 3)
-    monkeypatch.setattr(chunks, "CHUNKS", 2)
     monkeypatch.setattr(bpe, "PAIRS", 2)
-    small = ChunkEncoder(bpe.TrieEncoder(codec.v), codec._whole, list(codec.v.special))
+    monkeypatch.setattr(bpe, "RUN", 3)
+    small = ChunkEncoder(bpe.TrieEncoder(codec.v), codec._whole, list(codec.v.special), 3, 2)
     assert small(texts)[0].tolist() == want and small(texts)[0].tolist() == want
