@@ -103,7 +103,7 @@ FROM weather_delay GROUP BY CASE WHEN is_raining THEN 'Wet' ELSE 'Dry' END""", "
     lambda spark, d: D.widget_weather(A.weather_delay(fixture_silver(spark, d))))
 
 
-from . import q_operators, q_sources, q_model  # noqa: E402,F401  (register their queries)
+from . import q_operators, q_sources, q_model, q_lake  # noqa: E402,F401  (register their queries)
 
 
 def queries() -> dict[str, Query]:

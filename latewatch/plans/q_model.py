@@ -1,8 +1,9 @@
 """Model queries (P14, M1-M9) over the fixture silver table.
 
-Fitted probabilities cannot be reproduced by SQL, so ``ml_encode``,
-``delay_predictions`` and ``scenario_scores`` are rows-only; the evaluation
-operators are checked on the deterministic score ``sched_hour / 24``.
+Fitted probabilities cannot be reproduced by SQL, so ``delay_predictions`` and
+``scenario_scores`` are rows-only; the evaluation operators are checked on the
+deterministic score ``sched_hour / 24``.  ``ml_encode`` returns the encoded
+vectors as one row per (event, position).
 """
 
 from __future__ import annotations
@@ -126,15 +127,31 @@ register("scenario_features", _over(
     lambda spark, d: M.scenario_features(fixture_silver(spark, d)))
 
 
-# rows-only: fitted model output ---------------------------------------------------------
-@register("ml_encode", None)
+_NUMERIC = "".join(f"""
+UNION ALL SELECT trip_id, stop_id, service_date,
+  CAST((SELECT count(*) FROM lines) + (SELECT count(*) FROM days) + {i} AS INTEGER), CAST({c} AS DOUBLE) FROM features"""
+                   for i, c in enumerate(M.NUM_FEATURES))
+ENCODE_SQL = f"""
+SELECT trip_id, stop_id, service_date, CAST(l.at AS INTEGER) AS position,
+  CASE WHEN f.line_code = l.name THEN CAST(1 AS DOUBLE) ELSE 0 END AS value FROM features f, lines l
+UNION ALL SELECT trip_id, stop_id, service_date, CAST((SELECT count(*) FROM lines) + w.at AS INTEGER),
+  CASE WHEN f.day_of_week = w.name THEN CAST(1 AS DOUBLE) ELSE 0 END FROM features f, days w{_NUMERIC}"""
+
+
+def _categories(c: str) -> str:
+    return f"SELECT {c} AS name, row_number() OVER (ORDER BY {c}) - 1 AS at FROM features GROUP BY {c}"
+
+
+@register("ml_encode", Q.over_silver(ENCODE_SQL, ("features", FEATURES_SQL), ("lines", _categories("line_code")),
+                                     ("days", _categories("day_of_week"))))
 def ml_encode(spark: SparkSession, d: str) -> DataFrame:
     f = features(spark, d)
     enc = Pipeline(stages=M.encoder_stages()).fit(f)
     return enc.transform(f).select("trip_id", "stop_id", "service_date",
-                                   vector_to_array("features").alias("features"))
+                                   F.posexplode(vector_to_array("features")).alias("position", "value"))
 
 
+# rows-only: fitted model output ---------------------------------------------------------
 def _fitted(spark: SparkSession, d: str):
     s = split(spark, d)
     return M.fit_model(s.where(~F.col("is_test"))), s

@@ -6,19 +6,20 @@
   discovery, so filters on ``dt``/``hour`` prune directories.
 * :func:`read_captures_tolerant` (S2) reads files written by other tools whose
   column types drift from file to file (int vs double delays, all-NULL columns,
-  nanosecond timestamps): footers are read in parallel, files are grouped by
-  footer schema, each group is read with its own schema and cast to the
-  contract, and the groups are unioned by name.
+  nanosecond timestamps): Spark's own file systems hand each file to a task,
+  which decodes it and casts its columns to the contract.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions.columns import utc_wall_clock
@@ -46,70 +47,47 @@ def read_captures(spark: SparkSession, root: str, schema: T.StructType = schemas
     return spark.read.schema(with_partitions(schema)).option("basePath", root).parquet(root)
 
 
-def conform(df: DataFrame, schema: T.StructType, nanos_columns: frozenset = frozenset()) -> DataFrame:
-    """Cast/rename ``df`` to ``schema``: missing columns are NULL, extra ones dropped.
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast/rename ``df`` to ``schema``: missing columns are NULL, extra ones dropped."""
+    have = set(df.columns)
+    return df.select([(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in schema.fields])
 
-    ``nanos_columns`` hold nanosecond epochs read as BIGINT; they become micros
-    timestamps.
-    """
-    cols = []
-    have = {f.name: f.dataType for f in df.schema.fields}
-    for f in schema.fields:
-        if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif f.name in nanos_columns and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            ns = F.col(f.name) - F.pmod(F.col(f.name), F.lit(1000))     # floor to whole micros
-            micros = (ns.cast(T.DecimalType(38, 0)) / F.lit(1000)).cast(T.LongType())
-            cols.append(F.timestamp_micros(micros).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return df.select(cols)
-
-
-def list_parquet_files(spark: SparkSession, root: str) -> DataFrame:
-    """Distributed listing of the Parquet files below ``root`` (file contents are not read)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-
-
-def _footer_signatures(batches):
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    for pdf in batches:
-        sigs = []
-        for p in pdf["path"]:
-            fs, rel = pafs.FileSystem.from_uri(p)
-            sch = pq.read_schema(rel, filesystem=fs)
-            sigs.append(";".join(f"{f.name}:{f.type}" for f in sch))
-        yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
-
-
-def footer_groups(spark: SparkSession, root: str) -> list[tuple[str, list[str]]]:
-    """(footer schema, files) groups; footers are read by the executors.
-
-    Only the distinct schemas and their file names reach the driver — the same
-    metadata a file listing holds.
-    """
-    sigs = list_parquet_files(spark, root).mapInPandas(_footer_signatures, "path string, signature string")
-    rows = sigs.groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    return sorted((r["signature"], list(r["paths"])) for r in rows)
+
+def _cast(column: pa.Array, kind: pa.DataType) -> pa.Array:
+    """Times lose what is below a microsecond (those without a zone are UTC); any other loss is an error."""
+    return column.cast(kind, safe=not pa.types.is_timestamp(kind))
+
+
+def _decoded(schema: T.StructType):
+    """Parquet files (content and partition columns) to rows of the contract."""
+    want = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                of_file = {n: batch.column(n)[i] for n in batch.schema.names if n != "content"}
+                for part in pq.ParquetFile(pa.BufferReader(batch.column("content")[i].as_buffer())).iter_batches():
+                    columns = []
+                    for f in want:
+                        if f.name in part.schema.names:
+                            columns.append(_cast(part.column(f.name), f.type))
+                        elif f.name in of_file:
+                            columns.append(_cast(pa.repeat(of_file[f.name], part.num_rows), f.type))
+                        else:
+                            columns.append(pa.nulls(part.num_rows, f.type))
+                    yield pa.RecordBatch.from_arrays(columns, schema=want)
+    return run
 
 
 def read_captures_tolerant(spark: SparkSession, root: str,
                            schema: T.StructType = schemas.TRIP_UPDATES) -> DataFrame:
     """Drift-tolerant scan of captures written with per-file inferred types.
 
-    Sets ``spark.sql.legacy.parquet.nanosAsLong`` when a group stores
-    nanosecond timestamps (Spark refuses them otherwise).
+    A task holds the files of one scan split at a time (``spark.sql.files.maxPartitionBytes``,
+    or one larger file).  Columns are not pruned at the file, so land what it returns
+    once and scan that with :func:`read_captures`.
     """
-    parts = []
-    for sig, paths in footer_groups(spark, root):
-        nanos = frozenset(item.split(":", 1)[0] for item in sig.split(";")
-                          if ":timestamp[ns" in item)
-        if nanos:
-            spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-        df = spark.read.option("basePath", root).parquet(*paths)
-        parts.append(conform(df, with_partitions(schema), nanos))
-    if not parts:
-        return spark.createDataFrame([], with_partitions(schema))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    keep = [f.name for f in PARTITIONS.fields if f.name in files.columns]
+    return files.select("content", *keep).mapInArrow(_decoded(with_partitions(schema)), with_partitions(schema))

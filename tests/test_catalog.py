@@ -32,7 +32,7 @@ def duck():
 
 def test_every_key_has_an_oracle_or_is_model_output():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"ml_encode", "delay_predictions", "scenario_scores"}
+    assert rows_only == {"delay_predictions", "scenario_scores"}
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 

@@ -1,5 +1,6 @@
 """Model operators: split proportions and determinism, encoding, metrics edge cases."""
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -78,3 +79,19 @@ def test_model_learns_a_signal(spark):
         "line_code string, day_of_week string, sched_hour int, route_type int, rain boolean, "
         "precip_mm double, is_suburban_i int, is_raining_i int")).orderBy("sched_hour").collect()
     assert [r.verdict for r in sc] == ["probably on time", "LIKELY LATE"]
+
+
+def test_fit_is_at_its_optimum(spark):
+    """The gradient of the balanced, penalised likelihood is near zero at the fitted coefficients."""
+    f = M.ml_features(fixture_silver(spark, SF_CHECK))
+    train = M.train_test_split(f).where(~F.col("is_test"))
+    model = M.fit_model(train, max_iter=500)
+    rows = model.transform(train).select(vector_to_array("features").alias("x"), "is_late_5min").toPandas()
+    x, y = np.stack(rows["x"]), rows["is_late_5min"].to_numpy(float)
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    lr = model.stages[-1]
+    beta = lr.coefficients.toArray()
+    residual = w * (1 / (1 + np.exp(-(x @ beta + lr.intercept))) - y)
+    scale = (w[:, None] * np.abs(x)).sum(0) + 1          # of a residual of one in every row
+    assert np.abs((x.T @ residual + beta) / scale).max() < 1e-3
+    assert abs(residual.mean()) < 1e-3
