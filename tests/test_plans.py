@@ -10,6 +10,8 @@ from latewatch.plans.catalog_base import fixture_silver
 from conftest import SF_SMALL
 
 FITTED = {"ml_encode", "delay_predictions", "scenario_scores"}   # explain would fit a model
+#: Jobs that write and stream before there is a plan, which is then a scan; tests/test_catalog.py runs them.
+THROUGH_FILES = {"capture_scan", "capture_scan_tolerant", "stream_ingest", "stream_latest", "medallion_refresh"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -19,7 +21,7 @@ def plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - FITTED))
+@pytest.mark.parametrize("key", sorted(set(entry.queries()) - FITTED - THROUGH_FILES))
 def test_no_pair_explosion_or_python_rows(spark, key):
     p = plan(entry.queries()[key](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
