@@ -1,10 +1,10 @@
 """Gold aggregates over the silver table.
 
-All are ``groupBy().agg()`` with partial (map-side) aggregation; the distinct
-counts are rewritten by Catalyst into a distributed de-duplication before the
-final merge, and the percentiles are exact ``percentile_disc`` whose state is
-a value->count map, so its size is bounded by the distinct delay values (0.01
-minute resolution), not by the number of rows.  Averages and percentages use
+All are ``groupBy().agg()`` with partial (map-side) aggregation.  Where distinct
+counts and exact percentiles meet (A1, A2), one scan counts the rows of each value
+of each column (grouping sets), and everything follows from those counts; the
+percentiles' value counts are bounded by the distinct delays (0.01 minute
+resolution), not by the number of rows.  Averages and percentages use
 the exact integer rounding of :mod:`latewatch.functions.rounding`.
 
 ``any_value`` of the original is ``min`` here: several routes share one short
@@ -18,12 +18,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import params
-from ..functions.rounding import exact_avg, exact_pct
+from ..functions.rounding import exact_avg, exact_pct, round_ratio
 
 
-def percentile_disc(col: str, q: float) -> Column:
-    """Exact discrete percentile (the smallest value whose cumulative share >= q)."""
-    return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})")
+def _by_value(rows: DataFrame, by: list[str], values: list[str], *sums: Column) -> DataFrame:
+    """One row for each value of each column of ``values`` (and each ``by``), from one scan.
+
+    Every column is a grouping set of its own: ``_n`` counts the rows of a value and
+    ``_of`` names the column it is of.
+    """
+    of = F.coalesce(*[F.when(F.grouping(v) == 0, F.lit(v)) for v in values])
+    return rows.groupingSets([[*by, v] for v in values], *by, *values).agg(
+        of.alias("_of"), F.count(F.lit(1)).alias("_n"), *sums)
+
+
+def _distinct(col: str) -> Column:
+    """``count(DISTINCT col)`` over the rows of :func:`_by_value`."""
+    return F.count(F.when(F.col("_of") == col, F.col(col)))
+
+
+def _total(of: str, x: Column) -> Column:
+    """Sum over the rows of one of the grouping sets of :func:`_by_value`."""
+    return F.coalesce(F.sum(F.when(F.col("_of") == of, x)), F.lit(0)).cast(T.LongType())
+
+
+def _delays() -> list[Column]:
+    """Of the delay's grouping set: rows, rows with a delay, their sum (0.01 minutes), value counts in order."""
+    d = F.col("delay_minutes")
+    known = d.isNotNull()
+    return [_total("delay_minutes", F.col("_n")).alias("stop_events"),
+            _total("delay_minutes", F.when(known, F.col("_n"))).alias("_known"),
+            _total("delay_minutes", F.round(d * F.lit(100.0)).cast(T.LongType()) * F.col("_n")).alias("_sum"),
+            F.sort_array(F.collect_list(F.when((F.col("_of") == "delay_minutes") & known,
+                                               F.struct(d.alias("v"), F.col("_n").alias("n"))))).alias("_values")]
+
+
+def _percentile(q: float) -> Column:
+    """Exact discrete percentile (the smallest value whose cumulative share >= q) of ``_values``."""
+    rank = F.greatest(F.ceil(F.lit(q) * F.col("_known")), F.lit(1))
+    start = F.struct(F.lit(0).cast(T.LongType()).alias("seen"), F.lit(None).cast(T.DoubleType()).alias("value"))
+
+    def step(a: Column, x: Column) -> Column:
+        seen = a["seen"] + x["n"]
+        return F.struct(seen.alias("seen"),
+                        F.when(a["value"].isNull() & (seen >= rank), x["v"]).otherwise(a["value"]).alias("value"))
+    return F.round(F.aggregate("_values", start, step, lambda a: a["value"]), 2)
 
 
 def _avg() -> Column:
@@ -34,62 +73,47 @@ def _pct_late() -> Column:
     return exact_pct(F.col("is_late_5min")).alias("pct_late_5min")
 
 
-def _rounded_pct(col: str, q: float, name: str) -> Column:
-    return F.round(percentile_disc(col, q), 2).alias(name)
-
-
 def _suburban(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("is_suburban"))
 
 
 def network_kpi(silver: DataFrame, late_seconds: int = params.LATE_SECONDS) -> DataFrame:
-    """A1: one row of suburban network KPIs.
-
-    The two percentiles run as one scalar subquery: mixed into the distinct-count
-    aggregation they would push every (expand id, distinct value) group through
-    the object-hash aggregate's sort fallback.
-    """
-    sub = _suburban(silver)
-    pct = sub.agg(F.struct(percentile_disc("delay_minutes", 0.5).alias("p50"),
-                           percentile_disc("delay_minutes", 0.9).alias("p90"))).scalar()
-    main = sub.agg(
-        F.count(F.lit(1)).alias("stop_events"),
-        F.countDistinct("trip_id").alias("trips"),
-        F.countDistinct("line_code").alias("lines"),
-        _avg(),
-        _pct_late(),
-        exact_pct(F.col("delay_seconds") <= late_seconds).alias("pct_on_time"),
-        F.min("service_date").alias("first_day"),
-        F.max("service_date").alias("last_day"),
-        F.countDistinct("captured_at").alias("captures"),
-    )
-    return main.select(
-        "stop_events", "trips", "lines", "avg_delay_min",
-        F.round(pct.getField("p50"), 2).alias("median_delay_min"),
-        F.round(pct.getField("p90"), 2).alias("p90_delay_min"),
-        "pct_late_5min", "pct_on_time", "first_day", "last_day", "captures")
+    """A1: one row of suburban network KPIs, from one scan."""
+    counts = _by_value(
+        _suburban(silver), [], ["delay_minutes", "trip_id", "line_code", "captured_at"],
+        F.count(F.when(F.col("is_late_5min"), 1)).alias("_late"),
+        F.count(F.when(F.col("delay_seconds") <= late_seconds, 1)).alias("_on_time"),
+        F.min("service_date").alias("_first"), F.max("service_date").alias("_last"))
+    k = counts.agg(
+        *_delays(),
+        _distinct("trip_id").alias("trips"), _distinct("line_code").alias("lines"),
+        _distinct("captured_at").alias("captures"),
+        _total("delay_minutes", F.col("_late")).alias("_late"),
+        _total("delay_minutes", F.col("_on_time")).alias("_on_time"),
+        F.min("_first").alias("first_day"), F.max("_last").alias("last_day"))
+    return k.select(
+        "stop_events", "trips", "lines",
+        round_ratio(F.col("_sum"), F.col("_known"), 2).alias("avg_delay_min"),
+        _percentile(0.5).alias("median_delay_min"), _percentile(0.9).alias("p90_delay_min"),
+        round_ratio(F.col("_late") * 1000, F.col("stop_events"), 1).alias("pct_late_5min"),
+        round_ratio(F.col("_on_time") * 1000, F.col("stop_events"), 1).alias("pct_on_time"),
+        "first_day", "last_day", "captures")
 
 
 def line_punctuality(silver: DataFrame) -> DataFrame:
-    """A2: every line (suburban or not) with its punctuality.
-
-    The per-line percentile is its own aggregation (one object-hash group per
-    line) joined back on line_code; both sides have one row per line.
-    """
-    lines = silver.where(F.col("line_code").isNotNull())
-    main = lines.groupBy("line_code").agg(
-        F.min("line_name").alias("line_name"),
-        F.min("is_suburban").alias("is_suburban"),
-        F.min("route_type").alias("route_type"),
-        F.count(F.lit(1)).alias("stop_events"),
-        F.countDistinct("trip_id").alias("trips"),
-        _avg(),
-        _pct_late(),
-    )
-    p90 = lines.groupBy("line_code").agg(_rounded_pct("delay_minutes", 0.9, "p90_delay_min"))
-    return main.join(p90, "line_code").select(
-        "line_code", "line_name", "is_suburban", "route_type", "stop_events", "trips",
-        "avg_delay_min", "p90_delay_min", "pct_late_5min")
+    """A2: every line (suburban or not) with its punctuality, from one scan."""
+    described = ["line_name", "is_suburban", "route_type"]
+    counts = _by_value(
+        silver.where(F.col("line_code").isNotNull()), ["line_code"], ["delay_minutes", "trip_id"],
+        F.count(F.when(F.col("is_late_5min"), 1)).alias("_late"), *[F.min(c).alias(c) for c in described])
+    k = counts.groupBy("line_code").agg(
+        *_delays(), _distinct("trip_id").alias("trips"),
+        _total("delay_minutes", F.col("_late")).alias("_late"), *[F.min(c).alias(c) for c in described])
+    return k.select(
+        "line_code", *described, "stop_events", "trips",
+        round_ratio(F.col("_sum"), F.col("_known"), 2).alias("avg_delay_min"),
+        _percentile(0.9).alias("p90_delay_min"),
+        round_ratio(F.col("_late") * 1000, F.col("stop_events"), 1).alias("pct_late_5min"))
 
 
 def hourly_punctuality(silver: DataFrame) -> DataFrame:
