@@ -85,8 +85,16 @@ def main() -> None:
         run(key, lambda q=q: q(spark, sf_dir), "collect" if key.startswith("e2e") else "noop")
 
     total = round(sum(times.values()), 3)
+    once: dict[str, float] = {}
+    t0 = time.perf_counter()
+    rows = M.train_test_split(M.ml_features(silver))
+    model = M.fit_model(rows.where(~M.F.col("is_test")))
+    once["fit"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    M.delay_predictions(M.weights(model), rows).write.format("noop").mode("overwrite").save()
+    once["score"] = round(time.perf_counter() - t0, 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times,
+    print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times, "once": once,
                       "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf, "cpus": cpus}))
 
 

@@ -12,16 +12,18 @@ scoring and evaluation all run as Spark jobs.
   five raw numerics; logistic regression with balanced class weights and the
   L2 strength of a unit-C penalised likelihood (``regParam = 1 / n_train``).
 * ROC AUC (M8): exact, tie-aware rank statistic computed from per-score class
-  counts; the running count of negatives is taken per score bucket (balanced
-  buckets from an approximate quantile pass) plus a prefix over the bucket
-  totals, so no window ever holds all scores in one task.
+  counts; the running count of negatives is taken per score bucket (about as many
+  distinct scores in each, bounds from an approximate quantile pass) plus a prefix
+  over the bucket totals, so no window ever holds all scores in one task.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,21 +138,79 @@ def fit_model(train: DataFrame, label: str = LABEL, max_iter: int = params.MAX_I
     return Pipeline(stages=encoder_stages() + [lr]).fit(weighted)
 
 
-def score(model: PipelineModel, features: DataFrame,
+class Weights(NamedTuple):
+    """A linear classifier by name: a category that is not listed weighs nothing."""
+
+    intercept: float
+    categories: dict[str, dict[str, float]]
+    numbers: dict[str, float]
+
+
+def weights(model: PipelineModel) -> Weights:
+    """The fitted coefficients by feature and category (as many numbers as the model has)."""
+    indexer, lr = model.stages[0], model.stages[-1]
+    beta = iter(lr.coefficients.toArray().tolist())
+    categories = {c: {x: next(beta) for x in labels}
+                  for c, labels in zip(CAT_FEATURES, indexer.labelsArray, strict=True)}
+    return Weights(float(lr.intercept), categories, {c: next(beta) for c in NUM_FEATURES})
+
+
+def _linear(w: Weights) -> F.Column:
+    z = F.lit(w.intercept)
+    for c, known in w.categories.items():
+        if known:
+            by_name = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+            z = z + F.coalesce(by_name[F.col(c)], F.lit(0.0))
+    for c, x in w.numbers.items():
+        z = z + F.lit(x) * F.col(c).cast(T.DoubleType())
+    return z
+
+
+def score(model: PipelineModel | Weights, features: DataFrame,
           threshold: float = params.PREDICT_THRESHOLD) -> DataFrame:
-    """M5: probability of being late and the 0/1 prediction for every row."""
-    scored = model.transform(features)
-    return (scored.withColumn("prob_late", vector_to_array("probability").getItem(1))
-                  .withColumn("pred_late", (F.col("prob_late") >= threshold).cast(T.IntegerType())))
+    """M5: probability of being late and the 0/1 prediction for every row.
+
+    ``model`` is a fitted pipeline or its :func:`weights`, which score without leaving
+    generated code and without the feature vector's columns.
+    """
+    if isinstance(model, Weights):
+        scored = features.withColumn("prob_late", F.lit(1.0) / (F.lit(1.0) + F.exp(-_linear(model))))
+    else:
+        scored = model.transform(features).withColumn("prob_late", vector_to_array("probability").getItem(1))
+    return scored.withColumn("pred_late", (F.col("prob_late") >= threshold).cast(T.IntegerType()))
+
 
+def fit_gradient(model: PipelineModel, train: DataFrame, label: str = LABEL) -> DataFrame:
+    """M4's check: the penalised, balanced likelihood's gradient at the fitted coefficients.
 
-def delay_predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """M5: the 9-column prediction table (all rows, training rows included)."""
-    return score(model, features).select(
+    One row a position of the feature vector (-1: the intercept): the gradient as a share
+    of what residuals of one in every row would give.
+    """
+    weighted, _ = balanced_weights(train, label)
+    lr = model.stages[-1]
+    residual = (F.col("weight") * (F.col("prob_late") - F.col(label))).alias("residual")
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    rows = score(model, weighted).select("weight", residual, F.posexplode(x).alias("position", "x"))
+    beta = F.array(*[F.lit(float(b)) for b in [*lr.coefficients.toArray(), 0.0]])     # the intercept is not penalised
+    sums = rows.groupBy("position").agg(F.sum(F.col("residual") * F.col("x")).alias("g"),
+                                        F.sum(F.col("weight") * F.abs("x")).alias("scale"))
+    last = lr.numFeatures
+    return sums.select(F.when(F.col("position") == last, -1).otherwise(F.col("position")).alias("position"),
+                       ((F.col("g") + beta[F.col("position")]) / (F.col("scale") + 1)).alias("gradient"))
+
+
+def predictions(scored: DataFrame) -> DataFrame:
+    """The 9 columns of the prediction table."""
+    return scored.select(
         "trip_id", "stop_id", "service_date", "line_code", "sched_hour", "delay_minutes",
         F.col(LABEL).cast(T.IntegerType()).alias(LABEL), "prob_late", "pred_late")
 
 
+def delay_predictions(model: PipelineModel | Weights, features: DataFrame) -> DataFrame:
+    """M5: the prediction table (all rows, training rows included)."""
+    return predictions(score(model, features))
+
+
 def classifier_metrics(split_scored: DataFrame, label: str = LABEL, pred: str = "pred_late") -> DataFrame:
     """M6: precision, recall, F1 (0/0 -> 0) on the test part; n_train, n_test, n_pos overall."""
     y, p, t = F.col(label) == 1, F.col(pred) == 1, F.col("is_test")
@@ -181,23 +241,32 @@ def confusion_matrix(test_scored: DataFrame, label: str = LABEL, pred: str = "pr
 
 
 def roc_auc(test_scored: DataFrame, score_col: str = "prob_late", label: str = LABEL,
-            buckets: int = 1024) -> DataFrame:
+            buckets: int = 32) -> DataFrame:
     """M8: exact ROC AUC (ties count one half); NaN when the test part has one class.
 
     AUC = sum_s pos_s * (2 * neg_below_s + neg_s) / (2 * P * N), all counts exact
-    integers, so the single final division is the only rounding.
+    integers, so the single final division is the only rounding.  The running count
+    of negatives is taken in ``buckets ** 2`` runs of about as many distinct scores.
     """
     per_score = test_scored.groupBy(F.col(score_col).alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast(T.LongType()).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast(T.LongType()).alias("neg"))
-    qs = per_score.approxQuantile("score", [i / buckets for i in range(1, buckets)], 1.0 / buckets)
-    splits = [float("-inf")] + sorted(set(q for q in qs if q is not None)) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="score", outputCol="bucket").transform(per_score)
-    totals = b.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))          # <= buckets rows
+    # boundaries as a subquery (nothing runs before an action); coarse ones first, then those of one run
+    cuts = [i / buckets ** 2 for i in range(1, buckets ** 2)]
+    bounds = per_score.agg(F.percentile_approx("score", cuts, 4 * buckets ** 2)).scalar()
+    b = per_score.withColumn("_bounds", bounds)
+    s, bounds = F.col("score"), F.col("_bounds")
+    coarse = F.filter(F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: F.get(bounds, i * buckets - 1)),
+                      lambda c: c <= s)
+    b = b.withColumn("_run", F.size(coarse) * buckets)
+    inside = F.filter(F.transform(F.sequence(F.lit(0), F.lit(buckets - 2)), lambda i: F.get(bounds, F.col("_run") + i)),
+                      lambda c: c <= s)
+    b = b.withColumn("bucket", F.col("_run") + F.size(inside)).drop("_run", "_bounds")
+    totals = b.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))          # <= buckets ** 2 rows
     prior = totals.withColumn("neg_before_bucket", F.coalesce(F.sum("bucket_neg").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("bucket_neg")
     within = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    # ``prior`` has at most len(splits) - 1 rows (one per bucket): a bound known before it runs
+    # ``prior`` has at most buckets ** 2 rows: a bound known before it runs
     c = (b.withColumn("neg_before_in_bucket", F.coalesce(F.sum("neg").over(within), F.lit(0)))
           .join(F.broadcast(prior), "bucket"))
     nb = F.col("neg_before_bucket") + F.col("neg_before_in_bucket")
@@ -230,7 +299,7 @@ def scenario_inputs(s: DataFrame, wet_mm: float = params.SCENARIO_WET_MM,
         (precip >= rain_mm).cast(T.IntegerType()).alias("is_raining_i"))
 
 
-def scenario_scores(model: PipelineModel, scenarios: DataFrame,
+def scenario_scores(model: PipelineModel | Weights, scenarios: DataFrame,
                     threshold: float = params.PREDICT_THRESHOLD) -> DataFrame:
     """M9: probability and verdict for each scenario row."""
     s = score(model, scenarios, threshold)

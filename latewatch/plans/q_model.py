@@ -1,9 +1,10 @@
 """Model queries (P14, M1-M9) over the fixture silver table.
 
-Fitted probabilities cannot be reproduced by SQL, so ``delay_predictions`` and
-``scenario_scores`` are rows-only; the evaluation operators are checked on the
-deterministic score ``sched_hour / 24``.  ``ml_encode`` returns the encoded
-vectors as one row per (event, position).
+``delay_predictions`` and ``scenario_scores`` score with the documented weights below,
+so that SQL gives the same probabilities; ``fit_optimum`` fits the model and tells for
+each position of its feature vector whether the likelihood's gradient is near zero there.
+The evaluation operators are checked on the deterministic score ``sched_hour / 24``.
+``ml_encode`` returns the encoded vectors as one row per (event, position).
 """
 
 from __future__ import annotations
@@ -151,19 +152,57 @@ def ml_encode(spark: SparkSession, d: str) -> DataFrame:
                                    F.posexplode(vector_to_array("features")).alias("position", "value"))
 
 
-# rows-only: fitted model output ---------------------------------------------------------
-def _fitted(spark: SparkSession, d: str):
-    s = split(spark, d)
-    return M.fit_model(s.where(~F.col("is_test"))), s
+# scoring with documented weights -----------------------------------------------------------
+#: Lines and days that are not listed weigh nothing, as categories unseen in training do.
+WEIGHTS = M.Weights(
+    intercept=-1.5,
+    categories={"line_code": {"T1": 0.5, "T2": -0.25, "T4": 1.0, "T8": -0.75, "C11": 0.25},
+                "day_of_week": {"Mon": 0.25, "Tue": 0.125, "Fri": 0.5, "Sat": -0.5, "Sun": -1.0}},
+    numbers={"sched_hour": 0.0625, "route_type": 0.125, "precip_mm": 0.375, "is_suburban_i": 0.25, "is_raining_i": 0.5})
+PROB_DIGITS = 9          # engines may differ in the last bit of exp()
 
 
-@register("delay_predictions", None)
+def _linear_sql(w: M.Weights) -> str:
+    cases = [f"CASE {c} {' '.join(f'WHEN {x!r} THEN {b}' for x, b in known.items())} ELSE 0 END"
+             for c, known in w.categories.items()]
+    return " + ".join([str(w.intercept), *cases, *[f"{b} * {c}" for c, b in w.numbers.items()]])
+
+
+_PROB = f"1 / (1 + exp(-CAST({_linear_sql(WEIGHTS)} AS DOUBLE)))"
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumn("prob_late", F.round("prob_late", PROB_DIGITS))
+
+
+@register("delay_predictions", _over(f"""
+SELECT trip_id, stop_id, service_date, line_code, sched_hour, delay_minutes, is_late_5min,
+  round(p, {PROB_DIGITS}) AS prob_late, CASE WHEN p >= {params.PREDICT_THRESHOLD} THEN 1 ELSE 0 END AS pred_late
+FROM (SELECT *, {_PROB} AS p FROM features) f""", "features"))
 def delay_predictions(spark: SparkSession, d: str) -> DataFrame:
-    model, s = _fitted(spark, d)
-    return M.delay_predictions(model, s)
+    return _rounded(M.delay_predictions(WEIGHTS, features(spark, d)))
 
 
-@register("scenario_scores", None)
+_RAIN_OR_NOT = [_SCEN.format(rain="true", mm=params.SCENARIO_WET_MM), _SCEN.format(rain="false", mm=params.SCENARIO_DRY_MM)]
+
+
+@register("scenario_scores", _over(f"""
+SELECT line_code, day_of_week, sched_hour, route_type, rain, round(p, {PROB_DIGITS}) AS prob_late,
+  CASE WHEN p >= {params.PREDICT_THRESHOLD} THEN '{params.LIKELY_LATE}' ELSE '{params.PROBABLY_ON_TIME}' END AS verdict
+FROM (SELECT *, {_PROB} AS p FROM ({' UNION ALL '.join(_RAIN_OR_NOT)}) s) t""", "features"))
 def scenario_scores(spark: SparkSession, d: str) -> DataFrame:
-    model, _ = _fitted(spark, d)
-    return M.scenario_scores(model, M.scenario_features(fixture_silver(spark, d)))
+    return _rounded(M.scenario_scores(WEIGHTS, M.scenario_features(fixture_silver(spark, d))))
+
+
+# the fit -----------------------------------------------------------------------------------
+GRADIENT_LIMIT = 1e-3
+
+
+@register("fit_optimum", _over(f"""
+SELECT CAST(position AS INTEGER) AS position, true AS at_optimum
+FROM (SELECT unnest(range(-1, count(DISTINCT line_code) + count(DISTINCT day_of_week) + {len(M.NUM_FEATURES)})) AS position
+      FROM split WHERE NOT is_test) p""", "split"))
+def fit_optimum(spark: SparkSession, d: str) -> DataFrame:
+    train = split(spark, d).where(~F.col("is_test"))
+    gradient = M.fit_gradient(M.fit_model(train), train)
+    return gradient.select("position", (F.abs("gradient") < GRADIENT_LIMIT).alias("at_optimum"))

@@ -2,8 +2,9 @@
 
 Reads the written silver table, splits, fits, evaluates on the test part and
 batch-scores every row into ``gold/delay_predictions``; the fitted pipeline is
-saved with Spark ML's writer under ``models/late5_classifier``.  Only scalar
-metrics come back to the driver.
+saved with Spark ML's writer under ``models/late5_classifier``.  The split and the
+scored rows are each written once below ``spark.checkpoint.dir`` and everything
+else reads them there (a local session without that setting: ``work`` in the lake).  Only scalar metrics come back to the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import model as M
+from ..session import scratch_path
 from ..sources import sinks
 
 
@@ -25,22 +27,30 @@ def train_and_score(spark: SparkSession, lake_root: str, max_iter: int = M.param
     from .pipeline import read_silver
     silver = read_silver(spark, lake_root)
     feats = M.ml_features(silver)
-    split = M.train_test_split(feats)
+    work = scratch_path(spark, "training", lake_path(lake_root, "work"))
+    split = _written(M.train_test_split(feats), f"{work}/split")
     model = M.fit_model(split.where(~F.col("is_test")), max_iter=max_iter)
     model.write().overwrite().save(lake_path(lake_root, "models", "late5_classifier"))
 
-    scored = M.score(model, split)
+    scored = M.score(M.weights(model), split)
+    scored = _written(scored, f"{work}/scored")
     test = scored.where(F.col("is_test"))
     metrics = M.classifier_metrics(scored).first().asDict()
     metrics["auc"] = M.roc_auc(test).first()["auc"]
-    balance = M.class_balance(feats).first()
+    balance = M.class_balance(scored).first()
     metrics.update(rows=balance["rows"], positives=balance["positives"], rate=balance["rate"])
     cm = {(r["actual"], r["predicted"]): r["n"] for r in M.confusion_matrix(test).collect()}   # 4 rows
     metrics["confusion_matrix"] = [[cm[(0, 0)], cm[(0, 1)]], [cm[(1, 0)], cm[(1, 1)]]]
-    sinks.replace_table(M.delay_predictions(model, split), path=lake_path(lake_root, "gold", "delay_predictions"))
+    sinks.replace_table(M.predictions(scored), path=lake_path(lake_root, "gold", "delay_predictions"))
+    sinks.delete(spark, work)
     return metrics
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_model(lake_root: str) -> PipelineModel:
     return PipelineModel.load(lake_path(lake_root, "models", "late5_classifier"))
 

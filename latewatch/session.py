@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,14 +44,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS/S3/ABFS) folder there.  Only when it is
-    unset — local tests — is ``fallback`` set as the session's checkpoint dir.
+    A cluster names a shared (HDFS/S3/ABFS) folder there.  Only under a local
+    master, when it is unset, is ``fallback`` set as the session's checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not root:
-        if not fallback:
-            raise RuntimeError("spark.checkpoint.dir is unset and no fallback folder was given")
+        if not fallback or not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = fallback
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -62,17 +61,3 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run of one job."""
     return f"{checkpoint_root(spark, fallback)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Make ``DataFrame.checkpoint()`` usable: point the context at the shared folder."""
-    root = checkpoint_root(spark, fallback)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

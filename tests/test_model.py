@@ -50,6 +50,7 @@ def test_auc_matches_pairwise_definition(spark):
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert abs(M.roc_auc(df).first().auc - want) < 1e-15
     assert abs(M.roc_auc(df, buckets=4).first().auc - want) < 1e-15
 
 
@@ -63,6 +64,26 @@ def test_fit_and_score(spark):
     assert 0.0 <= auc <= 1.0          # fixture lateness carries no signal
 
 
+def test_auc_of_many_scores(spark):
+    """More distinct scores than runs, most of them in a sliver of the range."""
+    rng = np.random.default_rng(3)
+    y, score = rng.integers(0, 2, 6000), rng.random(6000) ** 12
+    score[::7] = score[0]
+    df = spark.createDataFrame(list(zip(y.tolist(), score.tolist())), "is_late_5min int, prob_late double")
+    pos, neg = score[y == 1], score[y == 0]
+    want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+    for buckets in (2, 32):
+        assert abs(M.roc_auc(df, buckets=buckets).first().auc - want) < 1e-12
+
+
+def test_weights_score_like_the_pipeline(spark):
+    s = M.train_test_split(M.ml_features(fixture_silver(spark, SF_CHECK)))
+    model = M.fit_model(s.where(~F.col("is_test")), max_iter=50)
+    s = s.withColumn("line_code", F.when(F.col("is_test"), F.col("line_code")).otherwise("unseen"))
+    both = M.score(M.weights(model), M.score(model, s).withColumnRenamed("prob_late", "p"))
+    assert both.where(F.abs(F.col("p") - F.col("prob_late")) < 1e-12).count() == s.count()
+
+
 def test_model_learns_a_signal(spark):
     rows = [(f"trip{i}", "s1", "T1" if i % 2 else "CCN", "Mon", h, 2, 0.0, i % 2, 0, 0.0, int(h >= 17))
             for i in range(240) for h in [i % 24]]

@@ -9,7 +9,7 @@ from latewatch.plans import catalog as entry
 from latewatch.plans.catalog_base import fixture_silver
 from conftest import SF_SMALL
 
-FITTED = {"ml_encode", "delay_predictions", "scenario_scores"}   # explain would fit a model
+FITTED = {"ml_encode", "fit_optimum"}   # explain would fit a model
 #: Jobs that write and stream before there is a plan, which is then a scan; tests/test_catalog.py runs them.
 THROUGH_FILES = {"capture_scan", "capture_scan_tolerant", "stream_ingest", "stream_latest", "medallion_refresh"}
 
@@ -79,3 +79,14 @@ def test_one_scan_aggregates_on_missing_values_and_empty_input(spark):
     k = A.network_kpi(df.limit(0)).first()
     assert (k.stop_events, k.trips, k.captures) == (0, 0, 0) and k.median_delay_min is None and k.pct_on_time is None
     assert A.line_punctuality(df.limit(0)).count() == 0
+
+
+def test_tables_have_their_contract(spark):
+    from latewatch import schemas
+    from latewatch.operators import model as M
+    from latewatch.plans.q_model import WEIGHTS
+    silver = fixture_silver(spark, SF_SMALL)
+    silver = silver.withColumn("captured_at", silver.captured_at.cast("timestamp"))   # the driver's events have no zone
+    predictions = M.delay_predictions(WEIGHTS, M.ml_features(silver))
+    for df, want in ((silver, schemas.SILVER), (predictions, schemas.PREDICTIONS)):
+        assert {f.name: f.dataType for f in df.schema} == {f.name: f.dataType for f in want}
