@@ -10,9 +10,9 @@ share under the full mixture, as long as the likelihood gains more than
 ``PENALTY / 2 * ln(words)`` for each.  The answer is the language with the largest
 proportion, and that proportion is the score.
 
-Training counts are summed by Spark over all rows; a model holds at most 2^24
-trigrams a language (a byte trigram has no more), and tasks get it hashed into
-2^18 cells a language.
+Training counts are summed by Spark over all rows (written to the shared folder), and
+so are the models' probabilities; driver and tasks get them hashed into 2^18 cells a
+language, whatever the size of the corpus.
 
 A text that is null or has no letter is ``und`` with score 0, as is any text when
 nothing was learnt.  Null languages are not learnt from; a null doc_id counts as
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import raw, slices
+from .common import raw, slices, written
 
 CELLS = 18
 #: Pseudo-counts that the shared model has in each language's.
@@ -84,23 +84,12 @@ def cell(codes: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Log-probabilities of trigrams by language."""
+    """Log-probabilities of hashed trigrams by language: languages x 2^CELLS."""
 
-    def __init__(self, langs: list[str], code: np.ndarray, lang: np.ndarray, n: np.ndarray) -> None:
+    def __init__(self, langs: list[str], cells: np.ndarray, logs: np.ndarray) -> None:
         self.langs = langs
-        codes, place = np.unique(code, return_inverse=True)
-        seen = np.zeros((len(langs), len(codes)))
-        np.add.at(seen, (lang, place), n)
-        contexts, of = np.unique(codes >> 8, return_inverse=True)
-        total = np.zeros((len(langs), len(contexts)))
-        np.add.at(total, (slice(None), of), seen)
-        share = seen / np.maximum(seen.sum(1, keepdims=True), 1)  # languages weigh alike in the shared model
-        both = np.zeros(len(contexts))
-        np.add.at(both, of, share.sum(0))
-        shared = (share.sum(0) + 1e-9) / (both[of] + 256e-9)
-        table = np.full((len(langs), 1 << CELLS), -np.log(256.0), np.float32)
-        table[:, cell(codes)] = np.log((seen + SHARED * shared) / (total[:, of] + SHARED))
-        self.table = table
+        self.table = np.full((len(langs), 1 << CELLS), -np.log(256.0), np.float32)
+        self.table[:, cells] = logs
 
     def words(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word: languages x words."""
@@ -108,12 +97,34 @@ class Model:
         return np.stack([np.add.reduceat(t[at], first) for t in self.table]) if len(first) else np.zeros((len(self.langs), 0), np.float32)
 
 
+def log_probabilities(counted: DataFrame, totals: dict[str, int]) -> DataFrame:
+    """cell and p0, p1, ...: of each language in the order of ``totals`` (trigrams by language).
+
+    The shared model weighs languages alike.  All sums are over a trigram or over the at
+    most 256 trigrams of one context; of trigrams in one cell the largest code counts.
+    """
+    seen = counted.groupBy("code").pivot("lang", list(totals)).agg(F.sum("n"))
+    n = [f"n{i}" for i in range(len(totals))]
+    seen = seen.toDF("code", *n).na.fill(0)
+    share = sum((F.col(c) / F.lit(float(t)) for c, t in zip(n, totals.values(), strict=True)), F.lit(0.0))
+    context = Window.partitionBy(F.shiftright("code", 8))
+    seen = seen.withColumn("share", share)
+    shared = (F.col("share") + 1e-9) / (F.sum("share").over(context) + 256e-9)
+    seen = seen.select("code", *n, shared.alias("shared"), *[F.sum(c).over(context).alias(f"of_{c}") for c in n])
+    logs = [F.log((F.col(c) + SHARED * F.col("shared")) / (F.col(f"of_{c}") + SHARED)).cast("float").alias(f"p{i}") for i, c in enumerate(n)]
+    at = F.shiftright((F.col("code").cast("long") * 2654435769).bitwiseAND(0xFFFFFFFF), 32 - CELLS).alias("cell")
+    found = seen.select(at, "code", *logs).groupBy("cell").agg(F.max_by(F.struct(*[f"p{i}" for i in range(len(n))]), "code").alias("p"))
+    return found.select("cell", "p.*")
+
+
 def fit(rows: DataFrame) -> Model:
-    """The model of all rows' text and lang."""
-    found = counts(rows).toPandas()  # at most 2^24 trigrams a language
-    langs = sorted(found["lang"].unique())
-    number = {x: i for i, x in enumerate(langs)}
-    return Model(langs, found["code"].to_numpy(np.int64), found["lang"].map(number).to_numpy(np.int64), found["n"].to_numpy(np.float64))
+    """The model of all rows' text and lang; the driver gets at most 2^CELLS rows."""
+    counted = written(counts(rows), "trigrams")
+    totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}  # languages
+    if not totals:
+        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
+    found = log_probabilities(counted, totals).toPandas()
+    return Model(list(totals), found["cell"].to_numpy(np.int64), found.drop(columns="cell").to_numpy(np.float32).T)
 
 
 def _sums(x: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Language, toxicity and quality: held-out accuracy, brute force on the exact parts, odd rows."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -45,6 +46,25 @@ def test_trigrams_and_counts_against_brute_force(spark):
     assert sum(v for (k, _), v in got.items() if k == "aa") == len(want) and sum(v for (k, _), v in got.items() if k == "bb") == 3
 
 
+def test_model_against_brute_force(spark):
+    words = {"aa": "ab abc ba", "bb": "ab xyz", "cc": "zz"}
+    model = langid.fit(spark.createDataFrame([(t, x) for x, t in words.items()] + [("abc", "aa"), ("12", "dd"), (None, "ee")], "text string, lang string"))
+    seen = {}
+    for x, t in [*words.items(), ("aa", "abc")]:
+        for c in langid.trigrams([t.encode()])[0].tolist():
+            seen.setdefault(x, Counter())[c] += 1
+    assert model.langs == sorted(seen)
+    share = lambda x, c: seen[x][c] / seen[x].total()
+    codes = sorted({c for n in seen.values() for c in n})
+    for c in codes:
+        same = [d for d in codes if d >> 8 == c >> 8]
+        shared = (sum(share(x, c) for x in seen) + 1e-9) / (sum(share(x, d) for x in seen for d in same) + 256e-9)
+        for x, row in zip(model.langs, model.table, strict=True):
+            want = np.log((seen[x][c] + langid.SHARED * shared) / (sum(seen[x][d] for d in same) + langid.SHARED))
+            assert abs(row[langid.cell(np.array([c]))[0]] - want) < 1e-5
+    assert (model.table == np.float32(-np.log(256.0))).sum() == model.table.size - len(codes) * len(seen)
+
+
 def test_mixture_proportions_and_language_set(tables):
     model = langid.fit(tables[0].where(~langid.held_out()))
     own = {}
