@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -27,11 +27,15 @@ def _path(out_root: str, layer: str, name: str) -> str:
 
 def refresh_bronze(spark: SparkSession, out_root: str, captures_root: str, weather_path: str | None,
                    schedule_dir: str | None = None, schedule_ext: str = "txt",
-                   vehicles_root: str | None = None, tolerant: bool = False) -> dict[str, str]:
+                   vehicles_root: str | None = None, tolerant: bool = False,
+                   since: str | date | None = None) -> dict[str, str]:
     """Land the bronze tables; returns table name -> folder.
 
     ``tolerant=True`` reads captures written by other tools with per-file type
-    drift (S2) instead of the fixed-schema scan (S1).
+    drift (S2) instead of the fixed-schema scan (S1).  ``since`` copies only the
+    captures of UTC folders ``dt >= since - 1 day`` into a table that is there:
+    their hours are replaced, hours without captures are dropped, and what is older
+    stays as it is.
     """
     written = {}
     scan = captures.read_captures_tolerant if tolerant else captures.read_captures
@@ -45,14 +49,34 @@ def refresh_bronze(spark: SparkSession, out_root: str, captures_root: str, weath
     if schedule_dir:
         for t, df in schedule.read_schedule(spark, schedule_dir, ext=schedule_ext).items():
             tables[f"gtfs_{t}"] = df
+    roots = {"rt_trip_updates": captures_root, "rt_vehicle_positions": vehicles_root}
     for name, df in tables.items():
-        p = _path(out_root, "bronze", name)
-        parts = ("dt", "hour") if name.startswith("rt_") else ()   # captures keep their UTC folders
-        sinks.replace_table(df, path=p, partition_by=parts)
-        written[name] = p
+        p = written[name] = _path(out_root, "bronze", name)
+        if name not in roots:
+            sinks.replace_table(df, path=p)
+        elif since is None or not sinks.exists(spark, p):
+            sinks.replace_table(df, path=p, partition_by=HOURS)    # captures keep their UTC folders
+        else:
+            gone = _hours(spark, p, since) - _hours(spark, roots[name], since)
+            sinks.replace_table(df.where(_from(since)), path=p, partition_by=HOURS, only_partitions_present=True)
+            sinks.drop_partitions(spark, p, HOURS, sorted(gone))
     return written
 
 
+HOURS = ("dt", "hour")
+
+
+def _from(since: str | date) -> Column:
+    """The UTC folders that hold service days from ``since`` on."""
+    return F.col("dt") >= F.date_sub(F.lit(str(since)).cast("date"), 1)
+
+
+def _hours(spark: SparkSession, root: str, since: str | date) -> set[tuple]:
+    """The hour folders (24 a day) with captures; only file footers are read."""
+    found = captures.read_captures(spark, root).where(_from(since)).select(*HOURS).distinct()
+    return {tuple(r) for r in found.collect()}
+
+
 def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[str] = ("entity_id",),
                    since: str | date | None = None) -> str:
     """Build silver from the bronze folders and replace it (partitioned by service_date).
@@ -67,7 +91,7 @@ def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[st
     updates = b("rt_trip_updates")
     if since is not None:
         first = F.lit(str(since)).cast("date")
-        updates = updates.where(F.col("dt") >= F.date_sub(first, 1))
+        updates = updates.where(_from(since))
     silver = build_silver(updates, b("gtfs_routes"), b("gtfs_stops"), b("gtfs_stop_times"),
                           b("weather"), tie_breakers=tie_breakers)
     if since is not None:
@@ -84,7 +108,7 @@ def refresh_silver(spark: SparkSession, out_root: str, tie_breakers: Sequence[st
     written = spark.read.schema(silver.schema).parquet(new)
     now = {r[0] for r in written.select("service_date").distinct().collect()}
     sinks.replace_table(written, path=p, partition_by=("service_date",), only_partitions_present=True)
-    sinks.drop_partitions(spark, p, "service_date", sorted(before - now))
+    sinks.drop_partitions(spark, p, ("service_date",), [(day,) for day in sorted(before - now)])
     sinks.delete(spark, new)
     return p
 
@@ -112,7 +136,7 @@ def refresh(spark: SparkSession, out_root: str, captures_root: str, weather_path
             since: str | date | None = None, vehicles_root: str | None = None) -> dict[str, str]:
     """bronze -> silver -> gold in order; returns every written table's folder."""
     out = refresh_bronze(spark, out_root, captures_root, weather_path, schedule_dir, schedule_ext,
-                         vehicles_root=vehicles_root, tolerant=tolerant)
+                         vehicles_root=vehicles_root, tolerant=tolerant, since=since)
     out["stop_delays"] = refresh_silver(spark, out_root, tie_breakers, since)
     out.update(refresh_gold(spark, out_root))
     return out

@@ -20,6 +20,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _files(spark, path)
+    return fs.exists(where)
+
+
 def _swap(spark: SparkSession, new: str, path: str) -> None:
     """``path`` becomes the finished table ``new``; the old one goes last."""
     fs, at = _files(spark, path)
@@ -65,10 +70,10 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
         raise ValueError("give a table name or a path")
 
 
-def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
-    """Removes the folders of some values of a partition column."""
+def drop_partitions(spark: SparkSession, path: str, columns: tuple[str, ...], values: list[tuple]) -> None:
+    """Removes the folders of some values of the partition columns."""
     for v in values:
-        delete(spark, f"{path.rstrip('/')}/{column}={v}")
+        delete(spark, "/".join([path.rstrip("/"), *[f"{c}={x}" for c, x in zip(columns, v, strict=True)]]))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

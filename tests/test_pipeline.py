@@ -64,7 +64,12 @@ def test_refresh(spark, tmp_path):
     captures.land_captures(u.where(~F.dayofmonth("captured_at").isin(24, 25, 26)), less)
     vehicles = str(raw / "vehicles")
     captures.land_captures(u.limit(3), vehicles, schemas.VEHICLE_POSITIONS)
+    bronze = tmp_path / "lake" / "bronze" / "rt_trip_updates"
+    files = lambda old: {str(f) for f in bronze.rglob("*.parquet") if (f.parts[-3] < "dt=2024-01-19") == old}
+    old, recent = files(True), files(False)
     refresh(spark, out, less, str(raw / "weather.parquet"), since="2024-01-20", vehicles_root=vehicles)
+    assert old and files(True) == old and not files(False) & recent          # older hours are not copied again
+    assert spark.read.parquet(str(bronze)).count() == captures.read_captures(spark, less).count()
     part = sorted((tuple(r) for r in read_silver(spark, out).collect()), key=repr)
     assert spark.read.parquet(f"{out}/bronze/rt_vehicle_positions").count() == 3
     refresh(spark, out, less, str(raw / "weather.parquet"))
