@@ -11,8 +11,9 @@ share under the full mixture, as long as the likelihood gains more than
 proportion, and that proportion is the score.
 
 Training counts are summed by Spark over all rows (written to the shared folder), and
-so are the models' probabilities; driver and tasks get them hashed into 2^18 cells a
-language, whatever the size of the corpus.
+so are the models' probabilities; driver and tasks get those of every counted trigram.
+Folded text has 155 different bytes, so that is at most 155^3 trigrams a language,
+whatever the size of the corpus, and each has a cell of its own.
 
 A text that is null or has no letter is ``und`` with score 0, as is any text when
 nothing was learnt.  Null languages are not learnt from; a null doc_id counts as
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 
 from .common import raw, slices, written
 
-CELLS = 18
 #: Pseudo-counts that the shared model has in each language's.
 SHARED = 4.0
 PENALTY = 2.0
@@ -43,6 +43,13 @@ SLICE = 2 << 20
 #: Letters to themselves (A-Z to a-z), bytes of other scripts too, all else to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 LETTER = re.compile(r"[^\W\d_]")
+#: Folded bytes and the number of each among them.
+BYTES = sorted(set(FOLD))
+PLACE = np.zeros(256, np.int32)
+PLACE[BYTES] = np.arange(len(BYTES))
+CELLS = len(BYTES) ** 3
+#: Log-probability of what no training row has.
+UNSEEN = np.float32(-np.log(256.0))
 
 
 def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,28 +87,37 @@ def counts(rows: DataFrame) -> DataFrame:
 
 
 def cell(codes: np.ndarray) -> np.ndarray:
-    return (codes.astype(np.uint32) * np.uint32(2654435769)) >> np.uint32(32 - CELLS)
+    """The cell of each trigram: one for every three folded bytes, shared by none."""
+    k = np.int32(len(BYTES))
+    return (PLACE[codes >> 16] * k + PLACE[codes >> 8 & 255]) * k + PLACE[codes & 255]
 
 
 class Model:
-    """Log-probabilities of hashed trigrams by language: languages x 2^CELLS."""
+    """Log-probabilities of all counted trigrams by language."""
 
-    def __init__(self, langs: list[str], cells: np.ndarray, logs: np.ndarray) -> None:
+    def __init__(self, langs: list[str], codes: np.ndarray, logs: np.ndarray) -> None:
         self.langs = langs
-        self.table = np.full((len(langs), 1 << CELLS), -np.log(256.0), np.float32)
-        self.table[:, cells] = logs
+        self.row = np.zeros(CELLS, np.int32)  # by cell; 0 is for trigrams not counted
+        self.row[cell(codes)] = np.arange(1, len(codes) + 1)
+        self.logs = np.full((len(langs), len(codes) + 1), UNSEEN, np.float32)
+        self.logs[:, 1:] = logs
+
+    @property
+    def table(self) -> np.ndarray:
+        """Log-probabilities of all cells: languages x CELLS."""
+        return self.logs[:, self.row]
 
     def words(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Log-likelihood of each word: languages x words."""
-        at = cell(codes)
-        return np.stack([np.add.reduceat(t[at], first) for t in self.table]) if len(first) else np.zeros((len(self.langs), 0), np.float32)
+        at = self.row[cell(codes)]
+        return np.stack([np.add.reduceat(t[at], first) for t in self.logs]) if len(first) else np.zeros((len(self.langs), 0), np.float32)
 
 
 def log_probabilities(counted: DataFrame, totals: dict[str, int]) -> DataFrame:
-    """cell and p0, p1, ...: of each language in the order of ``totals`` (trigrams by language).
+    """code and p0, p1, ...: of each language in the order of ``totals`` (trigrams by language).
 
     The shared model weighs languages alike.  All sums are over a trigram or over the at
-    most 256 trigrams of one context; of trigrams in one cell the largest code counts.
+    most 256 trigrams of one context.
     """
     seen = counted.groupBy("code").pivot("lang", list(totals)).agg(F.sum("n"))
     n = [f"n{i}" for i in range(len(totals))]
@@ -112,19 +128,17 @@ def log_probabilities(counted: DataFrame, totals: dict[str, int]) -> DataFrame:
     shared = (F.col("share") + 1e-9) / (F.sum("share").over(context) + 256e-9)
     seen = seen.select("code", *n, shared.alias("shared"), *[F.sum(c).over(context).alias(f"of_{c}") for c in n])
     logs = [F.log((F.col(c) + SHARED * F.col("shared")) / (F.col(f"of_{c}") + SHARED)).cast("float").alias(f"p{i}") for i, c in enumerate(n)]
-    at = F.shiftright((F.col("code").cast("long") * 2654435769).bitwiseAND(0xFFFFFFFF), 32 - CELLS).alias("cell")
-    found = seen.select(at, "code", *logs).groupBy("cell").agg(F.max_by(F.struct(*[f"p{i}" for i in range(len(n))]), "code").alias("p"))
-    return found.select("cell", "p.*")
+    return seen.select("code", *logs)
 
 
 def fit(rows: DataFrame) -> Model:
-    """The model of all rows' text and lang; the driver gets at most 2^CELLS rows."""
+    """The model of all rows' text and lang; the driver gets a row a counted trigram, at most CELLS."""
     counted = written(counts(rows), "trigrams")
     totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}  # languages
     if not totals:
-        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
-    found = log_probabilities(counted, totals).toPandas()
-    return Model(list(totals), found["cell"].to_numpy(np.int64), found.drop(columns="cell").to_numpy(np.float32).T)
+        return Model([], np.zeros(0, np.int32), np.zeros((0, 0), np.float32))
+    found = log_probabilities(counted, totals).toArrow()
+    return Model(list(totals), found.column("code").to_numpy(), np.stack([found.column(f"p{i}").to_numpy() for i in range(len(totals))]))
 
 
 def _sums(x: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -65,6 +65,23 @@ def test_model_against_brute_force(spark):
     assert (model.table == np.float32(-np.log(256.0))).sum() == model.table.size - len(codes) * len(seen)
 
 
+def test_every_trigram_keeps_its_own_probabilities(spark):
+    """Trigrams that a hash to 2^18 cells would merge: a frequent one of letters, a rare one of another script."""
+    hashed = lambda c: (c * 2654435769 & 0xFFFFFFFF) >> 14
+    letters = {hashed(c): c for x in range(97, 123) for y in range(97, 123) for z in range(97, 123) if (c := x << 16 | y << 8 | z)}
+    word, other = next((chr(x), c) for x in range(0x400, 0xD800) for c in langid.trigrams([chr(x).encode()])[0].tolist() if hashed(c) in letters)
+    mine = letters[hashed(other)]
+    text = mine.to_bytes(3, "big").decode()
+    model = langid.fit(spark.createDataFrame([(f"{text} " * 50, "aa"), (word, "bb")], "text string, lang string"))
+    both = langid.cell(np.array([mine, other]))
+    assert both[0] != both[1]
+    a, b = (dict(zip(model.langs, model.table[:, at])) for at in both)
+    assert a["aa"] > a["bb"] and b["bb"] > b["aa"]
+    assert langid.predict(model, [text.encode(), word.encode()])[0] == ["aa", "bb"]
+    every = np.array([x << 16 | y << 8 | z for x in langid.BYTES for y in langid.BYTES for z in langid.BYTES])
+    assert len(np.unique(langid.cell(every))) == len(every) == langid.CELLS
+
+
 def test_mixture_proportions_and_language_set(tables):
     model = langid.fit(tables[0].where(~langid.held_out()))
     own = {}
