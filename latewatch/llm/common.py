@@ -9,7 +9,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one step of a Python task holds at once (one longer document still goes whole).
 SLICE_BYTES = 8 << 20
@@ -41,6 +42,11 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def digest() -> Column:
+    """SHA-256 of the text (null as empty); with doc_id it tells rows apart, whose ids may repeat or be null."""
+    return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batch`` in runs whose ``column`` is at most ``limit`` bytes (or one row)."""
     if not batch.num_rows:

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices, written
+from .common import digest, raw, slices, written
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -50,7 +50,7 @@ RUN = 1 << 20
 #: Bytes of a word to themselves (A-Z to a-z), all others to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-INDEX = "uid long, n_words long, n_docs long, doc_ids array<long>, lengths binary, dictionary binary, ends binary, firsts binary, postings binary"
+INDEX = "uid long, n_words long, n_docs long, doc_ids array<long>, lengths binary, dictionary binary, ends binary, firsts binary, postings binary, digests array<binary>"
 
 
 def words(text: bytes) -> list[bytes]:
@@ -99,26 +99,28 @@ class Shard:
 def _indexed(shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in INDEX.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.list_(pa.binary())]
         uid = TaskContext.get().partitionId() << 40  # of the shard's first document
         number = defaultdict(itertools.count().__next__)
         docs: list = []
+        digests: list = []
         held: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal number, docs, held, size, uid
-            row = [uid, *Shard.build(docs, held, list(number)).row()]
+            nonlocal number, docs, digests, held, size, uid
+            row = [uid, *Shard.build(docs, held, list(number)).row(), digests]
             uid += len(docs)
-            number, docs, held, size = defaultdict(itertools.count().__next__), [], [], 0
+            number, docs, digests, held, size = defaultdict(itertools.count().__next__), [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
             for part in slices(batch):
-                for doc, text in zip(part.column("doc_id").to_pylist(), raw(part.column("text")), strict=True):
+                for doc, text, key in zip(part.column("doc_id").to_pylist(), raw(part.column("text")), part.column("digest").to_pylist(), strict=True):
                     own = words(text)
                     held.append(np.fromiter(map(number.__getitem__, own), np.uint32, len(own)))
                     docs.append(doc)
+                    digests.append(key)
                     size += len(own)
                     if size >= shard_words:
                         yield flush()
@@ -127,9 +129,10 @@ def _indexed(shard_words: int):
     return run
 
 
-def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The written index of doc_id, text: one row a shard."""
-    return written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_indexed(shard_words), INDEX), "postings")
+def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS, keyed: bool = False) -> DataFrame:
+    """The written index of doc_id, text: one row a shard; ``keyed``: with the texts' digests."""
+    key = digest() if keyed else F.lit(None).cast("binary")
+    return written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), key.alias("digest")).mapInArrow(_indexed(shard_words), INDEX), "postings")
 
 
 class TestBlock:
@@ -250,7 +253,7 @@ def _document(shard: Shard, block: TestBlock) -> tuple[dict, dict]:
     return spans, items
 
 
-FOUND = "uid long, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
+FOUND = "uid long, doc_id long, digest binary, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
 
 
 def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -267,9 +270,9 @@ def _found(block, first: bool):
                 spans, items = _document(shard, block.value)
                 say = [i for i in range(len(shard.doc_ids)) if first or i in items]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([row["uid"] + i for i in say], pa.int64()), pa.array([shard.doc_ids[i] for i in say], pa.int64()), pa.array(shard.lengths[say] if say else [], pa.int64()),
+                    pa.array([row["uid"] + i for i in say], pa.int64()), pa.array([shard.doc_ids[i] for i in say], pa.int64()), pa.array([row["digests"][i] for i in say], pa.binary()), pa.array(shard.lengths[say] if say else [], pa.int64()),
                     pa.array([[{"a": a, "b": b} for a, b in spans.get(i, ())] for i in say], span),
-                    pa.array([sorted(items.get(i, ())) for i in say], pa.list_(pa.int64()))], names=["uid", "doc_id", "n_words", "spans", "items"])
+                    pa.array([sorted(items.get(i, ())) for i in say], pa.list_(pa.int64()))], names=["uid", "doc_id", "digest", "n_words", "spans", "items"])
     return run
 
 
@@ -289,12 +292,12 @@ def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[in
         yield held
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """uid, doc_id, n_words, spans (hit words as [a, b)), items of every row of ``docs``.
+def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS, keyed: bool = False) -> DataFrame:
+    """uid, doc_id, digest, n_words, spans (hit words as [a, b)), items of every row of ``docs``.
 
-    uid numbers the rows of the index.
+    uid numbers the rows of the index; digest is null unless ``keyed``.
     """
-    spark, index, found = docs.sparkSession, build_index(docs, shard_words), []
+    spark, index, found = docs.sparkSession, build_index(docs, shard_words, keyed), []
     for held in blocks(items, limit):
         found.append(index.mapInArrow(_found(spark.sparkContext.broadcast(TestBlock(held, window)), not found), FOUND))
     if not found:
@@ -302,7 +305,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int
     if len(found) == 1:
         return found[0]
     found = reduce(DataFrame.unionByName, found)
-    return found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    return found.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("digest").alias("digest"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,8 +320,12 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             named.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
         words_ = batch.column("n_words").to_numpy(zero_copy_only=False)
         hit = np.array(n_hit, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(hit), pa.array(n_items, pa.int64()), pa.array(named, pa.string()), pa.array((hit > 0) & (20 * hit >= words_))],
-                                         names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), batch.column("n_words"), pa.array(hit), pa.array(n_items, pa.int64()), pa.array(named, pa.string()), pa.array((hit > 0) & (20 * hit >= words_))],
+                                         names=["doc_id", "digest", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+
+def _verdicts(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    return matches(docs, items, **options).mapInArrow(_judged, "doc_id long, digest binary, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def judge(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -326,7 +333,7 @@ def judge(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
     Contaminated: a twentieth of the words or more lie in windows of test items.
     """
-    return matches(docs, items, **options).mapInArrow(_judged, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return _verdicts(docs, items, **options).drop("digest")
 
 
 def _near(block, slop: int):
@@ -353,6 +360,10 @@ def near(docs: DataFrame, items: DataFrame, slop: int, window: int = WINDOW, lim
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated (by doc_id), with all their columns."""
-    lost = judge(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"].eqNullSafe(lost["__lost"]), "left_anti")
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    Rows are told apart by doc_id and text: repeated and null ids take no other row along.
+    """
+    lost = _verdicts(docs, items, keyed=True, **options).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))
+    return docs.withColumn("__digest", digest()).join(lost, same, "left_anti").drop("__digest")

@@ -36,10 +36,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices, written
+from .common import digest, raw, slices, written
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints of a group that one task compares at once.
@@ -73,13 +73,16 @@ def _fingerprints(shingle: int):
         for batch in batches:
             for part in slices(batch):
                 found = np.array([fingerprint(t, shingle) for t in raw(part.column("text"))], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+                keep = [n for n in part.schema.names if n != "text"]
+                yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + [pa.array(found.view(np.int64))], names=[*keep, "fp"])
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of every row, written."""
-    return written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "fingerprints")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *more: Column) -> DataFrame:
+    """doc_id, ``more``, fp (the fingerprint as a signed long) of every row, written."""
+    rows = docs.select(F.col("doc_id").cast("long"), *more, F.col("text").cast("string"))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text"]
+    return written(rows.mapInArrow(_fingerprints(shingle), ", ".join([*fields, "fp long"])), "fingerprints")
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -254,16 +257,20 @@ def components(links: DataFrame) -> DataFrame:
         current, total = small, now
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, **options) -> DataFrame:
-    """doc_id, fp, component_id of every row of ``docs``."""
-    rows = fingerprints(docs, shingle)
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+def _components_of(rows: DataFrame, first: Column, distance: int, **options) -> DataFrame:
+    """fp, component_id (the smallest ``first`` of the component) of every fingerprint of ``rows``."""
+    distinct = written(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct")
     roots = components(edges(distinct.select("fp"), distinct.count(), distance, **options))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = written(named, "roots")
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    table = named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return rows.join(table, "fp").select("doc_id", "fp", "component_id")
+    return named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, **options) -> DataFrame:
+    """doc_id, fp, component_id of every row of ``docs``."""
+    rows = fingerprints(docs, shingle)
+    return rows.join(_components_of(rows, F.col("doc_id"), distance, **options), "fp").select("doc_id", "fp", "component_id")
 
 
 def judge(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -273,10 +280,18 @@ def judge(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) ->
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """Of each component the document with the smallest doc_id stays, with all its columns.
-
-    Rows with one doc_id (or none) cannot be told apart here and stay or go together.
+    """Of each component one row stays, with all its columns: of those with the smallest
+    doc_id (null ids last) the one whose text's SHA-256 is smallest, of equal ones any.
     """
-    found = groups(docs, shingle, distance)
-    lost = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, docs["doc_id"].eqNullSafe(lost["__lost"]), "left_anti")
+    rows = fingerprints(docs, shingle, digest().alias("digest"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))
+    found = rows.join(_components_of(rows, place, distance), "fp")
+    keys = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.min(place == F.col("component_id")).alias("stays"))
+    keys = written(keys.where("n > 1 or not stays").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), "stays"), "lost")
+    marked = docs.withColumn("__digest", digest())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))
+    once = marked.join(keys.select("__id", "__key"), same, "left_anti")
+    again = written(keys.where("stays").select("__id", "__key"), "repeated")
+    if not again.isEmpty():
+        once = once.unionByName(marked.join(again, same, "left_semi").dropDuplicates(["doc_id", "__digest"]))
+    return once.drop("__digest")

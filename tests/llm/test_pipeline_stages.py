@@ -4,7 +4,7 @@ import hashlib
 from collections import defaultdict
 
 import corpus_pipeline
-from latewatch.llm import queries
+from latewatch.llm import decontam, queries
 from .conftest import SF
 from .support import documents
 from .test_bpe import brute as brute_bpe
@@ -61,6 +61,27 @@ def test_stages_on_odd_rows(spark):
         assert stage(spark, none, SF).count() == 0
 
 
+def test_dropping_stages_tell_rows_with_null_and_repeated_ids_apart(spark):
+    base = [f"w{i}" for i in range(300)]
+    near = [" ".join(base), " ".join(base[:150] + ["zz"] + base[151:]), " ".join(base[:90] + ["yy"] + base[91:])]
+    other = [" ".join(f"{x}{i}" for i in range(60)) for x in ("a", "b", "c", "d", "e")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    # near copies by null and repeated ids; the others share those ids
+    docs = frame([(None, near[0], "x"), (7, near[1], "x"), (7, near[2], "x"), (7, other[0], "x"), (None, other[1], "x"), (9, other[2], "x")])
+    got = found(corpus_pipeline.near_dedup(spark, docs, SF))
+    assert len(got) == 4 and {(7, other[0]), (None, other[1]), (9, other[2])} < set(got)
+    assert [d for d, t in got if t in near] == [7]
+    # a group whose ids are all null, and one row that is there three times
+    docs = frame([(None, t, "x") for t in near] + [(4, other[3], "x")] * 3 + [(None, other[4], "x")])
+    got = found(corpus_pipeline.near_dedup(spark, docs, SF))
+    assert sum(t in near for _, t in got) == 1 and got.count((4, other[3])) == 1 and (None, other[4]) in got and len(got) == 3
+    bench = frame([(1, other[0], None)]).selectExpr("doc_id as item_id", "text")
+    docs = frame([(None, other[0], "x"), (7, other[0], "x"), (7, other[1], "x"), (None, other[2], "x"), (8, other[3], "x"), (8, other[3], "x"), (None, None, "x")])
+    want = [(7, other[1]), (None, other[2]), (8, other[3]), (8, other[3]), (None, None)]
+    assert found(decontam.clean(docs, bench)) == sorted(want, key=str)
+
+
 def test_one_query_an_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
