@@ -6,13 +6,19 @@ grouping, or a leading + and 8 to 15 digits), social security numbers, IPv4 addr
 calendar dates (year first, or day and month by slash or dot), and e-mail
 addresses.  What fails validation stays.
 
+A pattern may take words or digit groups beside a value along.  Where that fails
+validation, shorter ends are tried (for an IBAN first the length its country fixes),
+and then the search goes on behind the failed match's first character.
+
 A value becomes its place in the numbered set of valid values of its format; a
 keyed Feistel network permutes the places (cycle-walking keeps it in the set), and
 the new place is written back in the same format: same separators, same length,
 valid check digits, real dates.  Being a permutation, it never merges two values;
 being keyed by format only, equal values get equal pseudonyms in all documents
 (separators aside; a date by slash that can only be read day first gets one that
-can only be read so too), and whoever has the key can reverse it (``back``).
+can only be read so too), and whoever has the key can reverse it (``back``).  The one
+exception: a pseudonym that would make a rejected reading valid (a digit group before a
+card, say) is permuted again until it does not, or it could not be reversed.
 
 The key is a parameter; without it the pseudonyms can be neither made nor undone.
 
@@ -37,6 +43,12 @@ from .common import slices
 
 ROUNDS = 10
 DAY0, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {c: int(n) for n, cs in {
+    "15": "NO", "16": "BE", "18": "DK FI FK FO GL NL SD", "19": "MK SI", "20": "AT BA EE KZ LT LU MN XK", "21": "CH HR LI LV",
+    "22": "BG BH CR DE GB GE IE ME RS VA", "23": "AE GI IL IQ OM SO TL", "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST",
+    "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM", "28": "AL AZ BY CY DO GT HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE",
+    "31": "MT SC", "32": "LC", "33": "RU"}.items() for c in cs.split()}
 #: For the registered query only; give your own.
 EXAMPLE_KEY = b"example key, replace by a secret"
 
@@ -228,6 +240,43 @@ class Pseudonyms:
         ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:1[ .\-])?\(\d{3}\)[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\w+])\+\d(?:[ .\-]?\(?\d\)?){7,14}(?!\d)|(?<![\w+.\-])(?:1[ .\-])?\d{3}([ .\-])\d{3}\1\d{4}(?!\d)", re.ASCII), ""),
     ]
 
+    @staticmethod
+    def _ends(kind: str, pattern: re.Pattern, text: str, a: int, b: int) -> Iterator[int]:
+        """Where a value that begins at ``a`` may end, in the order to try; ``b`` ends the pattern's match."""
+        if kind == "iban" and (length := IBAN_LENGTHS.get(text[a:a + 2])):
+            places = [i for i in range(a, b) if text[i] != " "]
+            if len(places) > length and text[places[length - 1] + 1] == " ":
+                yield places[length - 1] + 1
+        yield b
+        if kind in ("card", "phone"):
+            for e in range(b - 1, a, -1):
+                if text[e - 1].isalnum() and not text[e].isalnum() and (m := pattern.match(text, a, e)) and m.end() == e:
+                    yield e
+
+    def _first(self, kind: str, pattern: re.Pattern, text: str, a: int, b: int, taken: bytearray, failed: list[tuple[int, str]]) -> tuple[int, str] | None:
+        """End and pseudonym of the value that begins at ``a``; adds to ``failed`` the readings (begin, text) that are not valid."""
+        for e in self._ends(kind, pattern, text, a, b):
+            if taken.find(1, a, e) >= 0:
+                continue
+            new = getattr(self, kind)(text[a:e])
+            if new is None:
+                failed.append((a, text[a:e]))
+                continue
+            while True:  # rejected readings must stay so
+                now = [(at, self._with(at, old, a, new)) for at, old in failed]
+                if all(getattr(self, kind)(x) is None for (_, x), (_, old) in zip(now, failed, strict=True) if x != old):
+                    break
+                new = getattr(self, kind)(new)
+            failed[:] = now
+            return e, new
+        return None
+
+    @staticmethod
+    def _with(at: int, old: str, a: int, new: str) -> str:
+        """``old``, which begins at ``at``, with what ``new`` at ``a`` has in the same places."""
+        lo, hi = max(at, a), min(at + len(old), a + len(new))
+        return old if lo >= hi else old[:lo - at] + new[lo - a:hi - a] + old[hi - at:]
+
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with pseudonyms, and how many of each kind."""
         found: dict[str, int] = {}
@@ -238,13 +287,16 @@ class Pseudonyms:
         for kind, pattern, needs in self.KINDS:
             if needs and needs not in text:
                 continue
-            for m in pattern.finditer(text):
+            at, failed = 0, []
+            while m := pattern.search(text, at):
                 a, b = m.span()
                 taken = taken or bytearray(len(text))
-                new = None if taken.find(1, a, b) >= 0 else getattr(self, kind)(m.group())
-                if new is not None:
-                    taken[a:b] = b"\x01" * (b - a)
-                    spans.append((a, b, new))
+                failed = [(x, old) for x, old in failed if x + len(old) > a]
+                got = self._first(kind, pattern, text, a, b, taken, failed)
+                at = got[0] if got else a + 1
+                if got:
+                    taken[a:at] = b"\x01" * (at - a)
+                    spans.append((a, at, got[1]))
                     found[kind] = found.get(kind, 0) + 1
         out, at = [], 0
         for a, b, new in sorted(spans):

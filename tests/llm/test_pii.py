@@ -68,6 +68,22 @@ def test_what_is_not_valid_stays():
     assert found == {"card": 2} and not set(two.split()) & set(new.split())
 
 
+IBAN, CARD = "DE89370400440532013000", "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize("text,value", [
+    (f"IBAN {IBAN} BIC COBADEFFXXX", IBAN), (f"{IBAN} EUR 50", IBAN), (f"paid {IBAN} 2024-01-02", IBAN), (f"AB12 {IBAN} A", IBAN), ("REF GB82 WEST 1234 5698 7654 32 BIC X", "GB82 WEST 1234 5698 7654 32"),
+    (f"in 2024 {CARD}", CARD), (f"in 2024 {CARD} 2025", CARD), (f"0001 0002 {CARD}", CARD), ("no 12 5500-0000-0000-0004 7", "5500-0000-0000-0004"), ("+49 30 901820 2024-01-02", "+49 30 901820")])
+def test_values_beside_words_and_digits(text, value):
+    for key in range(40):  # some pseudonyms would make the longer reading valid
+        new, found = pii.Pseudonyms(b"%d" % key).replace(text)
+        before, after = text.split(value)
+        assert new.startswith(before) and sum(found.values()) == 1 + ("2024-01-02" in text)
+        assert new != text and new[len(before):len(before) + len(value)] != value
+        assert "2024-01-02" in text or new.endswith(after)
+        assert pii.Pseudonyms(b"%d" % key, back=True).replace(new) == (text, found)
+
+
 def test_odd_rows_and_links_across_documents(spark):
     texts = [None, "", "call (415) 555-2671 now", "or +1 415 555 2671", "1.2.3.4 " * 5000, "mail a.b@c.de"] + ["a" * 300_000 + "@"] + ["x@" * 1000, "٣٤٥-٦٧-٨٩٠١ ²²²"]
     docs = documents(spark, texts)
