@@ -234,12 +234,19 @@ def _kept(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, limit=SLICE):
-                found, _, _ = predict(model.value, raw(part.column("text")))
-                yield part.filter(pa.array([x != "und" for x in found]))
+                texts = raw(part.column("text"))
+                if model.value.langs:
+                    keep = [x != "und" for x in predict(model.value, texts)[0]]
+                else:  # nothing was learnt: what has a letter stays
+                    keep = [bool(LETTER.search(t.decode())) for t in texts]
+                yield part.filter(pa.array(keep, pa.bool_()))
     return run
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language can be told, with all their columns."""
+    """The rows of ``docs`` whose language can be told, with all their columns.
+
+    When nothing was learnt, all rows whose text has a letter.
+    """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out()).select(F.col("text"), F.col("lang"))))
     return docs.mapInArrow(_kept(model), docs.schema)

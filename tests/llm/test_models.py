@@ -108,6 +108,11 @@ def test_em_against_a_plain_loop():
         assert np.allclose(theta[:, t], w, atol=1e-4) and abs(total[t] - np.log((p * w[:, None]).sum(0)).sum()) < 1e-3
 
 
+def test_a_table_without_languages_keeps_what_has_a_letter(spark):
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(["abc", "é1", "12 !", "", None])], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.keep_identified(docs).collect()) == [0, 1]
+
+
 def test_language_of_odd_rows(spark, tables):
     model = langid.fit(tables[0])
     docs = documents(spark, [*ODD_TEXTS, "123 !!", "ª"])
