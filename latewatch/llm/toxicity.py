@@ -7,10 +7,10 @@ comes second), moved by how far the class's own continuation count of the word
 departs from its share.  Expressions rare in either class so rest on the shared
 counts and tell little; common ones tell by their own.  A text's
 evidence is the difference of its two log-likelihoods by word, over the whole text
-and over its most telling passage of ``SPAN`` words; a logistic curve fitted on
-training rows that the models have not seen turns the two into the score.
+and over its most telling passage of ``SPAN`` words; a logistic curve turns the two into the score.  It is fitted on at
+most ``CURVE_ROWS`` training rows, by models that have not seen those.
 
-Counts come from all labelled training rows, summed by Spark (the shuffle grows
+The counts that score come from all labelled training rows, summed by Spark (the shuffle grows
 with the corpus).  Tasks get them in tables of fixed size: 2^20 cells for words and
 2^21 for pairs, by hash; a pair's count is held to that of its words, which bounds
 what a shared cell can add.
@@ -206,14 +206,31 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return docs.join(given, docs["doc_id"] == given["__id"]).select("doc_id", "text", label)
 
 
+def split(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text, toxic) with ``curve``: whether the row is one of those for the curve.
+
+    Those are at most ``CURVE_ROWS`` of a fifth of the rows: whose ids hash lowest.
+    """
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    place = F.xxhash64(F.lit(7), "doc_id")
+    n, last = rows.where(part).select(place.alias("place")).orderBy("place").limit(CURVE_ROWS + 1).agg(F.count("*"), F.max("place")).first()
+    if n > CURVE_ROWS:
+        part &= place < last
+    return rows.withColumn("curve", part)
+
+
 def fit(docs: DataFrame, labels: DataFrame):
-    """Broadcast model and curve, learnt from the labelled rows that are not held out."""
+    """Broadcast model and curve, learnt from the labelled rows that are not held out.
+
+    The curve sees evidence of a model without the curve's rows; the model returned counts all.
+    """
     spark = docs.sparkSession
-    rows = written(labelled(docs.where(~held_out()), labels.where(~held_out()), "toxic").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(5))), "toxic-rows")
-    model = spark.sparkContext.broadcast(Model(written(pair_counts(rows.where("part <> 0")), "pairs")))
-    unseen = rows.where("part = 0").orderBy(F.xxhash64(F.lit(7), "doc_id")).limit(CURVE_ROWS)
-    found = unseen.select("text", "toxic").mapInArrow(_evidence(model), "toxic int, whole double, passage double").toPandas()
-    return model, Curve(found[["whole", "passage"]].to_numpy(), found["toxic"].to_numpy(np.float64))
+    rows = split(written(labelled(docs.where(~held_out()), labels.where(~held_out()), "toxic"), "toxic-rows"))
+    rest, own = (written(pair_counts(rows.where(F.col("curve") == mine)), "pairs") for mine in (False, True))
+    model = spark.sparkContext.broadcast(Model(rest))
+    found = rows.where("curve").select("text", "toxic").mapInArrow(_evidence(model), "toxic int, whole double, passage double").toPandas()
+    every = rest.unionByName(own).groupBy("toxic", "first", "second").agg(F.sum("n").alias("n"))
+    return spark.sparkContext.broadcast(Model(written(every, "pairs"))), Curve(found[["whole", "passage"]].to_numpy(), found["toxic"].to_numpy(np.float64))
 
 
 def _scored(model, curve: Curve):

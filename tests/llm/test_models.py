@@ -153,6 +153,25 @@ def test_pair_counts_against_brute_force(spark):
     assert got == {(1, a, b): 2, (1, b, a): 1, (0, a, b): 2, (0, b, c): 1}
 
 
+def test_toxic_words_of_the_curves_fifth_are_counted(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    own = {r.id for r in spark.range(3000).where("pmod(xxhash64(id), 5) = 0").collect()}
+    held = {i for i in range(3000) if in_split(i, 4, 2)}
+    texts, toxic = {}, {}
+    for i in range(3000):
+        rare = (i in own or i in held) and rng.random() < 0.5
+        toxic[i] = int(rng.random() < 0.2)
+        texts[i] = " ".join(rng.choice([f"w{k}" for k in range(50)], 12)) + (" zork blat" if rare else " foo bar") * toxic[i]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    for limit in (20_000, 300):  # fewer than the fifth has, too
+        monkeypatch.setattr(toxicity, "CURVE_ROWS", limit)
+        got = {r["doc_id"]: r["predicted"] for r in rows(toxicity.score(docs, labels))}
+        assert np.mean([got[i] for i in held if "zork" in texts[i]]) > 0.9 and np.mean([got[i] for i in held if not toxic[i]]) < 0.05
+        split = rows(toxicity.split(docs))
+        assert {r["doc_id"] for r in split if r["curve"]} <= own and min(limit, len(own)) - 1 <= sum(r["curve"] for r in split) <= limit
+
+
 def test_toxicity_of_odd_rows(spark, tables):
     docs = documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (99, 1), (1, 0)], "doc_id long, toxic int")
