@@ -10,10 +10,11 @@ evidence is the difference of its two log-likelihoods by word, over the whole te
 and over its most telling passage of ``SPAN`` words; a logistic curve turns the two into the score.  It is fitted on at
 most ``CURVE_ROWS`` training rows, by models that have not seen those.
 
-The counts that score come from all labelled training rows, summed by Spark (the shuffle grows
-with the corpus).  Tasks get them in tables of fixed size: 2^20 cells for words and
-2^21 for pairs, by hash; a pair's count is held to that of its words, which bounds
-what a shared cell can add.
+The counts that score come from all labelled training rows, summed by Spark by class
+and pair of words (their 64-bit XXH64).  The evidence of every counted word and pair is
+a written table, as large as the counts.  Documents are scored in chunks of at most
+``CHUNK`` text bytes (or one document): a chunk asks once for each of its distinct words and
+pairs, a shuffle joins these to the table, and what is found meets the chunk's texts.
 
 A null or empty text has no evidence and scores what the curve gives for none.
 Null ids count as the empty string in the split; null labels are not learnt from,
@@ -24,18 +25,22 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import raw, slices, written
 from .langid import held_out
 
-WORDS, PAIRS = 20, 21
+#: Text bytes that are scored together.
+CHUNK = 4 << 20
 DISCOUNT = 0.75
 #: Pseudo-counts of the shared models in a class's words and contexts.
 SHARED, SHARED_PAIRS = 8.0, 200.0
@@ -47,125 +52,166 @@ THRESHOLD = 0.3
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-class _Cells(dict):
-    """Word -> cell."""
-
-    def __missing__(self, word: bytes) -> int:
-        cell = xxhash.xxh32_intdigest(word) >> (32 - WORDS)
-        if len(self) < 300_000:
-            self[word] = cell
-        return cell
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each word among the distinct ones, how many words each text has, and the distinct words' hashes (never 0)."""
+    number = defaultdict(itertools.count().__next__)
+    split = [t.translate(FOLD).split() for t in texts]
+    n = np.fromiter(map(len, split), np.int64, len(split))
+    at = np.fromiter((c for ws in split for c in map(number.__getitem__, ws)), np.int64, int(n.sum()))
+    ids = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number)).view(np.int64)
+    return at, n, np.where(ids == 0, 1, ids)
 
 
-_CELLS = _Cells()
+def cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and how many each text has."""
+    at, n, ids = numbered(texts)
+    return ids[at], n
 
 
-def cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of all words, and how many each text has."""
-    split = [t.translate(FOLD).split() for t in texts]
-    n = np.fromiter(map(len, split), np.int64, len(split))
-    out = np.fromiter((c for ws in split for c in map(_CELLS.__getitem__, ws)), np.int64, int(n.sum()))
-    return out, n
+def _inside(n: np.ndarray) -> np.ndarray:
+    """Places of all words but each text's first."""
+    of = np.repeat(np.arange(len(n)), n)
+    return np.flatnonzero(of[1:] == of[:-1]) + 1
 
 
-def pair_cell(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    key = (first.astype(np.uint64) << np.uint64(WORDS) | second.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return (key >> np.uint64(64 - PAIRS)).astype(np.int64)
+LOW = (1 << 31) - 1
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
-            toxic = part.column("toxic").to_numpy(zero_copy_only=False)
-            at, n = cells(raw(part.column("text")))
-            of = np.repeat(np.arange(len(n)), n)
-            inside = of[1:] == of[:-1]
-            key, count = np.unique((toxic[of[1:]].astype(np.int64) << 2 * WORDS | at[:-1] << WORDS | at[1:])[inside], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count.astype(np.int64))], names=["key", "n"])
+            toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+            at, n, ids = numbered(raw(part.column("text")))
+            later = _inside(n)
+            key, count = np.unique(np.repeat(toxic, n)[later] << 62 | at[later - 1] << 31 | at[later], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((key >> 62).astype(np.int32)), pa.array(ids[key >> 31 & LOW]), pa.array(ids[key & LOW]), pa.array(count.astype(np.int64))], names=["toxic", "first", "second", "n"])
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
     """toxic, first, second, n: the counts of word pairs by class over all rows of text, toxic."""
-    key = F.col("key")
-    found = rows.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(_counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    mask = (1 << WORDS) - 1
-    return found.select(F.shiftright(key, 2 * WORDS).cast("int").alias("toxic"), F.shiftright(key, WORDS).bitwiseAND(F.lit(mask)).cast("int").alias("first"), key.bitwiseAND(F.lit(mask)).cast("int").alias("second"), "n")
+    found = rows.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(_counted, "toxic int, first long, second long, n long")
+    return found.groupBy("toxic", "first", "second").agg(F.sum("n").alias("n"))
 
 
-def _dense(frame: DataFrame, size: int) -> np.ndarray:
-    """toxic, cell, x as an array of two classes by ``size`` cells."""
-    out = np.zeros((2, size), np.float32)
-    found = frame.toArrow()  # a row a cell at most
-    out[found.column("toxic").to_numpy(), found.column("cell").to_numpy()] = found.column("x").to_numpy()
-    return out
+def word_counts(counts: DataFrame) -> DataFrame:
+    """word, and of each class: how often it comes first, in how many pairs, and in how many it comes second."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    sides = F.array(F.struct(F.col("first").alias("word"), F.col("n").alias("before"), one.alias("types"), zero.alias("after")),
+                    F.struct(F.col("second").alias("word"), zero.alias("before"), zero.alias("types"), one.alias("after")))
+    sums = [F.sum(F.when(F.col("toxic") == c, F.col(x)).otherwise(zero)).alias(f"{x}{c}") for x in ("before", "types", "after") for c in (0, 1)]
+    return counts.select("toxic", F.inline(sides)).groupBy("word").agg(*sums)
 
 
-class Model:
-    """Both classes' tables, and the tables they share."""
-
-    def __init__(self, counts: DataFrame) -> None:
-        mixed = (F.shiftleft(F.col("first").cast("long"), WORDS).bitwiseOR(F.col("second").cast("long"))).alias("key")
-        pairs = counts.select("toxic", mixed, "n").mapInArrow(_celled, "toxic int, cell int, n long").groupBy("toxic", "cell").agg(F.sum("n").cast("int").alias("x"))
-        self.pairs = _dense(pairs, 1 << PAIRS)
-        before = counts.groupBy("toxic", F.col("first").alias("cell")).agg(F.sum("n").alias("n"), F.count("*").alias("types"))
-        self.before = _dense(before.select("toxic", "cell", F.col("n").cast("int").alias("x")), 1 << WORDS)
-        self.types = _dense(before.select("toxic", "cell", F.col("types").cast("int").alias("x")), 1 << WORDS)
-        self.after = _dense(counts.groupBy("toxic", F.col("second").alias("cell")).agg(F.count("*").cast("int").alias("x")), 1 << WORDS)
-        self.ready = bool((self.before.sum(1) > 0).all())
-        self.limit = np.maximum(self.after, self.before)
-        # continuation counts: shared, and how far each class departs from them
-        total = np.maximum(self.after.sum(1, dtype=np.float64), 1)[:, None]
-        shared = self.after.sum(0, dtype=np.float64)
-        self.single = ((shared + 1) / (shared.sum() + len(shared))).astype(np.float32)
-        expected = shared * (total / total.sum())
-        kept = np.maximum(self.after - DISCOUNT, 0) + DISCOUNT * (self.after > 0)
-        self.departs = ((kept + SHARED) / (expected + SHARED)).astype(np.float32)
-
-    def likelihood(self, first: np.ndarray, second: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Log-probability of each second word after its first, by class."""
-        pairs = np.minimum(self.pairs[:, pair], np.minimum(self.before[:, first], self.limit[:, second]))
-        before, types = self.before[:, first], self.types[:, first]
-        # what both share: Kneser-Ney over the counts of the two together
-        n, kinds = before.sum(0), types.sum(0)
-        shared = np.where(n > 0, (np.maximum(pairs.sum(0) - DISCOUNT, 0) + DISCOUNT * kinds * self.single[second]) / np.maximum(n, 1), self.single[second])
-        out = np.zeros((2, len(pair)), np.float32)
-        for c in (0, 1):
-            back = shared * self.departs[c][second]
-            mass = np.minimum(DISCOUNT * types[c], before[c]) + SHARED_PAIRS
-            out[c] = np.log((np.maximum(pairs[c] - DISCOUNT, 0) + mass * back) / (before[c] + SHARED_PAIRS))
-        return out
+def weights(counts: DataFrame) -> DataFrame | None:
+    """first, second, x, y, written; None without counts of both classes.
 
-    def evidence(self, texts: list[bytes]) -> np.ndarray:
-        """Two numbers a text: mean log-likelihood difference, whole and in the most telling passage."""
-        at, n = cells(texts)
-        out = np.zeros((len(texts), 2))
-        some = n > 0
-        if not self.ready or not some.any():
-            return out
-        n = n[some]
-        starts = np.cumsum(n) - n
-        difference = np.log(self.departs[1][at] / self.departs[0][at]).astype(np.float64)
-        inside = np.ones(len(at), bool)
-        inside[starts] = False
-        later = np.flatnonzero(inside)
-        first, second = at[later - 1], at[later]
-        log = self.likelihood(first, second, pair_cell(first, second))
-        difference[later] = log[1] - log[0]
-        out[some, 0] = np.add.reduceat(difference, starts) / n
-        # passages of SPAN words (or the whole of a shorter text) that end at each word
-        run = np.concatenate([[0], np.cumsum(difference)])
-        place, length = np.arange(len(at)), np.repeat(np.minimum(SPAN, n), n)
-        whole = place + 1 - np.repeat(starts, n) >= length
-        mean = np.where(whole, (run[place + 1] - run[np.maximum(place + 1 - length, 0)]) / length, -np.inf)
-        out[some, 1] = np.maximum.reduceat(mean, starts)
-        return out
+    Of a word (second is 0): what it tells as the second of any pair, and as the first of a
+    pair not counted.  Of a counted pair: what it tells beyond these two, and 0.
+    """
+    words = written(word_counts(counts), "words")
+    size, *totals = words.agg(F.count("*"), F.sum("before0"), F.sum("before1"), F.sum("after0"), F.sum("after1")).first()
+    if not (size and totals[0] and totals[1]):
+        return None
+    total = [float(t) for t in totals[2:]]
+    shared = F.col("after0") + F.col("after1")
+
+    def departs(c: int) -> Column:  # of the class's continuation count from its share
+        return (F.col(f"after{c}") + SHARED) / (shared * (total[c] / sum(total)) + SHARED)
+
+    def mass(c: int) -> Column:
+        return F.least(DISCOUNT * F.col(f"types{c}"), F.col(f"before{c}").cast("double")) + SHARED_PAIRS
+
+    back = [F.log(mass(c) / (F.col(f"before{c}") + SHARED_PAIRS)) for c in (0, 1)]
+    alone = words.select(F.col("word").alias("first"), F.lit(0).cast("long").alias("second"), F.log(departs(1) / departs(0)).alias("x"), (back[1] - back[0]).alias("y"))
+    as_first = words.select(F.col("word").alias("first"), mass(0).alias("mass0"), mass(1).alias("mass1"), (F.col("types0") + F.col("types1")).alias("kinds"), (F.col("before0") + F.col("before1")).alias("n"))
+    as_second = words.select(F.col("word").alias("second"), departs(0).alias("departs0"), departs(1).alias("departs1"), ((shared + 1) / (sum(total) + size)).alias("single"))
+    pairs = counts.groupBy("first", "second").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"p{c}") for c in (0, 1)])
+    # merge joins at every size; Spark splits the pairs of a word that begins or ends many
+    pairs = pairs.join(as_first.hint("merge"), "first").join(as_second.hint("merge"), "second")
+    # what both share: Kneser-Ney over the counts of the two together
+    both = (F.greatest(F.col("p0") + F.col("p1") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("kinds") * F.col("single")) / F.col("n")
+    own = [F.log1p(F.greatest(F.col(f"p{c}") - DISCOUNT, F.lit(0.0)) / (F.col(f"mass{c}") * both * F.col(f"departs{c}"))) for c in (0, 1)]
+    pairs = pairs.select("first", "second", (own[1] - own[0]).alias("x"), F.lit(0.0).alias("y"))
+    return written(alone.unionByName(pairs), "weights")
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunk = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for part in slices(batch, limit=CHUNK):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array([chunk] * part.num_rows, pa.int64())], names=[*part.schema.names, "chunk"])
+            chunk += 1
 
 
-def _celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words (second is 0) and pairs of each chunk."""
     for batch in batches:
-        key = batch.column("key").to_numpy(zero_copy_only=False)
-        cell = pair_cell(key >> WORDS, key & ((1 << WORDS) - 1))
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(cell.astype(np.int32)), batch.column("n")], names=["toxic", "cell", "n"])
+        numbers = batch.column("chunk").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            if lo < hi:
+                at, n, ids = numbered(raw(batch.column("text").slice(lo, hi - lo)))
+                later = _inside(n)
+                key = np.unique(at[later - 1] << 31 | at[later])
+                first, second = np.concatenate([ids, ids[key >> 31]]), np.concatenate([np.zeros(len(ids), np.int64), ids[key & LOW]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(first), numbers[lo])), pa.array(first), pa.array(second)], names=["chunk", "first", "second"])
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key; 0 where there is none."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[place] == wanted, values[place], 0.0)
+
+
+def told(texts: list[bytes], first: np.ndarray, second: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Two numbers a text: mean log-likelihood difference, whole and in the most telling passage.
+
+    first, second, x, y: the rows of ``weights`` for the texts' words and pairs.
+    """
+    at, n, ids = numbered(texts)
+    out = np.zeros((len(texts), 2))
+    some = n > 0
+    if not some.any():
+        return out
+    word = second == 0
+    as_second, as_first = (_looked_up(first[word], v[word], ids) for v in (x, y))
+    order = np.argsort(ids, kind="stable")
+    number = lambda h: order[np.searchsorted(ids[order], h)]
+    later = _inside(n)
+    pair = _looked_up(number(first[~word]) << 31 | number(second[~word]), x[~word], at[later - 1] << 31 | at[later])
+    difference = as_second[at]
+    difference[later] += as_first[at[later - 1]] + pair
+    n = n[some]
+    starts = np.cumsum(n) - n
+    out[some, 0] = np.add.reduceat(difference, starts) / n
+    # passages of SPAN words (or the whole of a shorter text) that end at each word
+    run = np.concatenate([[0], np.cumsum(difference)])
+    place, length = np.arange(len(at)), np.repeat(np.minimum(SPAN, n), n)
+    whole = place + 1 - np.repeat(starts, n) >= length
+    mean = np.where(whole, (run[place + 1] - run[np.maximum(place + 1 - length, 0)]) / length, -np.inf)
+    out[some, 1] = np.maximum.reduceat(mean, starts)
+    return out
+
+
+def evidence(docs: DataFrame, table: DataFrame | None) -> DataFrame:
+    """The columns of ``docs`` but text, and whole, passage (see ``told``)."""
+    keep = [c for c in docs.columns if c != "text"]
+    if table is None:
+        return docs.select(*keep, F.lit(0.0).alias("whole"), F.lit(0.0).alias("passage"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields)
+    chunks = written(docs.mapInArrow(_chunked, f"{fields}, chunk long"), "chunks")
+    found = chunks.select("chunk", "text").mapInArrow(_asked, "chunk long, first long, second long").join(table.hint("merge"), ["first", "second"])
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        got = told(raw(texts.column("text")), *[found.column(c).to_numpy() for c in ("first", "second", "x", "y")])
+        return pa.table([*[texts.column(c) for c in keep], pa.array(got[:, 0]), pa.array(got[:, 1])], names=[*keep, "whole", "passage"])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    return chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"{kept}, whole double, passage double")
 
 
 class Curve:
@@ -190,15 +236,6 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip(np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))]) @ self.w, -30, 30)))
 
 
-def _evidence(model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                x = model.value.evidence(raw(part.column("text")))
-                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "whole", "passage"])
-    return run
-
-
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """The rows of ``docs`` (doc_id, text) that have a label, with it."""
     given = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(F.col(label).cast("int")).alias(label))
@@ -220,30 +257,27 @@ def split(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame):
-    """Broadcast model and curve, learnt from the labelled rows that are not held out.
+    """The table of ``weights`` and the curve, learnt from the labelled rows that are not held out.
 
-    The curve sees evidence of a model without the curve's rows; the model returned counts all.
+    The curve sees evidence by counts without the curve's rows; the table returned counts all.
     """
-    spark = docs.sparkSession
     rows = split(written(labelled(docs.where(~held_out()), labels.where(~held_out()), "toxic"), "toxic-rows"))
     rest, own = (written(pair_counts(rows.where(F.col("curve") == mine)), "pairs") for mine in (False, True))
-    model = spark.sparkContext.broadcast(Model(rest))
-    found = rows.where("curve").select("text", "toxic").mapInArrow(_evidence(model), "toxic int, whole double, passage double").toPandas()
-    every = rest.unionByName(own).groupBy("toxic", "first", "second").agg(F.sum("n").alias("n"))
-    return spark.sparkContext.broadcast(Model(written(every, "pairs"))), Curve(found[["whole", "passage"]].to_numpy(), found["toxic"].to_numpy(np.float64))
+    found = evidence(rows.where("curve").select("text", "toxic"), weights(rest)).toPandas()
+    every = written(rest.unionByName(own).groupBy("toxic", "first", "second").agg(F.sum("n").alias("n")), "pairs")
+    return weights(every), Curve(found[["whole", "passage"]].to_numpy(), found["toxic"].to_numpy(np.float64))
 
 
-def _scored(model, curve: Curve):
+def _scored(curve: Curve):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                score = curve(model.value.evidence(raw(part.column("text"))))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            score = curve(np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("whole", "passage")]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
     return run
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``; labels: doc_id, toxic."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model, curve = fit(docs, labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")))
-    return docs.withColumn("held_out", held_out()).mapInArrow(_scored(model, curve), "doc_id long, held_out boolean, score double, predicted int")
+    table, curve = fit(docs, labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")))
+    return evidence(docs.withColumn("held_out", held_out()), table).mapInArrow(_scored(curve), "doc_id long, held_out boolean, score double, predicted int")

@@ -172,6 +172,45 @@ def test_toxic_words_of_the_curves_fifth_are_counted(spark, monkeypatch):
         assert {r["doc_id"] for r in split if r["curve"]} <= own and min(limit, len(own)) - 1 <= sum(r["curve"] for r in split) <= limit
 
 
+def test_evidence_against_brute_force_over_many_pairs(spark, monkeypatch):
+    """Every counted pair and word has a row of its own, and the evidence follows from exact counts."""
+    rng = np.random.default_rng(4)
+    data = [(" ".join(rng.choice([f"v{k}" for k in range(40)], 30)), int(i % 3 == 0)) for i in range(60)]
+    p, before, types, after = Counter(), Counter(), Counter(), Counter()
+    for t, c in data:
+        w = t.split()
+        p.update((c, a, b) for a, b in zip(w, w[1:]))
+    for (c, a, b), n in p.items():
+        before[c, a] += n
+        types[c, a] += 1
+        after[c, b] += 1
+    total = [sum(n for (x, _), n in after.items() if x == c) for c in (0, 1)]
+    size = len({w for _, w in before} | {w for _, w in after})
+
+    def tells(a, b):
+        shared = after[0, b] + after[1, b]
+        departs = [(after[c, b] + toxicity.SHARED) / (shared * total[c] / sum(total) + toxicity.SHARED) for c in (0, 1)]
+        if a is None:
+            return np.log(departs[1] / departs[0])
+        n, kinds, single = before[0, a] + before[1, a], types[0, a] + types[1, a], (shared + 1) / (sum(total) + size)
+        both = (max(p[0, a, b] + p[1, a, b] - 0.75, 0) + 0.75 * kinds * single) / n if n else single
+        like = [(max(p[c, a, b] - 0.75, 0) + (min(0.75 * types[c, a], before[c, a]) + toxicity.SHARED_PAIRS) * both * departs[c]) / (before[c, a] + toxicity.SHARED_PAIRS) for c in (0, 1)]
+        return np.log(like[1] / like[0])
+
+    counts = toxicity.pair_counts(spark.createDataFrame(data, "text string, toxic int"))
+    table = toxicity.weights(counts)
+    assert table.where("second <> 0").count() == len({k[1:] for k in p}) and table.where("second = 0").count() == size
+    texts = [*(t for t, _ in data[:20]), "new v1 v2 new", "v3", "", None]
+    monkeypatch.setattr(toxicity, "CHUNK", 500)
+    got = {r["doc_id"]: (r["whole"], r["passage"]) for r in rows(toxicity.evidence(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), table))}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        w = (t or "").split()
+        d = [tells(a, b) for a, b in zip([None, *w], w)]
+        want = (np.mean(d), max(np.mean(d[max(0, k - 1):k + 1]) for k in range(min(1, len(d) - 1), len(d)))) if d else (0, 0)
+        assert np.allclose(got[i], want, atol=1e-6), (i, got[i], want)
+
+
 def test_toxicity_of_odd_rows(spark, tables):
     docs = documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (99, 1), (1, 0)], "doc_id long, toxic int")
