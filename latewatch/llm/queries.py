@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exactdedup, langid, pii, quality, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, decontam, divergence, exactdedup, langid, pii, quality, simhash, tokenfile, toxicity, urlfilter
 from .common import table
 
 #: A-Z and a-z, for SQL's translate.
@@ -95,8 +95,35 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+occ AS (SELECT lang, source, t, count(*) AS n FROM (SELECT lang, source, unnest(w) AS t FROM d) GROUP BY ALL),
+kept AS (SELECT lang, t FROM (SELECT lang, unnest(list_distinct(w)) AS t FROM d) GROUP BY ALL HAVING count(*) >= 10),
+v AS (SELECT lang, 2 * count(*) AS v2 FROM kept GROUP BY lang),
+c AS (SELECT g.lang, g.source, kept.t, coalesce(occ.n, 0) AS n FROM g JOIN kept ON kept.lang = g.lang
+      LEFT JOIN occ ON occ.lang = g.lang AND occ.source = g.source AND occ.t = kept.t),
+p AS (SELECT lang, source, t, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + v2) AS p FROM c JOIN v USING (lang)),
+q AS (SELECT lang, t, 1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + v2) AS q
+      FROM (SELECT lang, t, sum(n) AS n FROM c GROUP BY ALL) JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+      FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT p.lang, source, 'term', p.t, (p - q) * (p - q) // (p + q) FROM p JOIN q ON q.lang = p.lang AND q.t = p.t WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 10"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_pseudonyms, op2_wavelet_tokens, op3_url_filter, op4_decontamination, op5_exact_dedup,
-        op6_language_id, op7_toxicity, op8_quality, op9_simhash_near_dedup, op10_bpe_codec)}
-SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_exact_dedup": OP5_SQL}
+        op6_language_id, op7_toxicity, op8_quality, op9_simhash_near_dedup, op10_bpe_codec,
+        op13_divergence_audit)}
+SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_exact_dedup": OP5_SQL,
+                      "op13_divergence_audit": OP13_SQL}
