@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontam, divergence, exactdedup, langid, pii, quality, simhash, tokenfile, toxicity, urlfilter
+from . import bpe, decontam, divergence, exactdedup, langid, negatives, pii, quality, simhash, substring, tokenfile, toxicity, urlfilter
 from .common import table
 
 #: A-Z and a-z, for SQL's translate.
@@ -95,6 +96,40 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS own, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE own
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT r, i, array_to_string(list_slice(w, i, i + 34), ' ') AS s FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d)),
+hit AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY s) > 1),
+gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 34)) AS i FROM hit),
+word AS (SELECT r, unnest(w) AS x, unnest(generate_series(1, len(w))) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
 def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -124,6 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii_pseudonyms, op2_wavelet_tokens, op3_url_filter, op4_decontamination, op5_exact_dedup,
         op6_language_id, op7_toxicity, op8_quality, op9_simhash_near_dedup, op10_bpe_codec,
-        op13_divergence_audit)}
+        op11_hard_negatives, op12_substring_dedup, op13_divergence_audit)}
 SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_exact_dedup": OP5_SQL,
-                      "op13_divergence_audit": OP13_SQL}
+                      "op11_hard_negatives": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op13_divergence_audit": OP13_SQL}
