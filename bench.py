@@ -56,7 +56,7 @@ def main() -> None:
     # warm-up (JIT, first file listing) is not timed
     qs["table_counts"](spark, sf_dir).collect()
 
-    silver_path = scratch_path(spark, "bench-silver", "/tmp/latewatch-checkpoints")
+    silver_path = scratch_path(spark, "bench-silver")
     best = None
     for _ in range(REPEAT):
         t0 = time.perf_counter()

@@ -9,6 +9,8 @@ Commands mirror the stages of the original application:
     silver        build and replace silver.stop_delays
     gold          build and replace the six gold tables
     refresh       bronze -> silver -> gold
+    update        the same for what has changed since the last run; needs no date.  With --stream
+                  silver follows the state that ``stream`` maintains
     proof         print the silver/gold proof queries and top-k reports
     train         fit, evaluate, save the model and write gold/delay_predictions
     predict       score one scenario with the saved model
@@ -45,15 +47,17 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--payloads", required=True)
     s.add_argument("--out", required=True)
 
-    for name in ("bronze", "refresh"):
+    for name in ("bronze", "refresh", "update"):
         s = sub.add_parser(name)
         s.add_argument("--lake", required=True)
-        s.add_argument("--captures", required=True)
+        s.add_argument("--captures", required=name != "update")
         s.add_argument("--vehicles", default=None, help="landing folder of vehicle positions")
         s.add_argument("--weather", default=None)
         s.add_argument("--schedule", default=None, help="timetable folder (full refresh only)")
         s.add_argument("--schedule-ext", default="txt")
         s.add_argument("--tolerant", action="store_true", help="captures with per-file type drift (S2)")
+        if name == "update":
+            s.add_argument("--stream", action="store_true", help="follow the streamed state instead of --captures")
         if name == "refresh":
             s.add_argument("--since", default=None, help="rebuild silver for service dates >= YYYY-MM-DD only")
     for name in ("silver", "gold", "proof", "train"):
@@ -66,10 +70,10 @@ def _parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("predict")
     s.add_argument("--lake", required=True)
-    s.add_argument("--line", default="T4")
-    s.add_argument("--hour", type=int, default=8)
-    s.add_argument("--dow", default="Thu")
-    s.add_argument("--route-type", type=int, default=2)
+    s.add_argument("--line", required=True)
+    s.add_argument("--hour", type=int, required=True)
+    s.add_argument("--dow", required=True)
+    s.add_argument("--route-type", type=int, required=True)
     s.add_argument("--rain", action="store_true")
 
     s = sub.add_parser("stream")
@@ -100,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "bronze":
         out = pipeline.refresh_bronze(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
                                       vehicles_root=a.vehicles, tolerant=a.tolerant)
-        counts = sinks.table_counts({t: spark.read.parquet(p) for t, p in out.items()})
+        counts = sinks.table_counts({t: sinks.read_table(spark, p) for t, p in out.items()})
         _show("bronze tables", counts)
     elif a.cmd == "silver":
         print("built", pipeline.refresh_silver(spark, a.lake, since=a.since))
@@ -110,15 +114,23 @@ def main(argv: list[str] | None = None) -> int:
         out = pipeline.refresh(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext,
                                tolerant=a.tolerant, since=a.since, vehicles_root=a.vehicles)
         print("built", ", ".join(out))
+    elif a.cmd == "update":
+        if a.stream:
+            out = pipeline.update_from_stream(spark, a.lake, training.lake_path(a.lake, "state", "latest"), a.weather, a.schedule, a.schedule_ext)
+        elif a.captures:
+            out = pipeline.update(spark, a.lake, a.captures, a.weather, a.schedule, a.schedule_ext, tolerant=a.tolerant, vehicles_root=a.vehicles)
+        else:
+            raise SystemExit("update needs --captures or --stream")
+        print("service dates:", ", ".join(sorted(map(str, out))) or "none")
     elif a.cmd == "proof":
         silver = pipeline.read_silver(spark, a.lake)
-        g = lambda n: spark.read.parquet(training.lake_path(a.lake, "gold", n))
+        g = lambda n: pipeline.read_gold(spark, a.lake, n)
         for name, df in {
                 "silver_overview": A.silver_overview(silver), "suburban_summary": A.suburban_summary(silver),
                 "worst_lines": A.worst_lines(silver), "weather_overview": A.weather_overview(silver),
                 "network_kpi": g("network_kpi"), "top_lines": R.top_lines(g("line_punctuality")),
                 "top_hours": R.top_hours(g("hourly_punctuality")), "top_stations": R.top_stations(g("stop_punctuality")),
-                "weather_delay": g("weather_delay").orderBy("is_raining")}.items():
+                "weather_delay": R.weather_split(g("weather_delay"))}.items():
             _show(f"{name}: {', '.join(df.columns)}", df)
     elif a.cmd == "train":
         m = training.train_and_score(spark, a.lake, a.max_iter)

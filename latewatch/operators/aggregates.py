@@ -84,6 +84,11 @@ def network_kpi(silver: DataFrame, late_seconds: int = params.LATE_SECONDS) -> D
         F.count(F.when(F.col("is_late_5min"), 1)).alias("_late"),
         F.count(F.when(F.col("delay_seconds") <= late_seconds, 1)).alias("_on_time"),
         F.min("service_date").alias("_first"), F.max("service_date").alias("_last"))
+    return kpi_of_counts(counts)
+
+
+def kpi_of_counts(counts: DataFrame) -> DataFrame:
+    """A1 from the rows of :func:`_by_value` (``_of``, its value, ``_n``, ``_late``, ``_on_time``, ``_first``, ``_last``)."""
     k = counts.agg(
         *_delays(),
         _distinct("trip_id").alias("trips"), _distinct("line_code").alias("lines"),
@@ -102,10 +107,19 @@ def network_kpi(silver: DataFrame, late_seconds: int = params.LATE_SECONDS) -> D
 
 def line_punctuality(silver: DataFrame) -> DataFrame:
     """A2: every line (suburban or not) with its punctuality, from one scan."""
-    described = ["line_name", "is_suburban", "route_type"]
     counts = _by_value(
         silver.where(F.col("line_code").isNotNull()), ["line_code"], ["delay_minutes", "trip_id"],
-        F.count(F.when(F.col("is_late_5min"), 1)).alias("_late"), *[F.min(c).alias(c) for c in described])
+        F.count(F.when(F.col("is_late_5min"), 1)).alias("_late"), *[F.min(c).alias(c) for c in LINE_DESCRIBED])
+    return lines_of_counts(counts)
+
+
+#: What describes a line; ``min`` where its events differ.
+LINE_DESCRIBED = ("line_name", "is_suburban", "route_type")
+
+
+def lines_of_counts(counts: DataFrame) -> DataFrame:
+    """A2 from the rows of :func:`_by_value` by line."""
+    described = LINE_DESCRIBED
     k = counts.groupBy("line_code").agg(
         *_delays(), _distinct("trip_id").alias("trips"),
         _total("delay_minutes", F.col("_late")).alias("_late"), *[F.min(c).alias(c) for c in described])

@@ -119,7 +119,14 @@ def build_silver(updates: DataFrame, routes: DataFrame, stops: DataFrame, stop_t
     """The full silver ``stop_delays`` table (20 columns, see ``SILVER_COLUMNS``)."""
     ev = latest_stop_events(prepare_updates(updates, zone, tie_breakers, non_revenue_prefix),
                             tie_breakers)
-    ev = join_schedule(ev, stop_times)
+    return enrich_events(ev, routes, stops, stop_times, weather, late_seconds=late_seconds, rain_mm=rain_mm, pattern=pattern)
+
+
+def enrich_events(events: DataFrame, routes: DataFrame, stops: DataFrame, stop_times: DataFrame, weather: DataFrame, *,
+                  late_seconds: int = params.LATE_SECONDS, rain_mm: float = params.RAIN_MM,
+                  pattern: str = params.SUBURBAN_LINE_PATTERN) -> DataFrame:
+    """J1-J4 over W1's rows: the silver columns."""
+    ev = join_schedule(events, stop_times)
     ev = join_routes(ev, routes, pattern)
     ev = join_stops(ev, stops)
     ev = join_weather(ev, weather, rain_mm)

@@ -12,9 +12,8 @@ scoring and evaluation all run as Spark jobs.
   five raw numerics; logistic regression with balanced class weights and the
   L2 strength of a unit-C penalised likelihood (``regParam = 1 / n_train``).
 * ROC AUC (M8): exact, tie-aware rank statistic computed from per-score class
-  counts; the running count of negatives is taken per score bucket (about as many
-  distinct scores in each, bounds from an approximate quantile pass) plus a prefix
-  over the bucket totals, so no window ever holds all scores in one task.
+  counts by a distributed prefix sum over ranges of the score, so no window ever holds
+  all scores in one task.
 """
 
 from __future__ import annotations
@@ -70,11 +69,6 @@ def split_hash(keys=KEY_COLUMNS, seed: int = params.SPLIT_SEED) -> F.Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12), 16, 10).cast(T.LongType())
 
 
-def _class_counts(features: DataFrame, label: str) -> dict[int, int]:
-    rows = features.groupBy(label).count().collect()        # at most two rows
-    return {int(r[label]): int(r["count"]) for r in rows}
-
-
 def train_test_split(features: DataFrame, test_fraction: float = params.TEST_FRACTION,
                      seed: int = params.SPLIT_SEED, label: str = LABEL, keys=KEY_COLUMNS,
                      min_positives: int = params.MIN_POSITIVES_TO_STRATIFY) -> DataFrame:
@@ -116,26 +110,44 @@ def encoder_stages(cat=CAT_FEATURES, num=NUM_FEATURES) -> list:
             VectorAssembler(inputCols=ohe + list(num), outputCol="features")]
 
 
-def balanced_weights(train: DataFrame, label: str = LABEL) -> tuple[DataFrame, int]:
-    """Adds ``weight = n / (k * n_class)`` (balanced class weights); returns (frame, n)."""
-    counts = _class_counts(train, label)
+def balanced_weights(train: DataFrame, label: str = LABEL, rows: str | None = None) -> tuple[DataFrame, int]:
+    """Adds ``weight = n / (k * n_class)`` (balanced class weights); returns (frame, n).
+
+    ``rows``: a column that tells how many rows of the original a row stands for.
+    """
+    of = F.col(rows) if rows else F.lit(1)
+    found = train.groupBy(label).agg(F.sum(of).alias("n")).collect()      # at most two rows
+    counts = {int(r[label]): int(r["n"]) for r in found}
     n = sum(counts.values())
     k = max(len(counts), 1)
     w = F.create_map(*[x for c, m in counts.items() for x in (F.lit(c), F.lit(n / (k * m)))])
-    return train.withColumn("weight", w[F.col(label)]), n
+    return train.withColumn("weight", w[F.col(label)] * of), n
+
+
+def compacted(train: DataFrame, label: str = LABEL) -> DataFrame:
+    """One row for each distinct (features, label) with its number of rows: the same likelihood, far fewer terms.
+
+    Features are a line, a weekday, an hour, a route type, rain by the tenth of a millimetre and two flags, so the
+    distinct rows are bounded by the network's size, not by how many days it has run.
+    """
+    return train.groupBy(*CAT_FEATURES, *NUM_FEATURES, label).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def fit_model(train: DataFrame, label: str = LABEL, max_iter: int = params.MAX_ITER) -> PipelineModel:
     """M4: fit the encode + logistic-regression pipeline on the training part.
 
-    The estimator persists its instances itself while iterating, so every
-    L-BFGS pass reads cached rows rather than recomputing the features.
+    The training rows are read once and compacted; every L-BFGS pass reads the distinct rows,
+    which are kept in memory (and recomputed if an executor is lost).
     """
-    weighted, n_train = balanced_weights(train, label)
-    lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
-                            family="binomial", standardization=False, elasticNetParam=0.0,
-                            regParam=1.0 / max(n_train, 1), maxIter=max_iter, tol=1e-6)
-    return Pipeline(stages=encoder_stages() + [lr]).fit(weighted)
+    distinct = compacted(train, label).persist()
+    try:
+        weighted, n_train = balanced_weights(distinct, label, "rows")
+        lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="weight",
+                                family="binomial", standardization=False, elasticNetParam=0.0,
+                                regParam=1.0 / max(n_train, 1), maxIter=max_iter, tol=1e-6)
+        return Pipeline(stages=encoder_stages() + [lr]).fit(weighted)
+    finally:
+        distinct.unpersist()
 
 
 class Weights(NamedTuple):
@@ -241,43 +253,32 @@ def confusion_matrix(test_scored: DataFrame, label: str = LABEL, pred: str = "pr
 
 
 def roc_auc(test_scored: DataFrame, score_col: str = "prob_late", label: str = LABEL,
-            buckets: int = 32) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """M8: exact ROC AUC (ties count one half); NaN when the test part has one class.
 
     AUC = sum_s pos_s * (2 * neg_below_s + neg_s) / (2 * P * N), all counts exact
-    integers, so the single final division is the only rounding.  The running count
-    of negatives is taken in ``buckets ** 2`` runs of about as many distinct scores.
+    integers, so the single final division is the only rounding.  ``neg_below`` is a distributed
+    prefix sum: the per-score counts are dealt to ``buckets`` ranges of the score (Spark's choice if
+    not given), running sums are taken inside each range, and a range's sum lacks only
+    2 * pos * (negatives of the ranges before), which its totals give.
     """
     per_score = test_scored.groupBy(F.col(score_col).alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast(T.LongType()).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast(T.LongType()).alias("neg"))
-    # boundaries as a subquery (nothing runs before an action); coarse ones first, then those of one run
-    cuts = [i / buckets ** 2 for i in range(1, buckets ** 2)]
-    bounds = per_score.agg(F.percentile_approx("score", cuts, 4 * buckets ** 2)).scalar()
-    b = per_score.withColumn("_bounds", bounds)
-    s, bounds = F.col("score"), F.col("_bounds")
-    coarse = F.filter(F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: F.get(bounds, i * buckets - 1)),
-                      lambda c: c <= s)
-    b = b.withColumn("_run", F.size(coarse) * buckets)
-    inside = F.filter(F.transform(F.sequence(F.lit(0), F.lit(buckets - 2)), lambda i: F.get(bounds, F.col("_run") + i)),
-                      lambda c: c <= s)
-    b = b.withColumn("bucket", F.col("_run") + F.size(inside)).drop("_run", "_bounds")
-    totals = b.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))          # <= buckets ** 2 rows
-    prior = totals.withColumn("neg_before_bucket", F.coalesce(F.sum("bucket_neg").over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("bucket_neg")
-    within = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    # ``prior`` has at most buckets ** 2 rows: a bound known before it runs
-    c = (b.withColumn("neg_before_in_bucket", F.coalesce(F.sum("neg").over(within), F.lit(0)))
-          .join(F.broadcast(prior), "bucket"))
-    nb = F.col("neg_before_bucket") + F.col("neg_before_in_bucket")
-    wide = T.DecimalType(38, 0)  # pairs of rows outgrow 64 bits
-    below = (nb * 2 + F.col("neg")).cast(T.DecimalType(19, 0))
-    agg = c.agg(F.sum((F.col("pos").cast(T.DecimalType(18, 0)) * below).cast(wide)).cast(wide).alias("num"),
-                F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    ranged = per_score.repartitionByRange(*([buckets] if buckets else []), "score").withColumn("range", F.spark_partition_id())
+    within = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    wide, long = T.DecimalType(38, 0), T.DecimalType(18, 0)  # pairs of rows outgrow 64 bits
+    before = F.coalesce(F.sum("neg").over(within), F.lit(0))
+    ranged = ranged.withColumn("pairs", F.col("pos").cast(long) * (before * 2 + F.col("neg")).cast(T.DecimalType(19, 0)))
+    ranges = ranged.groupBy("range").agg(F.sum(F.col("pairs").cast(wide)).cast(wide).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # a row a range from here on
+    earlier = F.coalesce(F.sum("neg").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.withColumn("lacking", F.col("pos").cast(long) * (earlier * 2).cast(T.DecimalType(19, 0)))
+    total = ranges.agg(F.sum((F.col("pairs") + F.col("lacking")).cast(wide)).cast(wide).alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0),
                  F.col("num").cast(T.DoubleType()) / (F.col("P").cast(T.DoubleType()) * F.col("N") * 2)
                  ).otherwise(F.lit(float("nan")))
-    return agg.select(auc.alias("auc"))
+    return total.select(auc.alias("auc"))
 
 
 def scenario_features(silver: DataFrame, wet_mm: float = params.SCENARIO_WET_MM,

@@ -1,4 +1,4 @@
-"""Top-k reports over the gold tables.
+"""Top-k reports over the gold tables.
 
 ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: every partition keeps
 its own k best rows and only those reach the final merge.  The group key is
@@ -38,3 +38,8 @@ def top_stations(stop_table: DataFrame, k: int = params.TOP_K) -> DataFrame:
     """Worst stations."""
     return worst_stations(stop_table, k).select(
         "stop_name", "stop_events", "avg_delay_min", "pct_late_5min")
+
+
+def weather_split(weather_table: DataFrame) -> DataFrame:
+    """T5: the dry and the wet row of the weather table, dry first (rain unknown before both)."""
+    return weather_table.orderBy(F.col("is_raining").asc_nulls_first())

@@ -64,6 +64,9 @@ FROM line_punctuality WHERE is_suburban ORDER BY avg_delay_min DESC NULLS LAST,
                                   "line_punctuality"))(
     lambda spark, d: R.top_lines(A.line_punctuality(fixture_silver(spark, d))))
 
+register("weather_split", Q.over_gold("SELECT * FROM weather_delay ORDER BY is_raining", "weather_delay"))(
+    lambda spark, d: R.weather_split(A.weather_delay(fixture_silver(spark, d))))
+
 register("top_hours", Q.over_gold("""
 SELECT sched_hour, stop_events, avg_delay_min, pct_late_5min FROM hourly_punctuality
 ORDER BY avg_delay_min DESC NULLS LAST, sched_hour LIMIT 6""", "hourly_punctuality"))(

@@ -8,8 +8,6 @@ the numbers.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,9 +36,8 @@ CAPTURES_SQL = fx.with_views(
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; a local session without that setting gets its own."""
-    unset = not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local")
-    return scratch_path(spark, name, tempfile.mkdtemp(prefix="latewatch-") if unset else None)
+    """A new folder below ``spark.checkpoint.dir``."""
+    return scratch_path(spark, name)
 
 
 def updates(spark: SparkSession, d: str) -> DataFrame:
@@ -105,12 +102,13 @@ register("weather_scan", q_sources._WEATHER_ORACLE)(lambda spark, d: weather.rea
 
 
 # ST1, ST2: two runs, the second after more captures have landed -----------------------------
-def _streamed(spark: SparkSession, d: str, start) -> None:
-    """``start(landing, checkpoint)`` once after each landing."""
+def _streamed(spark: SparkSession, d: str, start, then=lambda: None) -> None:
+    """``start(landing, checkpoint)`` once after each landing, and what follows a run."""
     root = folder(spark, "stream")
     for part in _landings(spark, d):
         captures.land_captures(part, f"{root}/landing")
         start(f"{root}/landing", f"{root}/progress").awaitTermination()
+        then()
 
 
 @register("stream_ingest", CAPTURES_SQL)
@@ -130,6 +128,32 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
         "entity_id", "trip_id", "route_id", "stop_id", "delay_seconds", "captured_at", "service_date")
 
 
+# C1 without a date: what the second landing changed is found in the tables' logs ---------------
+def _updated(spark: SparkSession, d: str) -> str:
+    root = folder(spark, "updated")
+    wx, timetable = _weather_table(spark, d), _timetable(spark, d)
+    for part in _landings(spark, d):
+        captures.land_captures(part, f"{root}/landing")
+        pipeline.update(spark, root, f"{root}/landing", wx, timetable)
+        timetable = None                                             # landed once: a new one makes silver anew
+    return root
+
+
+@register("gold_update", Q.over_gold("SELECT * FROM line_punctuality", "line_punctuality"))
+def gold_update(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.read_gold(spark, _updated(spark, d), "line_punctuality")
+
+
+@register("stream_refresh", Q.over_silver("SELECT * FROM silver"))
+def stream_refresh(spark: SparkSession, d: str) -> DataFrame:
+    root = folder(spark, "followed")
+    wx, timetable = _weather_table(spark, d), _timetable(spark, d)
+    pipeline.refresh_bronze(spark, root, None, wx, timetable)
+    _streamed(spark, d, lambda landing, progress: ingest.start_latest_state(spark, landing, f"{root}/state", progress),
+              lambda: pipeline.update_from_stream(spark, root, f"{root}/state"))
+    return _wall_clock(pipeline.read_silver(spark, root))
+
+
 # A full refresh, then one of the days since -----------------------------------------------
 def _lake(spark: SparkSession, d: str) -> str:
     root, (first, second) = folder(spark, "lake"), _landings(spark, d)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,23 +42,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+#: Folders of local sessions without ``spark.checkpoint.dir``, by application.
+_local: dict[str, str] = {}
+
+
+def _own_folder(application: str) -> str:
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="latewatch-")
+    return _local[application]
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/S3/ABFS) folder there.  Only under a local
-    master, when it is unset, is ``fallback`` set as the session's checkpoint dir.
+    master may it be unset: ``fallback`` or a new temporary folder serves then, the
+    same for the whole application (the setting itself is fixed once Spark runs).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not fallback or not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = fallback
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = fallback or _own_folder(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run of one job."""
-    return f"{checkpoint_root(spark, fallback)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark, fallback)}/{name}-{uuid.uuid4().hex}"

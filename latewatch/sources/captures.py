@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,9 +42,20 @@ def land_captures(df: DataFrame, root: str, schema: T.StructType = schemas.TRIP_
     out.hint("rebalance", "dt", "hour").write.mode(mode).partitionBy("dt", "hour").parquet(root)
 
 
-def read_captures(spark: SparkSession, root: str, schema: T.StructType = schemas.TRIP_UPDATES) -> DataFrame:
-    """Every capture file below ``root`` with the contract schema plus ``dt``, ``hour``."""
-    return spark.read.schema(with_partitions(schema)).option("basePath", root).parquet(root)
+def read_captures(spark: SparkSession, root: str, schema: T.StructType = schemas.TRIP_UPDATES,
+                  where: Column | None = None) -> DataFrame:
+    """Every capture file below ``root`` (or in the folders ``where`` picks by dt and hour) with the contract schema plus ``dt``, ``hour``."""
+    rows = spark.read.schema(with_partitions(schema)).option("basePath", root).parquet(root)
+    return rows if where is None else rows.where(where)
+
+
+def landed_hours(spark: SparkSession, root: str) -> dict[tuple, str]:
+    """(dt, hour) -> what lies in that folder (files, bytes, newest change); no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    by = [F.col(c) if c in files.columns else F.lit(None) for c in ("dt", "hour")]
+    found = files.groupBy(by[0].cast("date").alias("dt"), by[1].cast("int").alias("hour")).agg(
+        F.concat_ws("/", F.count(F.lit(1)), F.sum("length"), F.unix_micros(F.max("modificationTime"))).alias("state"))
+    return {(r.dt, r.hour): r.state for r in found.collect()}       # 24 a day
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -81,7 +92,7 @@ def _decoded(schema: T.StructType):
 
 
 def read_captures_tolerant(spark: SparkSession, root: str,
-                           schema: T.StructType = schemas.TRIP_UPDATES) -> DataFrame:
+                           schema: T.StructType = schemas.TRIP_UPDATES, where: Column | None = None) -> DataFrame:
     """Drift-tolerant scan of captures written with per-file inferred types.
 
     A task holds the files of one scan split at a time (``spark.sql.files.maxPartitionBytes``,
@@ -89,5 +100,7 @@ def read_captures_tolerant(spark: SparkSession, root: str,
     once and scan that with :func:`read_captures`.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    if where is not None:
+        files = files.where(where)
     keep = [f.name for f in PARTITIONS.fields if f.name in files.columns]
     return files.select("content", *keep).mapInArrow(_decoded(with_partitions(schema)), with_partitions(schema))

@@ -2,78 +2,45 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versioned
+from .versioned import delete, exists
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and the path as it knows it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, where = _files(spark, path)
-    fs.delete(where, True)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _files(spark, path)
-    return fs.exists(where)
-
-
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """``path`` becomes the finished table ``new``; the old one goes last."""
-    fs, at = _files(spark, path)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}__old-{uuid.uuid4().hex}")
-    had = fs.exists(at)
-    if had and not fs.rename(at, old):
-        raise OSError(f"cannot move {path} away")
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(new), at):
-        if had:
-            fs.rename(old, at)
-        raise OSError(f"cannot move {new} to {path}")
-    if had:
-        fs.delete(old, True)
+__all__ = ["delete", "exists", "read_table", "replace_table", "table_counts"]
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
                   fmt: str = "parquet", partition_by: tuple[str, ...] = (),
                   only_partitions_present: bool = False) -> None:
-    """``CREATE OR REPLACE TABLE ... AS``: overwrite a catalog table or a path.
+    """``CREATE OR REPLACE TABLE ... AS``: overwrite a catalog table or a versioned table at a path.
 
     ``partition_by`` keeps folder partitions (so later filters prune them);
     ``only_partitions_present=True`` replaces just the partitions that occur in
-    ``df`` (dynamic partition overwrite) and keeps the others.  Rows are rebalanced
-    by the partition columns, so a folder gets few files however many tasks write.
-    A whole table at a path is written beside the old one and takes its place only
-    when it is complete: a failed job leaves the old table.
+    ``df`` and keeps the others.  A table at a path is replaced by one commit: a
+    failed job leaves the old table, and readers (:func:`read_table`) see the old or
+    the new one.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-        w = w.option("partitionOverwriteMode", "dynamic" if only_partitions_present else "static")
-    if name:
+    if path and fmt == "parquet":
+        versioned.write(df, path, partition_by, present_only=only_partitions_present)
+    elif name:
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        w = df.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+            w = w.option("partitionOverwriteMode", "dynamic" if only_partitions_present else "static")
         w.saveAsTable(name)
-    elif path and only_partitions_present:
-        w.save(path)
-    elif path:
-        new = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
-        w.save(new)
-        _swap(df.sparkSession, new, path.rstrip("/"))
     else:
-        raise ValueError("give a table name or a path")
+        raise ValueError("give a table name, or a path for a Parquet table")
 
 
-def drop_partitions(spark: SparkSession, path: str, columns: tuple[str, ...], values: list[tuple]) -> None:
-    """Removes the folders of some values of the partition columns."""
-    for v in values:
-        delete(spark, "/".join([path.rstrip("/"), *[f"{c}={x}" for c, x in zip(columns, v, strict=True)]]))
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`replace_table` left at a path (or any Parquet path)."""
+    return versioned.read(spark, path)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from . import versioned
 
 
 def weather_rows(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
@@ -42,11 +43,37 @@ def to_weather_contract(df: DataFrame) -> DataFrame:
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame | None:
-    """The weather table from its Parquet file, or ``None`` when it is absent."""
+    """The weather table (a Parquet file or a versioned table), or ``None`` when it is absent."""
     try:
-        df = spark.read.parquet(path)
+        df = versioned.read(spark, path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
     return to_weather_contract(df)
+
+
+def upsert_weather(spark: SparkSession, new: DataFrame, path: str) -> versioned.Version:
+    """Weather history: hours of ``new`` replace those of the table at ``path``, all others stay.
+
+    The version's ``meta["dates"]`` tells which version last changed an obs_date; nothing is
+    committed when nothing changes.  Rows of ``new`` that share an hour all stay.
+    """
+    new = to_weather_contract(new)
+    old = versioned.latest(spark, path)
+    if old is None:
+        dates = _dates(new)
+        return versioned.write(new, path, meta={"dates": dict.fromkeys(dates, 1)})
+    before = versioned.read(spark, path, old)
+    hours = new.select(F.col("obs_date").alias("_date"), F.col("obs_hour").alias("_hour")).distinct()
+    same = F.col("obs_date").eqNullSafe(F.col("_date")) & F.col("obs_hour").eqNullSafe(F.col("_hour"))
+    after = before.join(hours, same, "left_anti").unionByName(new)
+    dates = _dates(after.exceptAll(before).unionByName(before.exceptAll(after)))
+    if not dates:
+        return old
+    meta = {"dates": {**old.meta.get("dates", {}), **dict.fromkeys(dates, old.number + 1)}}
+    return versioned.write(after.coalesce(1), path, meta=meta, base=old)
+
+
+def _dates(rows: DataFrame) -> list[str]:
+    return [r[0] or "" for r in rows.select("obs_date").distinct().collect()]       # days

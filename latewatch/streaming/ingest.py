@@ -8,37 +8,34 @@ ST2 :func:`start_latest_state` keeps the silver build's W1 result up to date:
 each micro-batch is filtered (P1-P3) and dated (P4) *before* it touches state,
 merged with the stored rows of the service dates it touches only, reduced to
 the newest capture per (trip_id, service_date, stop_id), and written as a new
-version of just those ``service_date`` folders.  The state has one row
+version of just those ``service_date`` partitions.  The state has one row
 per (trip, service date, stop), so a day's partition is bounded by that day's
 timetable however many captures arrive; rewriting it per micro-batch costs
 O(scheduled stop events of the touched days).
 
+The state is a versioned table (:mod:`latewatch.sources.versioned`): a batch is one
+commit, the state of any number of days reads as one scan, folders of batches that died go
+with the next commit, and the versions at which dates were last written are the
+change log that the refresh consumes (:func:`latewatch.plans.pipeline.update_from_stream`).
+
 Replay safety: the merge is idempotent (``latest(latest(S + B) + B) ==
-latest(S + B)`` with a deterministic tie-break).  A batch writes its touched
-dates to a folder of its own and then commits one small manifest file that names
-the folder of every date; readers go through the newest manifest only.  Nothing
-that a manifest names is changed or removed before two later manifests are
-committed, so a job that dies at any moment leaves the last committed state, and
-the replay merges the batch again.
+latest(S + B)`` with a deterministic tie-break), so a job that dies at any moment
+leaves the last committed state, and the replay merges the batch again.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from .. import params, schemas
 from ..operators.enrich import latest_stop_events, prepare_updates
-from ..sources import sinks
+from ..sources import versioned
 from ..sources.captures import with_partitions
 
-MANIFEST = "batch long, service_date date, folder string"
-
 
 def capture_stream(spark: SparkSession, landing_root: str, schema=schemas.TRIP_UPDATES,
                    max_files_per_trigger: int | None = None) -> DataFrame:
@@ -58,66 +55,24 @@ def start_capture_ingest(spark: SparkSession, landing_root: str, bronze_path: st
     return w.start(bronze_path)
 
 
-def _manifests(spark: SparkSession, state_root: str) -> dict[int, dict]:
-    """Batch -> {service date: folder} of the committed manifests (three at most, a row a day)."""
-    try:
-        rows = spark.read.schema(MANIFEST).json(f"{state_root}/manifest/*").collect()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    out: dict[int, dict] = {}
-    for r in rows:
-        out.setdefault(r["batch"], {})[r["service_date"]] = r["folder"]
-    return out
-
-
-def _read_dates(spark: SparkSession, folders: dict, schema=None) -> DataFrame | None:
-    """The state rows of some dates, each from the folder that holds it."""
-    if not folders:
-        return None
-    parts: dict[str, list] = {}
-    for day, folder in folders.items():
-        parts.setdefault(folder, []).append(day)
-    out = None
-    for folder, days in parts.items():
-        df = spark.read.option("basePath", folder).parquet(*[f"{folder}/service_date={d}" for d in days])
-        df = df.withColumn("service_date", F.col("service_date").cast("date"))
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
 def merge_batch(batch: DataFrame, batch_id: int, state_root: str,
                 tie_breakers: Sequence[str] = ("entity_id",), zone: str = params.SERVICE_ZONE) -> None:
     """ST2 body for one micro-batch (also callable directly to replay a batch)."""
     spark = batch.sparkSession
-    committed = _manifests(spark, state_root)
-    state = dict(committed[max(committed)]) if committed else {}
+    state = versioned.latest(spark, state_root)
     fresh = prepare_updates(batch, zone, tie_breakers).persist()
     try:
         days = [r[0] for r in fresh.select("service_date").distinct().collect()]     # a few a batch
+        if not days:
+            return
         merged = fresh
-        prior = _read_dates(spark, {d: state[d] for d in days if d in state})
-        if prior is not None:
-            merged = prior.select(*fresh.columns).unionByName(fresh)
-        folder = f"{state_root}/versions/batch={batch_id}-{uuid.uuid4().hex}"
-        if days:
-            (latest_stop_events(merged, tie_breakers).hint("rebalance", "service_date")
-             .write.partitionBy("service_date").parquet(folder))
-        state.update((d, folder) for d in days)
+        if state:
+            touched = F.col("service_date").isin([d for d in days if d]) | (F.col("service_date").isNull() & F.lit(None in days))
+            merged = versioned.read(spark, state_root, state).where(touched).select(*fresh.columns).unionByName(fresh)
+        versioned.write(latest_stop_events(merged, tie_breakers), state_root, ("service_date",), present_only=True,
+                        meta={"batch": batch_id}, base=state)
     finally:
         fresh.unpersist()
-    if not state:
-        return
-    rows = [(batch_id, d, f) for d, f in state.items()]
-    # one file, renamed into place by the commit: there or not there
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").json(f"{state_root}/manifest/{batch_id:012d}")
-    committed[batch_id] = state
-    kept = sorted(committed)[-2:]
-    for old in sorted(committed)[:-2]:
-        for f in {*committed[old].values()} - {x for k in kept for x in committed[k].values()}:
-            sinks.delete(spark, f)
-        sinks.delete(spark, f"{state_root}/manifest/{old:012d}")
 
 
 def start_latest_state(spark: SparkSession, landing_root: str, state_root: str, checkpoint: str,
@@ -134,8 +89,8 @@ def start_latest_state(spark: SparkSession, landing_root: str, state_root: str,
 
 
 def read_latest_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """The maintained W1 table as the newest manifest names it."""
-    committed = _manifests(spark, state_root)
-    if not committed:
+    """The maintained W1 table: the newest commit's."""
+    state = versioned.latest(spark, state_root)
+    if state is None:
         raise FileNotFoundError(f"no committed state below {state_root}")
-    return _read_dates(spark, committed[max(committed)])
+    return versioned.read(spark, state_root, state)

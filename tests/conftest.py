@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark import SparkConf
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -13,8 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    s = get_session("local[4]", 4, app_name="latewatch-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = str(tmp_path_factory.mktemp("checkpoints"))
-        s.conf.set("spark.checkpoint.dir", d)
-    yield s
+    # the setting is fixed once Spark runs; a folder that is named already is kept
+    named = SparkConf().get("spark.checkpoint.dir", None)
+    own = {} if named else {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))}
+    yield get_session("local[4]", 4, app_name="latewatch-tests", extra=own)

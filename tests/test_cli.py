@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from latewatch import schemas
 from latewatch.__main__ import main
 from latewatch.plans import fixtures as fx
-from latewatch.sources import captures
+from latewatch.sources import captures, sinks
 from conftest import SF_SMALL
 from test_sources import SMOKE
 
@@ -28,7 +28,7 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     payload = {"hourly": {"time": ["2024-01-02T08:00"], "precipitation": [0.4], "temperature_2m": [20.0]}}
     (raw / "weather" / "p.json").write_text(json.dumps(payload))
     assert main(["land-weather", "--payloads", str(raw / "weather"), "--out", str(raw / "weather.parquet")]) == 0
-    assert spark.read.parquet(str(raw / "weather.parquet")).first().obs_hour == 8
+    assert sinks.read_table(spark, str(raw / "weather.parquet")).first().obs_hour == 8
 
     u = fx.fx_trip_updates(spark, SF_SMALL).withColumn("entity_id", F.lpad(F.col("event_id").cast("string"), 8, "0"))
     captures.land_captures(u, land)
@@ -50,8 +50,8 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     metrics = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert metrics["n_train"] + metrics["n_test"] == metrics["rows"]
     assert len(metrics["confusion_matrix"]) == 2
-    preds = spark.read.parquet(f"{lake}/gold/delay_predictions")
+    preds = sinks.read_table(spark, f"{lake}/gold/delay_predictions")
     assert preds.count() == metrics["rows"] and len(preds.columns) == 9
 
-    assert main(["predict", "--lake", lake, "--line", "T4", "--hour", "8", "--rain"]) == 0
+    assert main(["predict", "--lake", lake, "--line", "T4", "--hour", "8", "--dow", "Thu", "--route-type", "2", "--rain"]) == 0
     assert "prob_late" in json.loads(capsys.readouterr().out.strip().splitlines()[-1])

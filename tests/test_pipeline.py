@@ -10,7 +10,7 @@ import contextlib
 import io
 
 from latewatch.plans.pipeline import read_silver, refresh, refresh_silver
-from latewatch.sources import captures
+from latewatch.sources import captures, versioned
 from conftest import SF_SMALL
 
 
@@ -42,18 +42,18 @@ def test_refresh(spark, tmp_path):
     direct = build_silver(u, fx.fx_routes(spark, SF_SMALL), fx.fx_stops(spark, SF_SMALL),
                           fx.fx_stop_times(spark, SF_SMALL), fx.fx_weather(spark, SF_SMALL),
                           tie_breakers=("entity_id",))
-    silver = spark.read.parquet(written["stop_delays"])
+    silver = versioned.read(spark, written["stop_delays"])
     assert silver.count() == direct.count() == 823
-    got = spark.read.parquet(written["network_kpi"]).drop("first_day", "last_day").first()
+    got = versioned.read(spark, written["network_kpi"]).drop("first_day", "last_day").first()
     want = A.network_kpi(direct).drop("first_day", "last_day").first()
     assert got.asDict() == want.asDict()
     # idempotent replace
     refresh(spark, out, land, str(raw / "weather.parquet"), str(sched), schedule_ext="parquet")
-    assert spark.read.parquet(written["stop_delays"]).count() == 823
+    assert versioned.read(spark, written["stop_delays"]).count() == 823
 
     # incremental silver: only service dates >= since are rebuilt, from pruned capture folders
     full = sorted((tuple(r) for r in read_silver(spark, out).collect()), key=repr)
-    bronze_updates = spark.read.parquet(written["rt_trip_updates"])
+    bronze_updates = versioned.read(spark, written["rt_trip_updates"])
     assert "PartitionFilters: [isnotnull(dt" in _plan(
         bronze_updates.where(F.col("dt") >= F.date_sub(F.lit("2024-01-20").cast("date"), 1)))
     refresh_silver(spark, out, since="2024-01-20")
@@ -65,12 +65,14 @@ def test_refresh(spark, tmp_path):
     vehicles = str(raw / "vehicles")
     captures.land_captures(u.limit(3), vehicles, schemas.VEHICLE_POSITIONS)
     bronze = tmp_path / "lake" / "bronze" / "rt_trip_updates"
-    files = lambda old: {str(f) for f in bronze.rglob("*.parquet") if (f.parts[-3] < "dt=2024-01-19") == old}
+    def files(old):
+        live = versioned.latest(spark, str(bronze)).folders.items()
+        return {str(f) for p, folder in live if (p < "dt=2024-01-19") == old for f in (bronze / folder / p).glob("*.parquet")}
     old, recent = files(True), files(False)
     refresh(spark, out, less, str(raw / "weather.parquet"), since="2024-01-20", vehicles_root=vehicles)
     assert old and files(True) == old and not files(False) & recent          # older hours are not copied again
-    assert spark.read.parquet(str(bronze)).count() == captures.read_captures(spark, less).count()
+    assert versioned.read(spark, str(bronze)).count() == captures.read_captures(spark, less).count()
     part = sorted((tuple(r) for r in read_silver(spark, out).collect()), key=repr)
-    assert spark.read.parquet(f"{out}/bronze/rt_vehicle_positions").count() == 3
+    assert versioned.read(spark, f"{out}/bronze/rt_vehicle_positions").count() == 3
     refresh(spark, out, less, str(raw / "weather.parquet"))
     assert sorted((tuple(r) for r in read_silver(spark, out).collect()), key=repr) == part and len(part) < len(full)

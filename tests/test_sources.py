@@ -126,7 +126,7 @@ def test_table_counts_and_replace(spark, tmp_path):
     p = str(tmp_path / "t")
     sinks.replace_table(a, path=p)
     sinks.replace_table(b, path=p)
-    assert spark.read.parquet(p).count() == 2
+    assert sinks.read_table(spark, p).count() == 2
 
 
 def _fails(df, *words):
@@ -178,6 +178,6 @@ def test_a_failed_replace_keeps_the_old_table(spark, tmp_path):
     import pytest
     with pytest.raises(Exception):
         sinks.replace_table(spark.range(5).select(F.raise_error(F.lit("stop")).alias("x")), path=p)
-    assert spark.read.parquet(p).count() == 5
+    assert sinks.read_table(spark, p).count() == 5
     sinks.replace_table(spark.range(7), path=p)
-    assert spark.read.parquet(p).count() == 7
+    assert sinks.read_table(spark, p).count() == 7
