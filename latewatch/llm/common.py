@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 #: Text bytes that one step of a Python task holds at once (one longer document still goes whole).
 SLICE_BYTES = 8 << 20
 
@@ -21,18 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share.
-
-    Only a local master may go without that setting; it then gets a folder of
-    its own for the session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below ``spark.checkpoint.dir``, which all executors share (only a local master may go without)."""
+    return scratch_path(spark, name)
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
