@@ -78,21 +78,23 @@ def train_test_split(features: DataFrame, test_fraction: float = params.TEST_FRA
     ``test_fraction`` quantile of the hash (one quantile over all rows when not
     stratified).  Deterministic for a given seed and independent of partitioning.
     """
-    stratify = features.agg(F.coalesce(F.sum(label), F.lit(0)) >= min_positives).scalar()
-    h = (features.withColumn("_h", split_hash(keys, seed))
-         .withColumn("_g", F.when(stratify, F.col(label)).otherwise(0))
-         .withColumn("_top", F.shiftright("_h", 32)))
-    # at most two thresholds; the windows hold 2^16 counts, then one bucket's rows, of a class
-    counts = h.groupBy("_g", "_top").agg(F.count(F.lit(1)).alias("_n"))
+    hashed = features.withColumn("_h", split_hash(keys, seed)).withColumn("_top", F.shiftright("_h", 32))
+    # one pass counts the hash's top bits in each class (2^16 a class at most); the same counts tell whether to stratify
+    counts = hashed.groupBy(F.col(label).alias("_class"), "_top").agg(F.count(F.lit(1)).alias("_n"))
+    positives = F.coalesce(F.sum(F.col("_class") * F.col("_n")).over(Window.partitionBy(F.lit(0))), F.lit(0))
+    counts = counts.withColumn("_apart", positives >= min_positives)
+    counts = counts.groupBy(F.when(F.col("_apart"), F.col("_class")).otherwise(0).alias("_g"), "_apart", "_top").agg(F.sum("_n").alias("_n"))
     of_class = Window.partitionBy("_g")
     rank = F.greatest(F.ceil(F.lit(test_fraction) * F.sum("_n").over(of_class)), F.lit(1))
     counts = counts.withColumn("_upto", F.sum("_n").over(of_class.orderBy("_top"))).withColumn("_rank", rank)
-    bucket = (counts.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
-              .select("_g", "_top", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_place")))
-    ranked = (h.select("_g", "_top", "_h").join(F.broadcast(bucket), ["_g", "_top"])
+    bucket = counts.where((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+    # at most two thresholds: one bucket's rows of a class are ranked
+    classes = F.explode(F.when(F.col("_apart"), F.array("_g")).otherwise(F.array(F.lit(0), F.lit(1)))).alias(label)
+    bucket = bucket.select(classes, "_g", "_apart", "_top", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_place"))
+    ranked = (hashed.select(label, "_top", "_h").join(F.broadcast(bucket), [label, "_top"])
               .withColumn("_row", F.row_number().over(of_class.orderBy("_h"))))
-    limits = ranked.where(F.col("_row") == F.col("_place")).select("_g", F.col("_h").alias("_t"))
-    split = h.join(F.broadcast(limits), "_g").withColumn("is_test", F.col("_h") <= F.col("_t"))
+    limits = ranked.where(F.col("_row") == F.col("_place")).select(classes, F.col("_h").alias("_t"))
+    split = hashed.join(F.broadcast(limits), label).withColumn("is_test", F.col("_h") <= F.col("_t"))
     return split.select(*features.columns, "is_test")
 
 

@@ -116,3 +116,36 @@ def test_fit_is_at_its_optimum(spark):
     scale = (w[:, None] * np.abs(x)).sum(0) + 1          # of a residual of one in every row
     assert np.abs((x.T @ residual + beta) / scale).max() < 1e-3
     assert abs(residual.mean()) < 1e-3
+
+
+def test_split_without_stratifying(spark):
+    """Fewer positives than needed: one threshold over all rows; classes may be missing, tables empty."""
+    for positives in (0, 7, 8):
+        rows = [(f"t{i}", "s", int(i < positives)) for i in range(400)]
+        f = spark.createDataFrame(rows, "trip_id string, stop_id string, is_late_5min int").withColumn("service_date", F.to_date(F.lit("2024-01-01")))
+        s = M.train_test_split(f).withColumn("h", M.split_hash()).collect()
+        assert len(s) == 400
+        for group in ([r for r in s if r.is_late_5min], [r for r in s if not r.is_late_5min]) if positives >= 8 else (s,):
+            limit = sorted(r.h for r in group)[max(1, -(-len(group) // 4)) - 1]
+            assert all(r.is_test == (r.h <= limit) for r in group)
+    assert M.train_test_split(f.limit(0)).count() == 0
+
+
+def test_the_compacted_rows_have_the_same_likelihood(spark):
+    """The fit over distinct rows equals the fit over every row."""
+    from pyspark.ml.classification import LogisticRegression
+    train = M.train_test_split(M.ml_features(fixture_silver(spark, SF_CHECK))).where(~F.col("is_test")).persist()
+    weighted, n = M.balanced_weights(train)
+    lr = LogisticRegression(featuresCol="features", labelCol=M.LABEL, weightCol="weight", family="binomial", standardization=False,
+                            elasticNetParam=0.0, regParam=1.0 / n, maxIter=500, tol=1e-12)
+    every = M.weights(Pipeline(stages=M.encoder_stages() + [lr]).fit(weighted))
+    compact, n2 = M.balanced_weights(M.compacted(train), rows="rows")
+    few = M.weights(Pipeline(stages=M.encoder_stages() + [lr]).fit(compact))
+    assert n == n2 and M.compacted(train).count() < train.count()
+    flat = lambda w: [w.intercept, *[x for c in w.categories.values() for x in c.values()], *w.numbers.values()]
+    assert np.abs(np.array(flat(every)) - np.array(flat(few))).max() < 1e-5        # where the two searches stop
+    # the likelihood itself is the same at either end
+    loss = lambda rows, w: M.score(w, rows).agg(F.sum(-F.col("weight") * F.log(F.when(F.col(M.LABEL) == 1, F.col("prob_late")).otherwise(1 - F.col("prob_late"))))).first()[0]
+    for w in (every, few):
+        assert abs(loss(weighted, w) / loss(compact, w) - 1) < 1e-12
+    train.unpersist()
