@@ -23,6 +23,7 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -213,12 +214,16 @@ class Codec:
 
     def decode(self, ids: list[int]) -> bytes:
         """The UTF-8 bytes of the decoded text."""
-        found = b"".join(map(self.v.text.__getitem__, ids))
-        try:
-            found.decode()
-        except UnicodeDecodeError:
-            return found.decode(errors="replace").encode()
-        return found
+        return readable(b"".join(map(self.v.text.__getitem__, ids)))
+
+
+def readable(found: bytes) -> bytes:
+    """Bytes as UTF-8, with U+FFFD for what is none."""
+    try:
+        found.decode()
+    except UnicodeDecodeError:
+        return found.decode(errors="replace").encode()
+    return found
 
 
 _CODECS: dict[str, Codec] = {}
@@ -227,6 +232,7 @@ _CODECS: dict[str, Codec] = {}
 def codec(path: str) -> Codec:
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
+        gc.freeze()  # the vocabulary stays as long as the worker; collections need not visit it
     return _CODECS[path]
 
 
@@ -235,16 +241,23 @@ def _coded(path: str, texts: bool):
         own = codec(path)
         for batch in batches:
             for part in slices(batch, limit=SLICE):
-                ids, at = own.encode(part.column("text"))
+                table, place, of = own.encode.cut(part.column("text"))
+                at = np.searchsorted(of, np.arange(part.num_rows + 1)).tolist()
+                # what each distinct chunk gives is worked out once
+                chunks = [np.frombuffer(x, np.uint32).tolist() for x in table]
+                decimal, letters = own.v.decimal, own.v.text
+                spoken = [b"".join([decimal[i] for i in c]) for c in chunks]
+                spelt = [b"".join([letters[i] for i in c]) for c in chunks]
+                place = place.tolist()
                 n, said, back, full = [], [], [], []
-                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    mine = ids[a:b].tolist()
-                    n.append(b - a)
-                    said.append(hashlib.sha256(b"".join(map(own.v.decimal.__getitem__, mine))[1:]).hexdigest())
-                    text = own.decode(mine)
+                for a, b in zip(at, at[1:]):
+                    mine = place[a:b]
+                    n.append(sum([len(chunks[p]) for p in mine]))
+                    said.append(hashlib.sha256(b"".join([spoken[p] for p in mine])[1:]).hexdigest())
+                    text = readable(b"".join([spelt[p] for p in mine]))
                     back.append(hashlib.sha256(text).hexdigest())
                     if texts:
-                        full.append((mine, text.decode()))
+                        full.append(([i for p in mine for i in chunks[p]], text.decode()))
                 columns = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(back, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:

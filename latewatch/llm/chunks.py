@@ -74,8 +74,8 @@ class ChunkEncoder:
             known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
         return out
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's begin (one more entry than texts). Null as empty."""
+    def cut(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of distinct chunks, the chunks of all texts in order, and the text of each.  Null as empty."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
         cut = pc.split_pattern(texts, " ")
@@ -119,10 +119,15 @@ class ChunkEncoder:
         keep = used
         keep[first] = True
         table = ids + own
+        return table, place[keep], text_of[keep]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's begin (one more entry than texts). Null as empty."""
+        n = len(texts)
+        table, place, of = self.cut(texts)
         lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
         flat = np.frombuffer(b"".join(table), np.uint32)
         begin = np.cumsum(lengths) - lengths
-        place, of = place[keep], text_of[keep]
         count = lengths[place]
         total = int(count.sum())
         shift = np.repeat(begin[place] - (np.cumsum(count) - count), count)

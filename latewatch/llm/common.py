@@ -32,6 +32,31 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until the table has no such column (names match in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, lost: DataFrame, by: Column | None = None) -> DataFrame:
+    """``docs`` less the rows that ``lost`` names by doc_id and ``digest`` (of ``by``, the text's own if not given).
+
+    Where ``lost`` has a column ``stays``, one row of each name for which it holds stays.  Texts move once.
+    """
+    key, ident, value = (unused(docs, n) for n in ("digest_key", "lost_id", "lost_digest"))
+    marked = docs.withColumn(key, digest() if by is None else by)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(ident)) & (F.col(key) == F.col(value))
+    named = lambda df: df.select(F.col("doc_id").alias(ident), F.col("digest").alias(value))
+    out = marked.join(named(lost), same, "left_anti")
+    if "stays" in lost.columns:
+        again = written(lost.where("stays"), "repeated")
+        if not again.isEmpty():
+            out = out.unionByName(marked.join(named(again), same, "left_semi").dropDuplicates(["doc_id", key]))
+    return out.drop(key)
+
+
 def digest() -> Column:
     """SHA-256 of the text (null as empty); with doc_id it tells rows apart, whose ids may repeat or be null."""
     return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, raw, slices, written
+from .common import digest, raw, slices, without, written
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -364,6 +364,4 @@ def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
     Rows are told apart by doc_id and text: repeated and null ids take no other row along.
     """
-    lost = _verdicts(docs, items, keyed=True, **options).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))
-    return docs.withColumn("__digest", digest()).join(lost, same, "left_anti").drop("__digest")
+    return without(docs, _verdicts(docs, items, keyed=True, **options).where("contaminated").select("doc_id", "digest").distinct())

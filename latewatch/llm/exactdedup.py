@@ -11,7 +11,8 @@ broadcast (at most ``k + 1`` rows), so rows of a frequent text never meet in one
 task.  All other digests go through an ordinary shuffle.
 
 Of equal texts the row with the largest doc_id stays (null ids lose; of repeated
-rows with one id exactly one stays).  An empty table gives an empty result.
+rows with one id exactly one stays).  A very long text is read whole, by itself.  An empty table
+gives an empty result.
 Columns other than doc_id and text are not read.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw, slices, written
+from .common import raw, slices, unused, without, written
 
 #: Misra-Gries counters a task.
 COUNTERS = 512
@@ -40,11 +41,13 @@ def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(n) for n in keep] + [pa.array(digest, pa.binary())], names=[*keep, "digest"])
 
 
-def _with_digest_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            digest = [hashlib.sha256(t.lower()).digest() for t in raw(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digest, pa.binary())], names=[*part.schema.names, "__digest"])
+def _with_digest_all(name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                digest = [hashlib.sha256(t.lower()).digest() for t in raw(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digest, pa.binary())], names=[*part.schema.names, name])
+    return run
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -96,16 +99,17 @@ def deduplicate(docs: DataFrame, k: int = COUNTERS) -> DataFrame:
 
     Copies of frequent texts leave before any text is shuffled.
     """
-    columns = docs.columns
     verdict = written(judge(docs, k), "verdicts")
-    kept = verdict.where("kept").select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__kept"), "group_size")
     total = verdict.count()
-    hot = kept.where(F.col("group_size") > 2 * total / (k + 1))  # fewer than (k + 1) / 2 digests can have that
-    out = T.StructType([*docs.schema.fields, T.StructField("__digest", T.BinaryType())])
-    marked = docs.mapInArrow(_with_digest_all, out)
-    lost = hot.select(F.col("__kept").alias("__hot"), F.col("__id").alias("__hot_id"))
-    marked = marked.join(F.broadcast(lost), F.col("__digest") == F.col("__hot"), "left")
-    marked = marked.where(F.col("__hot").isNull() | F.col("doc_id").eqNullSafe(F.col("__hot_id"))).drop("__hot", "__hot_id")
-    kept = kept.drop("group_size")
-    stay = marked.join(kept, marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__digest"] == kept["__kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "__digest"]).select(*columns)
+    verdict = verdict.withColumn("digest", F.unhex("text_sha256"))
+    # copies of frequent texts go by the digest alone, before anything is shuffled; fewer than (k + 1) / 2 digests can be that frequent
+    hot = verdict.where("kept").where(F.col("group_size") > 2 * total / (k + 1)).select("digest", "keep_id")
+    key, hot_key, hot_id = (unused(docs, n) for n in ("folded_digest", "hot_digest", "hot_id"))
+    out = T.StructType([*docs.schema.fields, T.StructField(key, T.BinaryType())])
+    marked = docs.mapInArrow(_with_digest_all(key), out)
+    hot = hot.select(F.col("digest").alias(hot_key), F.col("keep_id").alias(hot_id))
+    marked = marked.join(F.broadcast(hot), F.col(key) == F.col(hot_key), "left")
+    marked = marked.where(F.col(hot_key).isNull() | F.col("doc_id").cast("long").eqNullSafe(F.col(hot_id))).drop(hot_key, hot_id)
+    keys = verdict.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("stays"))
+    lost = written(keys.where("n > 1 or not stays").drop("n"), "lost")
+    return without(marked, lost, F.col(key)).drop(key)

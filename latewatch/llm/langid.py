@@ -24,11 +24,11 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ ROUNDS = 6
 SLICE = 2 << 20
 #: Letters to themselves (A-Z to a-z), bytes of other scripts too, all else to a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Folded bytes and the number of each among them.
 BYTES = sorted(set(FOLD))
 PLACE = np.zeros(256, np.int32)
@@ -230,23 +230,26 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(_predicted(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _kept(model):
+def _kept(model, wanted: list[str] | None, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs = model.value.langs
+        use = [i for i, x in enumerate(langs) if wanted is None or x in wanted]
         for batch in batches:
             for part in slices(batch, limit=SLICE):
                 texts = raw(part.column("text"))
-                if model.value.langs:
-                    keep = [x != "und" for x in predict(model.value, texts)[0]]
+                if langs:
+                    keep = [bool(m) and sum(m[i] for i in use) >= least for m in predict(model.value, texts, True)[2]]
                 else:  # nothing was learnt: what has a letter stays
                     keep = [bool(LETTER.search(t.decode())) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language can be told, with all their columns.
+def keep_identified(docs: DataFrame, wanted: list[str] | None = None, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of whose words the ``wanted`` languages (all that were
+    learnt, if not given) have a share of ``least`` or more by the inferred mixture.
 
-    When nothing was learnt, all rows whose text has a letter.
+    A null text, or one without a letter, goes.  When nothing was learnt, all rows whose text has a letter stay.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out()).select(F.col("text"), F.col("lang"))))
-    return docs.mapInArrow(_kept(model), docs.schema)
+    return docs.mapInArrow(_kept(model, wanted, least), docs.schema)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, raw, slices, written
+from .common import digest, raw, slices, without, written
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints of a group that one task compares at once.
@@ -287,11 +287,4 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))
     found = rows.join(_components_of(rows, place, distance), "fp")
     keys = found.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.min(place == F.col("component_id")).alias("stays"))
-    keys = written(keys.where("n > 1 or not stays").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"), "stays"), "lost")
-    marked = docs.withColumn("__digest", digest())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__key"))
-    once = marked.join(keys.select("__id", "__key"), same, "left_anti")
-    again = written(keys.where("stays").select("__id", "__key"), "repeated")
-    if not again.isEmpty():
-        once = once.unionByName(marked.join(again, same, "left_semi").dropDuplicates(["doc_id", "__digest"]))
-    return once.drop("__digest")
+    return without(docs, written(keys.where("n > 1 or not stays").drop("n"), "lost"))

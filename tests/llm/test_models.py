@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from latewatch.llm import langid, quality, toxicity
 from .support import ODD_TEXTS, documents, rows
 
@@ -113,6 +115,27 @@ def test_a_table_without_languages_keeps_what_has_a_letter(spark):
     assert sorted(r.doc_id for r in langid.keep_identified(docs).collect()) == [0, 1]
 
 
+def test_only_letters_make_a_language(spark, tables):
+    found, score, _ = langid.predict(langid.fit(tables[0]), [t.encode() for t in ("½", "²³", "①②", "Ⅷ", "_", "٣", "ª", "字")])
+    assert [x == "und" for x in found] == [True] * 6 + [False] * 2 and score[:6] == [0] * 6
+
+
+def test_documents_in_unwanted_languages_go(spark, tables):
+    """The share of the wanted languages decides, against the mixture itself."""
+    rows_ = tables[0].where("lang in ('en', 'de')").select("text", "lang").limit(60).collect()
+    text = {x: " ".join(r.text for r in rows_ if r.lang == x and r.text).split() for x in ("en", "de")}
+    mixed = [" ".join(text["en"][:n] + text["de"][:200 - n]) for n in (200, 150, 50, 0)]
+    given = spark.createDataFrame([(i, t, None) for i, t in enumerate([*mixed, "12", None])], "doc_id long, text string, lang string")
+    docs = given.unionByName(tables[0].select("doc_id", "text", "lang").withColumn("doc_id", F.col("doc_id") + 1000))
+    model = langid.fit(docs.where(~langid.held_out()))
+    share = [sum(s for x, s in zip(model.langs, m, strict=True) if x == "en") for m in langid.predict(model, [t.encode() for t in mixed], True)[2]]
+    for least in (0.1, 0.5, 0.9):
+        kept = {r.doc_id for r in langid.keep_identified(docs, ["en"], least).where("doc_id < 1000").collect()}
+        assert kept == {i for i, s in enumerate(share) if s >= least}
+    assert {r.doc_id for r in langid.keep_identified(docs).where("doc_id < 1000").collect()} == {0, 1, 2, 3}
+    assert share[0] > 0.9 and share[3] < 0.1
+
+
 def test_language_of_odd_rows(spark, tables):
     model = langid.fit(tables[0])
     docs = documents(spark, [*ODD_TEXTS, "123 !!", "ª"])

@@ -82,7 +82,28 @@ def test_dropping_stages_tell_rows_with_null_and_repeated_ids_apart(spark):
     assert found(decontam.clean(docs, bench)) == sorted(want, key=str)
 
 
+def test_dropping_stages_take_columns_of_any_name(spark):
+    """Names that the stages use themselves, in any case; every column comes back as it was."""
+    names = ["digest", "Digest_Key", "lost_id", "lost_digest", "folded_digest", "hot_digest", "HOT_ID", "kept", "stays", "group_size", "uid", "fp", "__digest", "__id"]
+    texts = ["a b c d e f g", "A b c d e f g", "q r s t u v w x y z", None, ""] + ["hot hot"] * 30
+    docs = spark.createDataFrame([(i, t, "en", *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names)).repartition(3)
+    rest = {r.doc_id: r for r in docs.collect()}
+    want = {"exact_dedup": [1, 2, 4, 34], "near_dedup": [0, 2, 3, 5], "decontamination": list(range(35)), "language_id": [i for i in range(35) if i not in (3, 4)]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and ids(out) == want[name], name
+        assert all(r == rest[r.doc_id] for r in out.collect())
+
+
+def test_exact_dedup_moves_texts_once(spark):
+    """Repeated rows, repeated and null ids: one row a text stays, that of the largest id."""
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "b"), (None, "c"), (None, "C"), (5, None), (5, "")], "doc_id long, text string")
+    out = corpus_pipeline.exact_dedup(spark, docs, SF)
+    assert sorted(((r.doc_id, (r.text or "").lower()) for r in out.collect()), key=str) == sorted([(1, "a"), (1, "b"), (None, "c"), (5, "")], key=str)
+
+
 def test_one_query_an_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "decontamination", "bpe_codec"]

@@ -10,7 +10,7 @@ from .conftest import SF
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     found = con.execute(queries.SQL[name])
