@@ -13,9 +13,13 @@ from latewatch.llm import bpe, decontam, exactdedup, langid, simhash
 from latewatch.llm.common import table, written
 
 
+#: Languages to train on, and their least share in a document's words.
+WANTED, LEAST = ["de", "en", "es", "fr"], 0.5
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (null texts, texts without a letter) go."""
-    return langid.keep_identified(docs)
+    """Documents stay whose words are for the most part in a wanted language, by the inferred mixture; null texts and texts without a letter go."""
+    return langid.keep_identified(docs, WANTED, LEAST)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
