@@ -2,7 +2,8 @@
 
 The last token of a word's encoding is fixed by the word's prefixes: of all tokens
 that end a prefix, exactly one goes with the last token of what stands before it.
-So each batch's distinct new words go into one trie of bytes; a depth-first walk
+So each batch's distinct new words go into one trie of bytes (kept as the sorted words
+and what each shares with the one before); a depth-first walk
 gives every node the last token of its prefix and the node where that token
 begins.  What words share at their start is worked out once, and a word's
 encoding is read off by following the last tokens back to the root.
@@ -39,9 +40,9 @@ from .common import slices
 
 NEVER = 1 << 60
 #: Token pairs that a worker remembers.
-PAIRS = 100_000
+PAIRS = 400_000
 #: Words of one trie.
-RUN = 8192
+RUN = 65_536
 #: Text bytes encoded at once.
 SLICE = 2 << 20
 #: Pieces and chunks that a worker remembers.
@@ -64,7 +65,8 @@ class Vocabulary:
             self.text[i] = b
         for s, i in self.special.items():
             self.text[i] = s.encode()
-        self.decimal = [b",%d" % i for i in range(top + 1)]
+        self.decimal = self._flat([b",%d" % i for i in range(top + 1)])
+        self.letters = self._flat(self.text)
         self.merges: dict[int, int] = {}
         parts: dict[int, tuple[int, int, int]] = {}
         for rank, pair in enumerate(data["model"]["merges"]):
@@ -102,12 +104,21 @@ class Vocabulary:
             ends[s] = (((word[s], depth[s]),) if word[s] >= 0 else ()) + ends[fall[s]]
         self._step, self._fall, self.ends = step, fall, ends
 
-    def step(self, state: int, b: int) -> int:
-        found = self._step.get(state << 8 | b)
-        while found is None and state:
-            state = self._fall[state]
-            found = self._step.get(state << 8 | b)
-        return found or 0
+    @staticmethod
+    def _flat(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All strings' bytes, where each begins and how long it is."""
+        length = np.fromiter(map(len, strings), np.int64, len(strings))
+        return np.frombuffer(b"".join(strings), np.uint8), np.cumsum(length) - length, length
+
+    @staticmethod
+    def joined(flat: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, at: np.ndarray) -> tuple[bytes, list[int]]:
+        """The strings of all ids one after another, and where those from each of ``at`` on begin."""
+        data, start, length = flat
+        n = length[ids]
+        ends = np.cumsum(n)
+        place = np.repeat(start[ids] - (ends - n), n)
+        place += np.arange(len(place))
+        return data[place].tobytes(), np.concatenate([[0], ends])[at].tolist()
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """(part, rank of the merge that takes it) along one edge of a token, from the token down."""
@@ -142,49 +153,54 @@ class TrieEncoder:
         In runs of sorted words, so that a trie stays small and shares most.
         """
         out: list[bytes] = [b""] * len(words)
-        order = sorted(range(len(words)), key=words.__getitem__)
+        spelt = [w.encode() for w in words]
+        order = sorted(range(len(words)), key=spelt.__getitem__)
         for at in range(0, len(order), RUN):
-            self._walk(words, order[at:at + RUN], out)
+            self._walk(spelt, order[at:at + RUN], out)
         return out
 
-    def _walk(self, words: list[str], numbers: list[int], out: list[bytes]) -> None:
-        root: dict = {}
+    def _walk(self, words: list[bytes], numbers: list[int], out: list[bytes]) -> None:
+        """Depth first over the trie of the words ``numbers`` names in order.
+
+        Sorted words and the length of the prefix that each shares with the one before are the trie: a walk
+        goes back to that prefix and down the rest.  The lists hold the path, a place for each prefix.
+        """
+        known, steps, fall, ends, together = self._known, self.v._step, self.v._fall, self.v.ends, self.v.go_together
+        last, size, states = [0], [0], [0]  # of the path's prefixes: their last tokens, how long those are, the automaton's states
+        before = b""
         for number in numbers:
-            node = root
-            for b in words[number].encode():
-                nxt = node.get(b)
-                if nxt is None:
-                    nxt = node[b] = {}
-                node = nxt
-            node[-1] = number
-        v, known = self.v, self._known
-        step, ends, together = v.step, v.ends, v.go_together
-        last, size = [0], [0]  # of the path's prefixes: their last tokens, and how long those are
-        stack = [(1, b, child, 0) for b, child in root.items() if b != -1]
-        while stack:
-            n, b, node, state = stack.pop()
-            del last[n:], size[n:]
-            state = step(state, b)
-            for token, length in ends[state]:
-                if length == n:
-                    break
-                pair = last[n - length] << 32 | token
-                fits = known.get(pair)
-                if fits is None:
-                    fits = together(last[n - length], token)
-                    if len(known) < PAIRS:
-                        known[pair] = fits
-                if fits:
+            word = words[number]
+            shared = 0
+            for x, y in zip(before, word):
+                if x != y:
                     break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-            last.append(token)
-            size.append(length)
-            for b, child in node.items():
-                if b == -1:
-                    out[child] = self._read(last, size)
+                shared += 1
+            del last[shared + 1:], size[shared + 1:], states[shared + 1:]
+            state = states[shared]
+            for n, b in enumerate(word[shared:], shared + 1):
+                found = steps.get(state << 8 | b)
+                while found is None and state:
+                    state = fall[state]
+                    found = steps.get(state << 8 | b)
+                state = found or 0
+                for token, length in ends[state]:
+                    if length == n:
+                        break
+                    pair = last[n - length] << 32 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = together(last[n - length], token)
+                        if len(known) < PAIRS:
+                            known[pair] = fits
+                    if fits:
+                        break
                 else:
-                    stack.append((n + 1, b, child, state))
+                    raise ValueError("the vocabulary lacks a byte")
+                last.append(token)
+                size.append(length)
+                states.append(state)
+            out[number] = self._read(last, size)
+            before = word
 
     def _read(self, last: list[int], size: list[int]) -> bytes:
         ids, n, packed = [], len(last) - 1, self.v.packed
@@ -241,27 +257,17 @@ def _coded(path: str, texts: bool):
         own = codec(path)
         for batch in batches:
             for part in slices(batch, limit=SLICE):
-                table, place, of = own.encode.cut(part.column("text"))
-                at = np.searchsorted(of, np.arange(part.num_rows + 1)).tolist()
-                # what each distinct chunk gives is worked out once
-                chunks = [np.frombuffer(x, np.uint32).tolist() for x in table]
-                decimal, letters = own.v.decimal, own.v.text
-                spoken = [b"".join([decimal[i] for i in c]) for c in chunks]
-                spelt = [b"".join([letters[i] for i in c]) for c in chunks]
-                place = place.tolist()
-                n, said, back, full = [], [], [], []
-                for a, b in zip(at, at[1:]):
-                    mine = place[a:b]
-                    n.append(sum([len(chunks[p]) for p in mine]))
-                    said.append(hashlib.sha256(b"".join([spoken[p] for p in mine])[1:]).hexdigest())
-                    text = readable(b"".join([spelt[p] for p in mine]))
-                    back.append(hashlib.sha256(text).hexdigest())
-                    if texts:
-                        full.append(([i for p in mine for i in chunks[p]], text.decode()))
+                ids, at = own.encode(part.column("text"))
+                spoken, said_at = own.v.joined(own.v.decimal, ids, at)
+                spelt, back_at = own.v.joined(own.v.letters, ids, at)
+                said = [hashlib.sha256(spoken[a + 1:b]).hexdigest() for a, b in zip(said_at, said_at[1:])]
+                decoded = [readable(spelt[a:b]) for a, b in zip(back_at, back_at[1:])]
+                back = [hashlib.sha256(t).hexdigest() for t in decoded]
+                n = np.diff(at)
                 columns = [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(said, pa.string()), pa.array(back, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if texts:
-                    columns += [pa.array([x for x, _ in full], pa.list_(pa.int32())), pa.array([x for _, x in full], pa.string())]
+                    columns += [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))), pa.array([t.decode() for t in decoded], pa.string())]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
     return run
