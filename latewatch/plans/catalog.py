@@ -2,8 +2,7 @@
 
 Each Spark query is a callable ``(spark, sf_dir) -> DataFrame`` over the
 driver's tables (through the fixture adapters of :mod:`.fixtures`); the
-oracle is the same computation as SQL text over the same parquet tables, or
-``None`` where only row counts can be compared (fitted model output).
+oracle is the same computation as SQL text over the same parquet tables.
 """
 
 from __future__ import annotations
