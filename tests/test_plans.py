@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 
 FITTED = {"ml_encode", "fit_optimum"}   # explain would fit a model
 #: Jobs that write and stream before there is a plan, which is then a scan; tests/test_catalog.py runs them.
-THROUGH_FILES = {"capture_scan", "capture_scan_tolerant", "stream_ingest", "stream_latest", "medallion_refresh"}
+THROUGH_FILES = {"capture_scan", "capture_scan_tolerant", "stream_ingest", "stream_latest", "medallion_refresh", "gold_update", "stream_refresh"}
 
 
 def plan(df, mode="formatted") -> str:
