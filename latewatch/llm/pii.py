@@ -12,18 +12,23 @@ and then the search goes on behind the failed match's first character.
 
 A value becomes its place in the numbered set of valid values of its format; a
 keyed Feistel network permutes the places (cycle-walking keeps it in the set), and
-the new place is written back in the same format: same separators, same length,
-valid check digits, real dates.  Being a permutation, it never merges two values;
-being keyed by format only, equal values get equal pseudonyms in all documents
-(separators aside; a date by slash that can only be read day first gets one that
-can only be read so too), and whoever has the key can reverse it (``back``).  The one
-exception: a pseudonym that would make a rejected reading valid (a digit group before a
-card, say) is permuted again until it does not, or it could not be reversed.
+the new place is written back in the same format: same separators, valid check
+digits, real dates, and but for IPv4 addresses the same length.  Being a permutation, it
+never merges two values; being keyed by format only, equal values get equal pseudonyms in
+all documents, whatever stands beside them and however they are spelt (separators aside;
+dates whose day is above 12 are permuted among themselves in every spelling, so one by
+slash that can only be read day first stays such).
+
+Whoever has the key can reverse it (``back``).  A pseudonym may make a rejected reading
+valid (a digit group before a card, say), so a text alone does not tell which reading was
+taken: ``spans`` tells it, kind, begin and length in characters of each pseudonym in the
+new text, and the way back needs that column.
 
 The key is a parameter; without it the pseudonyms can be neither made nor undone.
 
 Null texts stay null, empty ones empty.  Repeated rows get the same pseudonyms.
-Columns beyond doc_id and text are not read.  An empty table gives an empty result.
+Columns beyond doc_id, text and (on the way back) spans are not read; null spans are none.
+Texts of any length are handled whole.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,8 +36,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
-from datetime import date, timedelta
+from datetime import date
 from functools import lru_cache
 
 import pyarrow as pa
@@ -42,7 +49,8 @@ from pyspark.sql import functions as F
 from .common import slices
 
 ROUNDS = 10
-DAY0, DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
+#: Days that are permuted, as ordinals; those above the twelfth of a month, which cannot be read as months, apart from the others.
+EARLY, LATE = ([d for d in range(date(1900, 1, 1).toordinal(), date(2100, 1, 1).toordinal()) if (date.fromordinal(d).day > 12) == late] for late in (False, True))
 #: Lengths of IBANs by country.
 IBAN_LENGTHS = {c: int(n) for n, cs in {
     "15": "NO", "16": "BE", "18": "DK FI FK FO GL NL SD", "19": "MK SI", "20": "AT BA EE KZ LT LU MN XK", "21": "CH HR LI LV",
@@ -192,7 +200,10 @@ class Pseudonyms:
             found = date(int(year), int(month), int(day))
         except ValueError:
             return None
-        return DAY0 + timedelta(self._one("date", DAYS, (found - DAY0).days)) if 0 <= (found - DAY0).days < DAYS else None
+        kind, days = ("late", LATE) if found.day > 12 else ("early", EARLY)
+        if not days[0] <= found.toordinal() <= days[-1]:
+            return None
+        return date.fromordinal(days[self._one(f"date {kind}", len(days), bisect_left(days, found.toordinal()))])
 
     def date(self, text: str) -> str | None:
         a, sep, b, _, c = re.fullmatch(r"(\d+)(\D)(\d+)(\D)(\d+)", text).groups()
@@ -204,12 +215,8 @@ class Pseudonyms:
         new = self._day(c, a, b) if first else self._day(c, b, a)
         if not new:
             return None
-        if first or sep == "." or new.day > 12:
-            x, y = (new.month, new.day) if first else (new.day, new.month)
-            return f"{x:02d}{sep}{y:02d}{sep}{new.year:04d}"
-        while new and new.day <= 12:  # must read back as day first: walk on
-            new = self._day(str(new.year), str(new.month), str(new.day))
-        return f"{new.day:02d}{sep}{new.month:02d}{sep}{new.year:04d}"
+        x, y = (new.month, new.day) if first else (new.day, new.month)
+        return f"{x:02d}{sep}{y:02d}{sep}{new.year:04d}"
 
     def email(self, text: str) -> str | None:
         local, _, host = text.rpartition("@")
@@ -253,78 +260,80 @@ class Pseudonyms:
                 if text[e - 1].isalnum() and not text[e].isalnum() and (m := pattern.match(text, a, e)) and m.end() == e:
                     yield e
 
-    def _first(self, kind: str, pattern: re.Pattern, text: str, a: int, b: int, taken: bytearray, failed: list[tuple[int, str]]) -> tuple[int, str] | None:
-        """End and pseudonym of the value that begins at ``a``; adds to ``failed`` the readings (begin, text) that are not valid."""
+    def _first(self, kind: str, pattern: re.Pattern, text: str, a: int, b: int, taken: bytearray) -> tuple[int, str] | None:
+        """End and pseudonym of the value that begins at ``a``."""
         for e in self._ends(kind, pattern, text, a, b):
-            if taken.find(1, a, e) >= 0:
-                continue
-            new = getattr(self, kind)(text[a:e])
-            if new is None:
-                failed.append((a, text[a:e]))
-                continue
-            while True:  # rejected readings must stay so
-                now = [(at, self._with(at, old, a, new)) for at, old in failed]
-                if all(getattr(self, kind)(x) is None for (_, x), (_, old) in zip(now, failed, strict=True) if x != old):
-                    break
-                new = getattr(self, kind)(new)
-            failed[:] = now
-            return e, new
+            if taken.find(1, a, e) < 0 and (new := getattr(self, kind)(text[a:e])) is not None:
+                return e, new
         return None
 
-    @staticmethod
-    def _with(at: int, old: str, a: int, new: str) -> str:
-        """``old``, which begins at ``at``, with what ``new`` at ``a`` has in the same places."""
-        lo, hi = max(at, a), min(at + len(old), a + len(new))
-        return old if lo >= hi else old[:lo - at] + new[lo - a:hi - a] + old[hi - at:]
-
-    def replace(self, text: str) -> tuple[str, dict[str, int]]:
-        """The text with pseudonyms, and how many of each kind."""
-        found: dict[str, int] = {}
-        spans: list[tuple[int, int, str]] = []
+    def found(self, text: str) -> list[tuple[str, int, int, str]]:
+        """Kind, begin, end and pseudonym of each value, by begin."""
+        out: list[tuple[str, int, int, str]] = []
         taken = bytearray()
         if not _DIGIT.search(text) and "@" not in text:
-            return text, found
+            return out
         for kind, pattern, needs in self.KINDS:
             if needs and needs not in text:
                 continue
-            at, failed = 0, []
+            at = 0
             while m := pattern.search(text, at):
                 a, b = m.span()
                 taken = taken or bytearray(len(text))
-                failed = [(x, old) for x, old in failed if x + len(old) > a]
-                got = self._first(kind, pattern, text, a, b, taken, failed)
+                got = self._first(kind, pattern, text, a, b, taken)
                 at = got[0] if got else a + 1
                 if got:
                     taken[a:at] = b"\x01" * (at - a)
-                    spans.append((a, at, got[1]))
-                    found[kind] = found.get(kind, 0) + 1
-        out, at = [], 0
-        for a, b, new in sorted(spans):
+                    out.append((kind, a, at, got[1]))
+        return sorted(out, key=lambda x: x[1])
+
+    def replaced(self, text: str, spans: list[tuple[str, int, int]] | None = None) -> tuple[str, list[tuple[str, int, int]]]:
+        """The text with pseudonyms, and kind, begin and length of each in it; where ``spans`` are given, of the values there."""
+        values = self.found(text) if spans is None else [(kind, a, a + n, None) for kind, a, n in spans]
+        out, at, size, now = [], 0, 0, []
+        for kind, a, b, new in values:
+            if not at <= a < b <= len(text) or (new := new or getattr(self, kind)(text[a:b])) is None:
+                raise ValueError(f"no {kind} at {a} to {b}: the text is not the one its spans belong to")
             out += [text[at:a], new]
-            at = b
-        return "".join(out) + text[at:], found
+            now.append((kind, size + a - at, len(new)))
+            size, at = size + a - at + len(new), b
+        return "".join(out) + text[at:], now
+
+    def replace(self, text: str) -> tuple[str, dict[str, int]]:
+        """The text with pseudonyms, and how many of each kind."""
+        new, spans = self.replaced(text)
+        return new, dict(Counter(kind for kind, _, _ in spans))
 
 
 _DIGIT = re.compile(r"\d")
 
 
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("length", pa.int32())]))
+
+
 def _replaced(key: bytes, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pseudonyms(key, back)
         kinds = list(dict.fromkeys(k for k, _, _ in Pseudonyms.KINDS))
         for batch in batches:
             for part in slices(batch):
-                texts, counts = [], []
-                for text in part.column("text").to_pylist():
-                    new, found = (None, {}) if text is None else own.replace(text)
+                texts, spans, counts = [], [], []
+                given = part.column("spans").to_pylist() if back else [None] * part.num_rows
+                for text, old in zip(part.column("text").to_pylist(), given, strict=True):
+                    places = [(x["kind"], x["begin"], x["length"]) for x in old or ()] if back else None
+                    new, now = (None, []) if text is None else own.replaced(text, places)
                     texts.append(new)
-                    counts.append([found.get(k, 0) for k in kinds])
-                columns = [part.column("doc_id"), pa.array(texts, pa.string()), pa.array([sum(c) for c in counts], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array([c[i] for c in counts], pa.int64()) for i in range(len(kinds))], names=["doc_id", "text", "n_replaced", *[f"n_{k}" for k in kinds]])
+                    spans.append([{"kind": k, "begin": a, "length": n} for k, a, n in now])
+                    found = Counter(k for k, _, _ in now)
+                    counts.append([found[k] for k in kinds])
+                columns = [part.column("doc_id"), pa.array(texts, pa.string()), pa.array(spans, _SPANS), pa.array([sum(c) for c in counts], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array([c[i] for c in counts], pa.int64()) for i in range(len(kinds))], names=["doc_id", "text", "spans", "n_replaced", *[f"n_{k}" for k in kinds]])
     return run
 
 
 def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
-    """doc_id, text with pseudonyms, n_replaced and the number of each kind; with ``back`` undone."""
+    """doc_id, text with pseudonyms, spans, n_replaced and the number of each kind; with ``back`` undone at the ``spans`` of docs."""
     kinds = "".join(f", n_{k} long" for k in dict.fromkeys(k for k, _, _ in Pseudonyms.KINDS))
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_replaced(key, back), "doc_id long, text string, n_replaced long" + kinds)
+    spans = "array<struct<kind:string,begin:int,length:int>>"
+    wanted = [F.col("doc_id").cast("long"), F.col("text").cast("string"), *([F.col("spans").cast(spans)] if back else [])]
+    return docs.select(*wanted).mapInArrow(_replaced(key, back), f"doc_id long, text string, spans {spans}, n_replaced long" + kinds)

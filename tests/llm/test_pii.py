@@ -1,5 +1,5 @@
 import re
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
@@ -78,10 +78,38 @@ def test_values_beside_words_and_digits(text, value):
     for key in range(40):  # some pseudonyms would make the longer reading valid
         new, found = pii.Pseudonyms(b"%d" % key).replace(text)
         before, after = text.split(value)
+        alone, spans = pii.Pseudonyms(b"%d" % key).replaced(text)
         assert new.startswith(before) and sum(found.values()) == 1 + ("2024-01-02" in text)
         assert new != text and new[len(before):len(before) + len(value)] != value
         assert "2024-01-02" in text or new.endswith(after)
-        assert pii.Pseudonyms(b"%d" % key, back=True).replace(new) == (text, found)
+        assert alone == new and new[len(before):len(before) + len(value)] == pii.Pseudonyms(b"%d" % key).replace(value)[0]
+        assert pii.Pseudonyms(b"%d" % key, back=True).replaced(new, spans)[0] == text
+
+
+def test_neighbours_do_not_change_a_pseudonym():
+    for key in range(1000):
+        own, back = pii.Pseudonyms(b"%d" % key), pii.Pseudonyms(b"%d" % key, back=True)
+        alone = own.replace(CARD)[0]
+        new, spans = own.replaced(f"2024 {CARD} 17")
+        assert new == f"2024 {alone} 17" and back.replaced(new, spans)[0] == f"2024 {CARD} 17"
+
+
+def test_every_spelling_of_a_date_gets_the_same_day():
+    own, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, back=True)
+    seen = set()
+    for n in range(0, 73_049, 61):
+        d = date.fromordinal(date(1900, 1, 1).toordinal() + n)
+        forms = ["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y"] + ["%d/%m/%Y"] * (d.day > 12)
+        new = [own.date(d.strftime(f)) for f in forms]
+        read = {datetime.strptime(x, f).date() for x, f in zip(new, forms, strict=True)}
+        assert len(read) == 1 and [back.date(x) for x in new] == [d.strftime(f) for f in forms]
+        assert (min(read).day > 12) == (d.day > 12)
+        seen |= read
+    assert len(seen) == len(range(0, 73_049, 61))
+    with pytest.raises(ValueError):
+        back.replaced("no date here", [("date", 0, 40)])
+    with pytest.raises(ValueError):
+        back.replaced("no 2023-02-30", [("date", 3, 10)])
 
 
 def test_odd_rows_and_links_across_documents(spark):
@@ -93,6 +121,6 @@ def test_odd_rows_and_links_across_documents(spark):
     assert got[n - 4]["n_ipv4"] == 5000 and len(set(got[n - 4]["text"].split())) == 1
     assert re.sub(r"\D", "", got[n - 2]["text"]) == re.sub(r"\D", "", got[n - 3]["text"])[1:]
     assert got[1]["text"] == texts[-1]
-    back = {r["doc_id"]: r["text"] for r in rows(pii.pseudonymise(spark.createDataFrame([(k, r["text"]) for k, r in got.items()], "doc_id long, text string"), KEY, back=True))}
+    back = {r["doc_id"]: r["text"] for r in rows(pii.pseudonymise(spark.createDataFrame([(k, r["text"], r["spans"]) for k, r in got.items()], "doc_id long, text string, spans array<struct<kind:string,begin:int,length:int>>"), KEY, back=True))}
     assert back == {n - i: t for i, t in enumerate(texts)}
     assert pii.pseudonymise(docs.where("false"), KEY).count() == 0
