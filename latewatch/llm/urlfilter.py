@@ -10,13 +10,16 @@ collision cannot decide.  The longest fitting rule wins (of equal lengths the on
 with the longer host); a url on no rule is allowed, as the list names what to
 block.
 
-Rules beyond ``max_bytes`` are not shipped: candidates are then joined with the
-rules by a shuffle on key and string, with the same result.
+Rules beyond ``max_bytes`` are not shipped: the distinct candidates of all urls are
+then joined with the rules by a shuffle on their bytes, the hits go back to the urls,
+and the same choice is made.  A candidate that many urls share (``com/``, say) is one
+row in the first join; in the second its urls are spread over ``SALT`` tasks.
 
 A null url, or one without ``://``, has empty host and path, which fit no rule.
 An empty table gives an empty result, an empty rule list allows all; of repeated
-rules the blocking one holds.  Null rules and columns beyond the named ones are
-not read.
+rules the blocking one holds.  A rule's path is empty or begins with ``/`` and its host
+has no ``/``; a rule that is otherwise, or null, fits no url.  Urls of any length are
+handled whole.  Repeated rows are judged each; columns beyond the named ones are not read.
 """
 
 from __future__ import annotations
@@ -33,9 +36,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices
+from .common import raw, slices, written
 
 MAX_BYTES = 256 << 20
+#: Parts that the urls of one candidate are spread over when the rules are joined.
+SALT = 16
 _UPPER = bytes(range(65, 91))
 _OPEN: dict[str, "DigestArray"] = {}
 
@@ -135,12 +140,14 @@ def judge(pages: DataFrame, rules: DataFrame, max_bytes: int = MAX_BYTES) -> Dat
     ``rules``: host, path, verdict (allow or block).
     """
     spark = pages.sparkSession
-    rules = rules.where("host is not null and path is not null").select(F.concat("host", "path").alias("rule"), (F.col("verdict") == "block").alias("block")).distinct()
+    proper = ~F.col("host").contains("/") & ((F.col("path") == "") | F.col("path").startswith("/"))
+    rules = rules.where("host is not null and path is not null").where(proper).select(
+        F.concat("host", "path").cast("binary").alias("rule"), F.octet_length("path").alias("n"), (F.col("verdict") == "block").alias("block")).distinct()
     wanted = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"))
     size = rules.agg(F.coalesce(F.sum(F.octet_length("rule") + 32), F.lit(0))).first()[0]
     if size > max_bytes:
         return _joined(wanted, rules)
-    packed = DigestArray.pack([(r.rule.encode(), r.block) for r in rules.collect()])  # at most max_bytes, checked
+    packed = DigestArray.pack([(bytes(r.rule), bool(r.block)) for r in rules.collect()])  # at most max_bytes, checked
     folder = tempfile.mkdtemp(prefix="rules-")  # the driver's own; Spark ships the file
     name = f"rules-{uuid.uuid4().hex}"
     with open(os.path.join(folder, name), "wb") as f:
@@ -154,20 +161,23 @@ def _tried(lengths: list[int]):
         for batch in batches:
             for part in slices(batch, "url"):
                 urls = [split_url(u) for u in raw(part.column("url"))]
-                tried = [[c.decode(errors="ignore") for c in candidates(h, p, lengths)] for h, p in urls]
                 text = lambda xs: pa.array(xs, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), text([h for h, _ in urls]), text([p for _, p in urls]), pa.array(tried, pa.list_(pa.string()))],
-                                                 names=["page_id", "host", "path", "tried"])
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), text([h for h, _ in urls]), text([p for _, p in urls]),
+                                                  pa.array([candidates(h, p, lengths) for h, p in urls], pa.list_(pa.binary()))], names=["page_id", "host", "path", "tried"])
     return run
 
 
 def _joined(wanted: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same for a rule list too large to ship: shuffle join of candidates and rules."""
-    lengths = [r[0] for r in rules.select(F.greatest(F.octet_length("rule") - F.instr("rule", "/") + 1, F.lit(0)).alias("n")).distinct().orderBy("n").collect()]
-    tried = wanted.mapInArrow(_tried(lengths), "page_id long, host string, path string, tried array<string>").withColumn("row", F.monotonically_increasing_id())
-    rules = rules.groupBy("rule").agg(F.max("block").alias("block"))
-    pairs = tried.select("row", F.posexplode("tried").alias("place", "rule")).join(rules, "rule")
-    best = pairs.groupBy("row").agg(F.min(F.struct("place", "rule", "block")).alias("best"))
-    return tried.join(best, "row", "left").select(
-        "page_id", "host", "path", F.col("best.rule").alias("rule"),
+    """The same for a rule list too large to ship: shuffle joins of candidates and rules, by bytes."""
+    lengths = [r[0] for r in rules.select("n").distinct().orderBy("n").collect()]  # as many as rule paths have lengths
+    tried = wanted.mapInArrow(_tried(lengths), "page_id long, host string, path string, tried array<binary>")
+    tried = written(tried.withColumn("row", F.monotonically_increasing_id()), "url-candidates")  # the numbers are read back, not made again
+    block = rules.groupBy("rule").agg(F.max(F.coalesce("block", F.lit(False))).alias("block"))
+    pairs = tried.select("row", F.posexplode("tried").alias("place", "rule"))
+    hits = written(pairs.select("rule").distinct().join(block.hint("merge"), "rule"), "url-hits")
+    salted = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
+    best = pairs.join(salted.hint("merge"), ["rule", "salt"]).groupBy("row").agg(F.min_by(F.struct("rule", "block"), "place").alias("best"))
+    return tried.join(best.hint("merge"), "row", "left").select(
+        "page_id", "host", "path", F.col("best.rule").cast("string").alias("rule"),
         F.when(F.col("best.block"), "block").otherwise("allow").alias("verdict"))

@@ -8,12 +8,12 @@ URLS = [None, "", "no scheme", "http://", "https://Example.COM/en/x?y", "https:/
         "http://other.org/a", "http://com/", "http://example.com", "http://notexample.com/en/1", "ftp://é.net/es/é?q", "http://u:p@example.com:80/en/", "http://a.example.com?x://b/en/"]
 
 
-def brute(url):
+def brute(url, rules=URL_RULES):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
     path = rest[cut:].split("?")[0].split("#")[0]
-    fit = [(len(h + p), len(h), h + p, v) for h, p, v in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fit = [(len((h + p).encode()), len(h.encode()), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return host, path, max(fit)[2] if fit else None, max(fit)[3] if fit else "allow"
 
 
@@ -34,3 +34,26 @@ def test_equal_keys_are_confirmed_on_the_string():
     forced = np.full(2, array.keys[1], np.uint64)  # another string under a stored key is not a hit
     assert array.probe([b"zzz", array.rule(1)], forced).tolist() == [-1, 1]
     assert len(array.keys) == 3
+
+
+def test_both_ways_agree_on_odd_rules_and_random_urls(spark):
+    rng = np.random.default_rng(3)
+    hosts = ["münchen.de", "de", "bad.com", "com", "日本.jp", "a.b.com", "ünï.com", "", "."]
+    paths = ["", "/", "/x", "/x/y", "/é", "/é/ü", "/日本", "/日"]
+    odd = [("münchen.de", "/x", "block"), ("bad.com", "", "block"), ("com", "x", "block"), ("co/m", "/x", "block"), ("b.com", "/é", "allow"),
+           ("de", "", "allow"), ("日本.jp", "/日本", "block"), ("jp", "/日", "allow"), ("münchen.de", "/x", "allow"), ("ünï.com", "/é/ü", None), (None, "/", "block"), ("com", None, "block")]
+    more = [(hosts[h], paths[p], ["allow", "block"][v]) for h, p, v in zip(rng.integers(0, 7, 12), rng.integers(0, len(paths), 12), rng.integers(0, 2, 12))]
+    fixed = ["https://münchen.de/x", "https://bad.com/z", "https://www.bad.com", "http://日本.jp/日本/語", "http://a.日本.jp/日曜", "http://x.de", None]
+    urls = [f"s://{rng.choice(['', 'w.', 'é.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '/q', 'é', '?a/b', '#c'])}" for _ in range(400)] + fixed * 3
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for listed in (odd, odd + more):
+        verdicts = {}  # of repeated rules the blocking one holds
+        for h, p, v in listed:
+            if h is not None and p is not None and "/" not in h and (p == "" or p[0] == "/"):
+                verdicts[h, p] = "block" if v == "block" else verdicts.get((h, p), "allow")
+        want = {i: brute(u, [(h, p, v) for (h, p), v in verdicts.items()]) for i, u in enumerate(urls)}
+        given = spark.createDataFrame(listed, "host string, path string, verdict string")
+        for limit in (1 << 20, 1):
+            got = rows(urlfilter.judge(pages, given, limit))
+            assert len(got) == len(urls) and {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got} == want
+    assert {want[urls.index(u)][3] for u in fixed[:3]} == {"block"}
