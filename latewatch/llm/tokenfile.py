@@ -225,7 +225,7 @@ def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     (part, seq) is the order of the shards.
     """
     path = path or vocabulary()
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
     shards = ordered.mapInArrow(_shards(path, end_id, shard_tokens), "part int, seq int, n_docs long, n_tokens long, payload binary")
     return written(shards, "wavelet", "none")
 
