@@ -1,25 +1,32 @@
 """Quality by nearest-neighbour voting over latent-semantic vectors.
 
-A text's terms are hashed words, hashed word shapes (letters by case, digits,
-other marks) and repeats of the word before; weights are log term frequency times
-inverse document frequency over all documents.  The leading singular vectors of a
-bounded sample of labelled training rows (``LABELLED`` of them at most: those whose
-ids hash lowest) span the latent space.  The sample's vectors and labels are
-broadcast (their size is LABELLED times RANK); every document's cosine with every
-one of them is computed exactly in blocks, and the ``NEIGHBOURS`` nearest vote with
-the weight of their similarity (of equal similarities the earlier in hash order).
+A text's terms are its words (A-Z lower-cased), their shapes (letters by case, digits,
+other marks; runs as one), how often a word repeats the one before, and how many there
+are; weights are log term frequency times inverse document frequency over all documents.
+The labelled training rows whose ids hash lowest (``LABELLED`` at most) are the sample.
+The words and shapes found in most of its texts, ``TERMS`` of them at most and each in two
+or more, get a column each; they are known by their 64-bit XXH64, and a term without a
+column counts for nothing.  The leading singular vectors of the sample's sparse matrix span
+the latent space.  Space, sample vectors and labels are broadcast (TERMS and LABELLED times
+RANK numbers); every document's cosine with every one of them is computed exactly in
+blocks, and the ``NEIGHBOURS`` nearest vote with the fourth power of their similarity.
+Similarities count to ``GRID``; of equal ones the earlier in the sample's hash order is
+the nearer, and rows of one id in the order of their terms.
 
 A null or empty text, or one whose vector is zero, is near to none; it scores the
 sample's share of label 1.  Without labelled rows every score is 0.  Null ids count
 as the empty string in the split; null labels are not learnt from, and where label
 rows for an id differ the highest counts.  Repeated rows are scored each; other
-columns are not read; an empty table gives an empty result.
+columns are not read; texts of any length are handled whole; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,118 +34,195 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices
+from .common import raw, slices, written
 from .langid import held_out
 
-WORD_TERMS, SHAPE_TERMS = 1024, 512
-TERMS = WORD_TERMS + SHAPE_TERMS + 2  # and: repeats, words
-LABELLED, RANK, NEIGHBOURS = 4096, 64, 31
+TERMS, LABELLED, RANK, NEIGHBOURS = 1 << 15, 4096, 64, 31
+GRID = 2.0 ** -20
 THRESHOLD = 0.3
-BLOCK = 512
+#: Texts, and entries of a sparse matrix, that one step takes.
+BLOCK, STEP = 512, 1 << 17
 SHAPE = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
-
-
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-class _Terms(dict):
-    """Word -> its word term and its shape term in one number."""
+class Keys(dict):
+    """Word -> the 64-bit keys of its word term and its shape term; forgets all when it holds ``most``."""
+
+    def __init__(self, most: int = 200_000) -> None:
+        self.most = most
 
-    def __missing__(self, word: bytes) -> int:
-        shape = _RUN.sub(rb"\1", word.translate(SHAPE))
-        found = xxhash.xxh32_intdigest(word.lower()) % WORD_TERMS << 16 | WORD_TERMS + xxhash.xxh32_intdigest(shape) % SHAPE_TERMS
-        if len(self) < 200_000:
-            self[word] = found
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        if len(self) >= self.most:
+            self.clear()
+        found = xxhash.xxh64_intdigest(b"w" + word.lower()), xxhash.xxh64_intdigest(b"s" + _RUN.sub(rb"\1", word.translate(SHAPE)))
+        self[word] = found
         return found
 
 
-_TERMS = _Terms()
+class Rows:
+    """Sparse rows: counts by row and column, in that order."""
+
+    def __init__(self, n: int, row: np.ndarray, col: np.ndarray, count: np.ndarray) -> None:
+        self.n, self.row, self.col, self.value = n, row, col, np.log1p(count).astype(np.float32)
+
+    @staticmethod
+    def _sums(n: int, to: np.ndarray, at: np.ndarray, value: np.ndarray, dense: np.ndarray) -> np.ndarray:
+        """Sums by ``to`` (ascending, below n) of value * dense[at]."""
+        out = np.zeros((n, dense.shape[1]), np.float32)
+        for lo in range(0, len(to), STEP):
+            some = slice(lo, lo + STEP)
+            first = np.flatnonzero(np.r_[True, to[some][1:] != to[some][:-1]])
+            out[to[some][first]] += np.add.reduceat(value[some, None] * dense[at[some]], first)
+        return out
+
+    def times(self, dense: np.ndarray) -> np.ndarray:
+        return self._sums(self.n, self.row, self.col, self.value, dense)
+
+    def weighted(self, idf: np.ndarray) -> tuple[Callable, Callable]:
+        """Products with the matrix whose values are weighted and whose rows have length 1, and with its transpose."""
+        value = self.value * idf[self.col]
+        value /= np.maximum(np.sqrt(np.bincount(self.row, value * value, self.n)), 1e-12)[self.row].astype(np.float32)
+        order = np.argsort(self.col, kind="stable")
+        turned = self.col[order], self.row[order], value[order]
+        return lambda d: self._sums(self.n, self.row, self.col, value, d), lambda d: self._sums(len(idf), *turned, d)
+
+
+def counted(texts: list[bytes], keys: Keys, columns: np.ndarray) -> Rows:
+    """The texts' counts by column: of each key of ``columns`` (ascending), then repeats, then words."""
+    number = defaultdict(itertools.count().__next__)
+    split = [t.split() for t in texts]
+    n = np.fromiter(map(len, split), np.int64, len(split))
+    at = np.fromiter((c for ws in split for c in map(number.__getitem__, ws)), np.int64, int(n.sum()))
+    of = np.repeat(np.arange(len(texts)), n)
+    width = len(columns) + 2
+    found = []
+    if len(columns) and number:
+        wanted = np.array([keys[w] for w in number], np.uint64)
+        place = np.minimum(np.searchsorted(columns, wanted), len(columns) - 1)
+        place = np.where(columns[place] == wanted, place, -1)
+        for kind in (0, 1):
+            col = place[at, kind]
+            found.append((of * width + col)[col >= 0])
+    cell, count = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+    again = np.bincount(of[1:][(at[1:] == at[:-1]) & (of[1:] == of[:-1])], minlength=len(texts))
+    for col, own in ((width - 2, again), (width - 1, n)):
+        cell, count = np.concatenate([cell, np.flatnonzero(own) * width + col]), np.concatenate([count, own[own > 0]])
+    order = np.argsort(cell, kind="stable")
+    return Rows(len(texts), cell[order] // width, cell[order] % width, count[order])
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct term keys of each text."""
+    keys = Keys()
+    for batch in batches:
+        for part in slices(batch):
+            for text in raw(part.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(list({k for w in set(text.split()) for k in keys[w]}), np.uint64).view(np.int64))], names=["term"])
 
 
-def frequencies(texts: list[bytes]) -> np.ndarray:
-    """Log term frequencies, texts x TERMS."""
-    out = np.zeros((len(texts), TERMS), np.float32)
-    for i, text in enumerate(texts):
-        words = text.split()
-        if words:
-            both = np.fromiter(map(_TERMS.__getitem__, words), np.int64, len(words))
-            out[i, :WORD_TERMS + SHAPE_TERMS] = np.bincount(both >> 16, minlength=WORD_TERMS + SHAPE_TERMS) + np.bincount(both & 0xFFFF, minlength=WORD_TERMS + SHAPE_TERMS)
-            out[i, -2] = (both[1:] == both[:-1]).sum()
-            out[i, -1] = len(words)
-    return np.log1p(out, out=out)
+def columns(sample: DataFrame) -> np.ndarray:
+    """The keys of the terms that get a column, ascending."""
+    found = sample.select("text").mapInArrow(_terms, "term long").groupBy("term").agg(F.count("*").alias("n")).where("n > 1")
+    found = found.orderBy(F.desc("n"), "term").limit(TERMS).toPandas()["term"]
+    return np.sort(found.to_numpy(np.int64).view(np.uint64))
 
 
-def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n, found = 0, np.zeros(TERMS, np.int64)
-    for batch in batches:
-        for part in slices(batch):
-            texts = raw(part.column("text"))
-            n += len(texts)
-            for at in range(0, len(texts), BLOCK):
-                found += (frequencies(texts[at:at + BLOCK]) > 0).sum(0)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, TERMS)), pa.array(np.concatenate([[n], found]))], names=["term", "n"])
+def _blocks(part: pa.RecordBatch, keys: Keys, cols: np.ndarray) -> Iterator[tuple[int, Rows]]:
+    texts = raw(part.column("text"))
+    for at in range(0, len(texts), BLOCK):
+        yield at, counted(texts[at:at + BLOCK], keys, cols)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+def _seen(cols: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, found, keys = 0, np.zeros(len(cols) + 2, np.int64), Keys()
+        for batch in batches:
+            for part in slices(batch):
+                for _, rows in _blocks(part, keys, cols):
+                    n += rows.n
+                    found += np.bincount(rows.col, minlength=len(found))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(found))), pa.array(np.concatenate([[n], found]))], names=["term", "n"])
+    return run
+
+
+def inverse_frequencies(docs: DataFrame, cols: np.ndarray) -> np.ndarray:
     """ln((1 + documents) / (1 + documents with the term)) + 1, over all rows."""
-    found = docs.select("text").mapInArrow(_seen, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).orderBy("term").toPandas()["n"].to_numpy(np.float64)
+    found = docs.select("text").mapInArrow(_seen(cols), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).orderBy("term").toPandas()["n"].to_numpy(np.float64)
     if not len(found):
-        return np.ones(TERMS, np.float32)
+        return np.ones(len(cols) + 2, np.float32)
     return (np.log((1 + found[0]) / (1 + found[1:])) + 1).astype(np.float32)
 
 
-def _weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            rows = frequencies(raw(part.column("text"))).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "quality", "row"])
+def _sparse(cols: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys()
+        for batch in batches:
+            for part in slices(batch):
+                for at, rows in _blocks(part, keys, cols):
+                    cuts = np.searchsorted(rows.row, np.arange(1, rows.n))
+                    own = part.slice(at, rows.n)
+                    packed = [pa.array([x.astype(t).tobytes() for x in np.split(v, cuts)], pa.binary()) for v, t in ((rows.col, "<i4"), (np.rint(np.expm1(rows.value.astype(np.float64))), "<i4"))]
+                    yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("quality"), *packed], names=["doc_id", "quality", "cols", "counts"])
+    return run
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+def votes(near: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's share of label 1 among its nearest columns, and whether there is one; of equal similarities the first columns count."""
+    near = np.rint(near / GRID) * GRID
+    k = min(NEIGHBOURS, near.shape[1])
+    last = np.partition(near, -k, axis=1)[:, -k:-k + 1 or None] if k < near.shape[1] else near.min(1, keepdims=True)
+    above, equal = near > last, near == last
+    chosen = above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= k - above.sum(1, keepdims=True)))
+    weight = np.where(chosen, np.maximum(near, 0).astype(np.float64) ** 4, 0.0)
+    total = weight.sum(1)
+    return weight @ labels / np.maximum(total, 1e-30), total > 0
+
+
 class Voters:
     """The latent space, and the labelled vectors in it."""
 
-    def __init__(self, idf: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> None:
-        x = _unit(rows * idf)
-        self.share = float(labels.mean()) if len(labels) else 0.0
-        self.labels = labels.astype(np.float32)
-        self.space = np.zeros((TERMS, 1), np.float32)
-        if len(x):
-            # leading right singular vectors, by subspace iteration from a fixed start
-            basis = np.random.default_rng(0).standard_normal((TERMS, min(RANK, len(x)))).astype(np.float32)
-            for _ in range(8):
-                basis = np.linalg.qr(x.T @ (x @ basis))[0]
-            self.space = (idf[:, None] * basis).astype(np.float32)
-        self.vectors = _unit(rows @ self.space).astype(np.float32)
+    def __init__(self, cols: np.ndarray, idf: np.ndarray, rows: Rows, labels: np.ndarray) -> None:
+        self.cols, self.keys = cols, Keys()
+        self.share = float(labels.mean(dtype=np.float64)) if len(labels) else 0.0
+        self.labels = labels.astype(np.float64)
+        self.space = np.zeros((len(idf), 1), np.float32)
+        if rows.n:
+            # leading right singular vectors, by subspace iteration from a fixed start, a little wider than wanted
+            times, turned = rows.weighted(idf)
+            basis = np.random.default_rng(0).standard_normal((len(idf), min(RANK + 16, rows.n, len(idf)))).astype(np.float32)
+            for _ in range(3):
+                basis = np.linalg.qr(turned(times(basis)))[0]
+            turn = np.linalg.svd(times(basis), full_matrices=False)[2]
+            self.space = (idf[:, None] * (basis @ turn.T[:, :RANK])).astype(np.float32)
+        self.vectors = _unit(rows.times(self.space))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         out = np.full(len(texts), self.share)
-        k = min(NEIGHBOURS, len(self.labels))
-        for at in range(0, len(texts), BLOCK) if k else ():
-            mine = frequencies(texts[at:at + BLOCK]) @ self.space
-            some = np.linalg.norm(mine, axis=1) > 1e-6
-            near = _unit(mine) @ self.vectors.T
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < near.shape[1] else np.broadcast_to(np.arange(k), near.shape)
-            weight = np.maximum(np.take_along_axis(near, best, 1), 0).astype(np.float64) ** 4
-            total = weight.sum(1)
-            some &= total > 0
-            vote = (weight * self.labels[best]).sum(1) / np.maximum(total, 1e-30)
+        for at in range(0, len(texts), BLOCK) if len(self.labels) else ():
+            mine = counted(texts[at:at + BLOCK], self.keys, self.cols).times(self.space)
+            vote, some = votes(_unit(mine) @ self.vectors.T, self.labels)
+            some &= np.linalg.norm(mine, axis=1) > 1e-6
             out[at:at + BLOCK][some] = vote[some]
         return np.clip(out, 0, 1)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Voters:
     """The voters: labelled rows that are not held out, LABELLED of them at most."""
-    idf = inverse_frequencies(docs)
     order = F.xxhash64("doc_id")
     chosen = labels.where(F.col("quality").isNotNull() & ~held_out(parts=5, part=0)).groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(order).limit(LABELLED)
     chosen = F.broadcast(chosen.withColumnRenamed("doc_id", "__id"))  # LABELLED rows at most
-    found = docs.join(chosen, docs["doc_id"] == chosen["__id"]).select("doc_id", "text", "quality").mapInArrow(_weighted, "doc_id long, quality int, row binary").orderBy(order, "row").limit(LABELLED).toPandas()
-    rows = np.stack([np.frombuffer(r, np.float16) for r in found["row"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS), np.float32)
-    return Voters(idf, rows, found["quality"].to_numpy(np.float32))
+    sample = written(docs.join(chosen, docs["doc_id"] == chosen["__id"]).select("doc_id", "text", "quality"), "quality-sample")
+    cols = columns(sample)
+    found = sample.mapInArrow(_sparse(cols), "doc_id long, quality int, cols binary, counts binary").orderBy(order, "cols", "counts", "quality").limit(LABELLED).toPandas()
+    parts = [[np.frombuffer(x, "<i4").astype(np.int64) for x in found[c]] for c in ("cols", "counts")]
+    col, count = (np.concatenate([*p, np.zeros(0, np.int64)]) for p in parts)
+    rows = Rows(len(found), np.repeat(np.arange(len(found)), [len(x) for x in parts[0]]), col, count)
+    return Voters(cols, inverse_frequencies(docs, cols), rows, found["quality"].to_numpy(np.float32))
 
 
 def _scored(voters):

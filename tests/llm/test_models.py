@@ -257,21 +257,56 @@ def test_quality_held_out(tables):
     assert (low[:, None] < high[None, :]).mean() > 0.95
 
 
-def test_votes_against_brute_force():
+def test_votes_with_ties_against_brute_force():
     rng = np.random.default_rng(1)
-    texts = [" ".join(rng.choice(["alpha", "beta", "GAMMA!!", "delta.", "x1"], 30, p=p)).encode() for p in ([.4, .3, .1, .1, .1], [.1, .1, .4, .3, .1]) for _ in range(40)]
-    labels = np.array([1] * 40 + [0] * 40, np.float32)
-    tf = quality.frequencies(texts)
-    voters = quality.Voters(np.ones(quality.TERMS, np.float32), tf, labels)
-    got = voters.score(texts[:5] + [b""] + texts[-5:])
-    unit = lambda x: x / np.linalg.norm(x)
-    for text, score in zip(texts[:5] + texts[-5:], np.delete(got, 5)):
-        mine = unit(quality.frequencies([text])[0] @ voters.space)
-        near = np.array([mine @ unit(r @ voters.space) for r in tf])
-        best = np.argsort(-near, kind="stable")[:quality.NEIGHBOURS]
-        weight = np.maximum(near[best], 0) ** 4
-        assert abs(score - (weight * labels[best]).sum() / weight.sum()) < 0.02
-    assert got[5] == 0.5 and got[:5].min() > 0.5 > got[6:].max()
+    near = np.round(rng.normal(0, 0.5, (50, 300)), 1)  # many equal similarities
+    labels = (rng.random(300) < 0.5).astype(float)
+    got, some = quality.votes(near.astype(np.float32), labels)
+    for row, score in zip(near, got):
+        best = sorted(range(300), key=lambda i: (-row[i], i))[:quality.NEIGHBOURS]
+        weight = [max(row[i], 0) ** 4 for i in best]
+        assert abs(score - sum(w for w, i in zip(weight, best) if labels[i]) / sum(weight)) < 1e-6
+    assert some.all() and not quality.votes(np.zeros((1, 3), np.float32), labels[:3])[1].any()
+    near = np.repeat([0.9, 0.5, 0.5], [20, 30, 30])[None].astype(np.float32)  # 20 others, then 30 of label 1 and 30 of label 0
+    assert abs(quality.votes(near, np.repeat([0.0, 1.0, 0.0], [20, 30, 30]))[0][0] - 11 * 0.5 ** 4 / (20 * 0.9 ** 4 + 11 * 0.5 ** 4)) < 1e-6
+
+
+def test_quality_scores_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    monkeypatch.setattr(quality, "STEP", 50)
+    rng = np.random.default_rng(2)
+    words = ["alpha", "Beta", "GAMMA!!", "delta.", "x1", "aa", "été", *[f"once{i}" for i in range(40)]]
+    texts = {i: " ".join(rng.choice(words[:7] + [words[7 + i % 40]], 30, p=[.3, .2, .1, .1, .1, .1, .05, .05] if i % 2 else [.1, .1, .3, .1, .1, .2, .05, .05])) for i in range(80)}
+    texts |= {100 + i: texts[i] for i in range(5)} | {200: "", 201: "unknownword"}
+    labels = {i: i % 2 for i in range(75)} | {100: 1, 101: 1}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in rows(quality.score(docs, spark.createDataFrame(list(labels.items()), "doc_id long, quality int")))}
+    assert set(got) == set(texts)
+    # the same from dense matrices in double precision
+    order = dict(docs.select("doc_id", F.xxhash64("doc_id")).collect())
+    sample = sorted((i for i in labels if not in_split(i, 5, 0)), key=order.get)
+    shape = lambda w: quality._RUN.sub(rb"\1", w.encode().translate(quality.SHAPE))
+
+    def terms(text):
+        ws = text.split()
+        return Counter([("w", w.encode().lower()) for w in ws] + [("s", shape(w)) for w in ws] + [("r",)] * sum(a == b for a, b in zip(ws, ws[1:])) + [("n",)] * len(ws))
+
+    seen = Counter(t for i in sample for t in terms(texts[i]))
+    in_texts = Counter(t for i in sample for t in set(terms(texts[i])))
+    cols = sorted({t for t in seen if in_texts[t] > 1} | {("r",), ("n",)})
+    tf = {i: np.log1p([terms(t)[c] for c in cols]) for i, t in texts.items()}
+    idf = np.array([np.log((1 + len(texts)) / (1 + sum(terms(t)[c] > 0 for t in texts.values()))) + 1 for c in cols])
+    unit = lambda x: x / max(np.linalg.norm(x), 1e-12)
+    right = np.linalg.svd(np.array([unit(tf[i] * idf) for i in sample]), full_matrices=False)[2][:quality.RANK]
+    vectors = [unit(right @ (tf[i] * idf)) for i in sample]
+    for i, text in texts.items():
+        mine = unit(right @ (tf[i] * idf))
+        near = [round(float(mine @ v) / quality.GRID) * quality.GRID for v in vectors]
+        best = sorted(range(len(sample)), key=lambda j: (-near[j], j))[:quality.NEIGHBOURS]
+        weight = [max(near[j], 0) ** 4 for j in best]
+        want = sum(w for w, j in zip(weight, best) if labels[sample[j]]) / sum(weight) if sum(weight) else np.mean([labels[j] for j in sample])
+        assert abs(got[i]["score"] - want) < 1e-5 and got[i]["held_out"] == in_split(i, 5, 0), (i, got[i], want)
+    assert got[200]["score"] == np.mean([labels[j] for j in sample])
 
 
 def test_quality_of_odd_rows(spark):
