@@ -23,13 +23,12 @@ empty result.
 
 from __future__ import annotations
 
-import itertools
 import re
-from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,18 +46,20 @@ _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 class Keys(dict):
-    """Word -> the 64-bit keys of its word term and its shape term; forgets all when it holds ``most``."""
+    """Word -> the 64-bit keys of its word term and its shape term, one after the other; forgets all when it holds ``most``."""
 
     def __init__(self, most: int = 200_000) -> None:
         self.most = most
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.most:
             self.clear()
-        found = xxhash.xxh64_intdigest(b"w" + word.lower()), xxhash.xxh64_intdigest(b"s" + _RUN.sub(rb"\1", word.translate(SHAPE)))
-        self[word] = found
+        self[word] = found = xxhash.xxh64_digest(b"w" + word.lower()) + xxhash.xxh64_digest(b"s" + _RUN.sub(rb"\1", word.translate(SHAPE)))
         return found
 
+    def of(self, words: Iterable[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), ">u8").astype(np.uint64).reshape(-1, 2)
+
 
 class Rows:
     """Sparse rows: counts by row and column, in that order."""
@@ -88,17 +89,21 @@ class Rows:
         return lambda d: self._sums(self.n, self.row, self.col, value, d), lambda d: self._sums(len(idf), *turned, d)
 
 
-def counted(texts: list[bytes], keys: Keys, columns: np.ndarray) -> Rows:
+def counted(texts: pa.Array, keys: Keys, columns: np.ndarray) -> Rows:
     """The texts' counts by column: of each key of ``columns`` (ascending), then repeats, then words."""
-    number = defaultdict(itertools.count().__next__)
-    split = [t.split() for t in texts]
-    n = np.fromiter(map(len, split), np.int64, len(split))
-    at = np.fromiter((c for ws in split for c in map(number.__getitem__, ws)), np.int64, int(n.sum()))
-    of = np.repeat(np.arange(len(texts)), n)
+    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = cut.flatten().dictionary_encode()
+    at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    of = np.repeat(np.arange(len(texts)), np.diff(cut.offsets.to_numpy()))
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    if b"" in words:  # beside leading or trailing white space
+        some = at != words.index(b"")
+        at, of = at[some], of[some]
+    n = np.bincount(of, minlength=len(texts))
     width = len(columns) + 2
     found = []
-    if len(columns) and number:
-        wanted = np.array([keys[w] for w in number], np.uint64)
+    if len(columns) and words:
+        wanted = keys.of(words)
         place = np.minimum(np.searchsorted(columns, wanted), len(columns) - 1)
         place = np.where(columns[place] == wanted, place, -1)
         for kind in (0, 1):
@@ -118,7 +123,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             for text in raw(part.column("text")):
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(list({k for w in set(text.split()) for k in keys[w]}), np.uint64).view(np.int64))], names=["term"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys.of(set(text.split()))).view(np.int64))], names=["term"])
 
 
 def columns(sample: DataFrame) -> np.ndarray:
@@ -129,9 +134,8 @@ def columns(sample: DataFrame) -> np.ndarray:
 
 
 def _blocks(part: pa.RecordBatch, keys: Keys, cols: np.ndarray) -> Iterator[tuple[int, Rows]]:
-    texts = raw(part.column("text"))
-    for at in range(0, len(texts), BLOCK):
-        yield at, counted(texts[at:at + BLOCK], keys, cols)
+    for at in range(0, part.num_rows, BLOCK):
+        yield at, counted(part.column("text").slice(at, BLOCK), keys, cols)
 
 
 def _seen(cols: np.ndarray):
@@ -201,10 +205,10 @@ class Voters:
             self.space = (idf[:, None] * (basis @ turn.T[:, :RANK])).astype(np.float32)
         self.vectors = _unit(rows.times(self.space))
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
+    def score(self, texts: pa.Array) -> np.ndarray:
         out = np.full(len(texts), self.share)
         for at in range(0, len(texts), BLOCK) if len(self.labels) else ():
-            mine = counted(texts[at:at + BLOCK], self.keys, self.cols).times(self.space)
+            mine = counted(texts.slice(at, BLOCK), self.keys, self.cols).times(self.space)
             vote, some = votes(_unit(mine) @ self.vectors.T, self.labels)
             some &= np.linalg.norm(mine, axis=1) > 1e-6
             out[at:at + BLOCK][some] = vote[some]
@@ -229,7 +233,7 @@ def _scored(voters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                score = voters.value.score(raw(part.column("text")))
+                score = voters.value.score(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
     return run
 
