@@ -49,7 +49,7 @@ def library(path: str):
 
 
 class ChunkEncoder:
-    """Encodes string columns; remembers pieces and chunks up to fixed numbers.
+    """Encodes string columns; remembers pieces and chunks up to fixed numbers, then forgets them all and begins anew.
 
     encode_pieces: list of pieces to a list of little-endian 32-bit id strings.
     whole: one text to the same; special: strings that make a text go there.
@@ -57,22 +57,54 @@ class ChunkEncoder:
 
     def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], special: list[str],
                  n_pieces: int = PIECES, n_chunks: int = CHUNKS) -> None:
-        self.encode_pieces, self.whole, self.special = encode_pieces, whole, special
+        self.encode_pieces, self.special_text, self.special = encode_pieces, whole, special
         self.n_pieces, self.n_chunks = n_pieces, n_chunks
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.find = regex.compile(PATTERN).findall
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks that may be cut by the pattern alone."""
-        cut = [[c] if c[1:].isalpha() and c[0] == " " else self.find(c) for c in chunks]
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each match of the pattern."""
         known = self.pieces
-        new = list({p for ps in cut for p in ps if p not in known})
-        fresh = dict(zip(new, self.encode_pieces(new), strict=True)) if new else {}
-        out = [known[ps[0]] if len(ps) == 1 and ps[0] in known else b"".join([known[p] if p in known else fresh[p] for p in ps]) for ps in cut]
-        if len(known) < self.n_pieces:
-            known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
-        return out
+        new = list(set(pieces).difference(known))
+        if new:
+            if len(known) + len(new) > self.n_pieces:
+                known.clear()
+                new = list(set(pieces))
+            known.update(zip(new, self.encode_pieces(new), strict=True))
+        found = list(map(known.__getitem__, pieces))
+        for p in new:
+            if len(p) > LONGEST:
+                del known[p]
+        return found
+
+    def _whole(self, text: str) -> bytes:
+        """The ids of a text that may be cut by the pattern alone."""
+        return b"".join(self._ids(self.find(text)))
+
+    def _after_space(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a space before it; words have no space, nor white space at their ends."""
+        if not words:
+            return []
+        # cut in one go: a piece begins with the space exactly where a word begins
+        pieces = self.find(" " + " ".join(words))
+        ids = self._ids(pieces)
+        if len(ids) == len(words):
+            return ids
+        begins = [i for i, p in enumerate(pieces) if p[0] == " "]
+        return [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(begins, [*begins[1:], len(ids)], strict=True)]
+
+    @staticmethod
+    def _odd(words: pa.Array) -> np.ndarray:
+        """Whether a word is empty, or begins or ends with white space."""
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"\0", np.uint8)
+        odd = ends[1:] == ends[:-1]
+        sides = np.stack([data[np.minimum(ends[:-1], len(data) - 1)], data[np.maximum(ends[1:] - 1, 0)]])
+        for i in np.flatnonzero(~odd & ~((sides > 32) & (sides < 127)).all(0)).tolist():  # all but printable ASCII
+            w = words[i].as_py()
+            odd[i] = w[0].isspace() or w[-1].isspace()
+        return odd
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more entry than texts). Null as empty."""
@@ -85,7 +117,7 @@ class ChunkEncoder:
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         words = coded.dictionary.to_pylist()
         first = starts[:-1]
-        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in words), bool, len(words))
+        odd = self._odd(coded.dictionary)
         text_of = np.repeat(np.arange(n), np.diff(starts))
         slow = np.zeros(n, bool)
         slow[text_of[odd[index]]] = True
@@ -97,25 +129,29 @@ class ChunkEncoder:
         used &= ~slow[text_of]
         need = np.zeros(len(words), bool)
         need[index[used]] = True
-        held = self.chunks
-        new = [w for i in np.flatnonzero(need).tolist() if (w := words[i]) not in held]
-        fresh = dict(zip(new, self._encode([" " + w for w in new]), strict=True)) if new else {}
-        ids: list[bytes] = [b""] * len(words)
-        for i in np.flatnonzero(need).tolist():
-            w = words[i]
-            ids[i] = held[w] if w in held else fresh[w]
+        held, needed = self.chunks, np.flatnonzero(need)
+        wanted = [words[i] for i in needed.tolist()]
+        ids = list(map(held.get, wanted))
+        missing = [j for j, found in enumerate(ids) if found is None]
+        new = [wanted[j] for j in missing]
+        fresh = self._after_space(new)
+        for j, found in zip(missing, fresh, strict=True):
+            ids[j] = found
         heads = [words[i] if not s else "" for i, s in zip(index[first].tolist(), slow.tolist(), strict=True)]
         known = list(set(heads) - {""})
-        head_ids = dict(zip(known, self._encode(known), strict=True)) | {"": b""}
+        head_ids = dict(zip(known, map(self._whole, known), strict=True)) | {"": b""}
         own = [head_ids[h] for h in heads]
         for i in np.flatnonzero(slow).tolist():
             text = texts[i].as_py()
-            own[i] = self.whole(text) if any(s in text for s in self.special) else b"".join(self._encode(self.find(text)))
-        if len(held) < self.n_chunks:
-            held.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
+            own[i] = self.special_text(text) if any(s in text for s in self.special) else self._whole(text)
+        if len(held) + len(new) > self.n_chunks:
+            held.clear()
+        held.update((w, i) for w, i in zip(new, fresh, strict=True) if len(w) <= LONGEST)
         # spread the distinct ids over all places
-        place = index.copy()
-        place[first] = len(words) + np.arange(n)
+        of_word = np.zeros(len(words), np.int64)
+        of_word[needed] = np.arange(len(needed))
+        place = of_word[index]
+        place[first] = len(ids) + np.arange(n)
         keep = used
         keep[first] = True
         table = ids + own

@@ -181,9 +181,14 @@ def encoder(path: str) -> ChunkEncoder:
         lib = library(path)
         letters, model = str.maketrans({b: c for c, b in byte_letters().items()}), lib.model
         special = [t.content for t in lib.get_added_tokens_decoder().values()]
+        tokenize = model.tokenize
+
+        def spelt(p: str) -> str:  # in the vocabulary's letters: printable ASCII but for the space stands for itself
+            return p if p.isascii() and p.isprintable() and " " not in p else p.encode().decode("latin-1").translate(letters)
+
         # a piece is what the library's own cut gives its model, so it goes to the model at once
         _ENCODERS[path] = ChunkEncoder(
-            lambda ps: [array("I", [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))]).tobytes() for p in ps],
+            lambda ps: [array("I", [t.id for t in tokenize(spelt(p))]).tobytes() for p in ps],
             lambda text: array("I", lib.encode(text, add_special_tokens=False).ids).tobytes(), special)
     return _ENCODERS[path]
 
