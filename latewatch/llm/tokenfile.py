@@ -6,16 +6,16 @@ wavelet matrix: one bit-plane per id bit, most significant first; each plane is
 ordered by a stable partition on the plane above it.  Every plane has the count
 of ones before each 512-bit block, so ``rank`` reads one block, ``access`` one
 block a plane, and ``select`` searches the counts.  From these the shard answers
-token access, counting in a range, and where an id occurs, without unpacking.
-Sections are zstd-compressed one by one.
+token access, counting in a range, and where an id occurs, without restoring the ids.
+Sections (a plane is one) are zstd-compressed one by one; a plane is decompressed whole when read.
 
 Shards are the rows of a Parquet table written by Spark (its commit protocol
 covers lost executors and works on any file system Spark knows); the bytes in
-``payload`` are the file of one shard.  ``extract`` writes nothing to the driver.
+``payload`` are the file of one shard.
 
 Null texts count as empty documents (they still get the end id); null doc_ids
-come first; documents with one doc_id follow each other in text order.  Columns
-beyond doc_id and text are not read; an empty table gives no shards.
+come first; documents with one doc_id follow each other by their text's XXH64, then text.
+Texts of any length are encoded whole.  Columns beyond doc_id and text are not read; an empty table gives no shards.
 """
 
 from __future__ import annotations
@@ -230,7 +230,8 @@ def write_shards(docs: DataFrame, path: str | None = None, end_id: int = END_ID,
     (part, seq) is the order of the shards.
     """
     path = path or vocabulary()
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    tie = F.xxhash64("text")  # rows of one id may fill several tasks; ranges are found from samples of these two numbers, not of texts
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
     shards = ordered.mapInArrow(_shards(path, end_id, shard_tokens), "part int, seq int, n_docs long, n_tokens long, payload binary")
     return written(shards, "wavelet", "none")
 
