@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from latewatch.operators import model as M
 from latewatch.plans.catalog_base import fixture_silver
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMALL
 
 
 def test_split_is_stratified_and_deterministic(spark):
@@ -149,3 +149,11 @@ def test_the_compacted_rows_have_the_same_likelihood(spark):
     for w in (every, few):
         assert abs(loss(weighted, w) / loss(compact, w) - 1) < 1e-12
     train.unpersist()
+
+
+def test_the_split_builds_silver_once(spark):
+    """The split and the fit read their rows several times: from a written table, not from the events."""
+    from latewatch.plans import q_model
+    for df in (q_model.split(spark, SF_SMALL), q_model.fit_optimum(spark, SF_SMALL)):
+        assert df.inputFiles() and not [f for f in df.inputFiles() if "events" in f]
+        assert df.count()
