@@ -43,12 +43,13 @@ def unused(df: DataFrame, name: str) -> str:
 def without(docs: DataFrame, lost: DataFrame, by: Column | None = None) -> DataFrame:
     """``docs`` less the rows that ``lost`` names by doc_id and ``digest`` (of ``by``, the text's own if not given).
 
-    Where ``lost`` has a column ``stays``, one row of each name for which it holds stays.  Texts move once.
+    Where ``lost`` has a column ``stays``, one row of each name for which it holds stays.  Texts move once;
+    what is lost grows with the corpus, so it is merged, never broadcast: the same plan at every size.
     """
     key, ident, value = (unused(docs, n) for n in ("digest_key", "lost_id", "lost_digest"))
     marked = docs.withColumn(key, digest() if by is None else by)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(ident)) & (F.col(key) == F.col(value))
-    named = lambda df: df.select(F.col("doc_id").alias(ident), F.col("digest").alias(value))
+    named = lambda df: df.select(F.col("doc_id").alias(ident), F.col("digest").alias(value)).hint("merge")
     out = marked.join(named(lost), same, "left_anti")
     if "stays" in lost.columns:
         again = written(lost.where("stays"), "repeated")

@@ -47,3 +47,16 @@ def test_repeated_rows_null_ids_and_columns(spark):
 def test_empty_table(spark):
     none = documents(spark).where("false")
     assert exactdedup.judge(none).count() == 0 and exactdedup.deduplicate(none).count() == 0
+
+
+def test_lost_rows_are_merged_at_every_size(spark):
+    """A table that grows with the corpus is not broadcast while it is small: shuffles then grow as the texts do."""
+    from pyspark.sql import functions as F
+
+    from latewatch.llm.common import digest, without
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, "d")], "doc_id long, text string")
+    lost = docs.where("text in ('a', 'b')").select("doc_id", digest().alias("digest"), (F.col("text") == "a").alias("stays")).distinct()
+    out = without(docs, lost)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == [("1", "a"), ("3", "d"), ("None", "c")]
