@@ -2,7 +2,7 @@
 
 A day's events are reduced once, by one scan with grouping sets: rows per delay, trip, line
 and capture (what exact percentiles and distinct counts need) and sums per hour, station,
-weather and day.  Counts and scaled integer sums add up and minima of minima are
+weather and day.  Names are keys where a gold table shows them.  Counts and scaled integer sums add up and minima of minima are
 minima, so any set of days merges to exactly what the aggregates of
 :mod:`latewatch.operators.aggregates` give over those days' events.  When days change, only
 their states are computed anew; the gold tables read states, never the history of events.
@@ -26,11 +26,11 @@ SETS = {
     "trip": ("is_suburban", "trip_id"),
     "line": ("is_suburban", "line_code"),
     "capture": ("is_suburban", "captured_at"),
-    "line_delay": ("line_code", "delay_minutes"),
-    "line_trip": ("line_code", "trip_id"),
+    "line_delay": ("line_code", "line_name", "delay_minutes"),
+    "line_trip": ("line_code", "line_name", "trip_id"),
     "hour": ("is_suburban", "sched_hour"),
-    "day": ("is_suburban",),
-    "stop": ("is_suburban", "stop_id", "has_name"),
+    "day": ("is_suburban", "day_of_week"),
+    "stop": ("is_suburban", "stop_id", "stop_name"),
     "weather": ("is_suburban", "is_raining", "has_weather"),
 }
 KEYS = tuple(dict.fromkeys(c for of in SETS.values() for c in of))
@@ -46,23 +46,24 @@ def _sum(x: Column) -> Column:
 
 def daily_states(silver: DataFrame, late_seconds: int = params.LATE_SECONDS) -> DataFrame:
     """service_date, of (the grouping set), its keys and the mergeable measures."""
-    rows = silver.select("*", F.col("stop_name").isNotNull().alias("has_name"), F.col("precip_mm").isNotNull().alias("has_weather"))
+    rain = F.col("precip_mm")
+    # the measures are columns of their own: a grouping column is NULL in the sets that leave it out
+    rows = silver.select(
+        "service_date", *[rain.isNotNull().alias(k) if k == "has_weather" else F.col(k) for k in KEYS],
+        F.col("delay_minutes").isNotNull().alias("_known"), F.round(F.col("delay_minutes") * F.lit(100.0)).cast(T.LongType()).alias("_cents"),
+        F.col("is_late_5min").alias("_late"), (F.col("delay_seconds") <= late_seconds).alias("_on_time"),
+        F.round(rain * F.lit(1000.0)).cast(T.LongType()).alias("_rain"), F.when(F.col("is_raining"), 1).otherwise(0).alias("_raining"),
+        F.col("is_suburban").alias("_suburban"), F.col("route_type").alias("_type"))
     numbers = {sum(1 << (len(KEYS) - 1 - i) for i, k in enumerate(KEYS) if k not in kept): of for of, kept in SETS.items()}
     of = F.create_map(*[x for n, name in numbers.items() for x in (F.lit(n).cast("long"), F.lit(name))])
-    # the measures read copies: a grouping column is NULL in the sets that leave it out
-    copies = {c: f"_{c}" for c in KEYS}
-    rows = rows.select("*", *[F.col(c).alias(k) for c, k in copies.items()])
-    own = lambda c: F.col(copies[c])
-    delay, rain = own("delay_minutes"), F.col("precip_mm")
     grouped = rows.groupingSets([["service_date", *kept] for kept in SETS.values()], "service_date", *KEYS)
+    # all of fixed width (names are keys), so rows are hashed, not sorted
     states = grouped.agg(
         of[F.grouping_id()].alias("of"),
-        F.count(F.lit(1)).alias("n"), F.count(delay).alias("known"), _sum(F.round(delay * F.lit(100.0))).alias("cents"),
-        _count(F.col("is_late_5min")).alias("late"), _count(F.col("delay_seconds") <= late_seconds).alias("on_time"),
-        F.count(rain).alias("rain_known"), _sum(F.round(rain * F.lit(1000.0))).alias("rain_sum"),
-        F.max(F.when(own("is_raining"), 1).otherwise(0)).alias("any_rain"),
-        F.min("line_name").alias("line_name"), F.min(own("is_suburban")).alias("line_suburban"), F.min("route_type").alias("route_type"),
-        F.min("stop_name").alias("stop_name"), F.min("day_of_week").alias("day_of_week"))
+        F.count(F.lit(1)).alias("n"), _count(F.col("_known")).alias("known"), _sum(F.col("_cents")).alias("cents"),
+        _count(F.col("_late")).alias("late"), _count(F.col("_on_time")).alias("on_time"),
+        F.count("_rain").alias("rain_known"), _sum(F.col("_rain")).alias("rain_sum"),
+        F.max("_raining").alias("any_rain"), F.min("_suburban").alias("line_suburban"), F.min("_type").alias("route_type"))
     return states.select("service_date", "of", *KEYS, *[c for c in states.columns if c not in ("service_date", "of", *KEYS)])
 
 
@@ -123,7 +124,7 @@ def daily_punctuality(states: DataFrame) -> DataFrame:
 
 def stop_punctuality(states: DataFrame, min_events: int = params.MIN_STOP_EVENTS) -> DataFrame:
     """A5."""
-    found = _of(states, "stop").where(F.col("has_name")).groupBy("stop_id").agg(F.min("stop_name").alias("stop_name"), _events(), _avg(), _pct_late())
+    found = _of(states, "stop").where(F.col("stop_name").isNotNull()).groupBy("stop_id").agg(F.min("stop_name").alias("stop_name"), _events(), _avg(), _pct_late())
     return found.where(F.col("stop_events") >= min_events)
 
 

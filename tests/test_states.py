@@ -50,3 +50,20 @@ def test_nulls_in_every_column(spark, silver):
     assert rows(S.daily_states(odd.limit(0))) == []
     for name in A.GOLD_TABLES:
         assert rows(S.GOLD_TABLES[name](S.daily_states(odd.limit(0)))) == rows(A.GOLD_TABLES[name](odd.limit(0)))
+
+
+def test_states_are_hashed_not_sorted(silver):
+    """Ten grouping sets make ten rows an event: those are never sorted, whatever the names are."""
+    plan = S.daily_states(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_several_names_of_a_line_and_a_station(spark, silver):
+    """Names are keys of the states, yet the gold tables have a row a line and a station."""
+    d, t = date(2024, 1, 1), datetime(2024, 1, 1, 5)
+    full = dict(zip(silver.columns, (d, "Mon", "t1", "r", "T1", "North", 2, True, "s1", "Central", "08:00:00", 8, 60, 1.0, False, True, t, 0.4, 20.0, True), strict=True))
+    data = [{**full, "line_name": n, "stop_name": s, "day_of_week": w, "delay_minutes": m, "trip_id": i} for n, s, w, m, i in (
+        ("North", "Central", "Mon", 1.0, "t1"), ("Nord", "Centre", "Lun", 1.0, "t1"), (None, None, None, 1.0, "t1"), ("North", "Centre", "Mon", 2.0, "t2"))]
+    odd = spark.createDataFrame([tuple(x[c] for c in silver.columns) for x in data * 5], silver.schema)
+    for name in A.GOLD_TABLES:
+        assert rows(S.GOLD_TABLES[name](S.daily_states(odd))) == rows(A.GOLD_TABLES[name](odd))
