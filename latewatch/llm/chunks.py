@@ -12,6 +12,7 @@ go to ``whole``.
 
 from __future__ import annotations
 
+import itertools
 import os
 from collections.abc import Callable
 
@@ -22,7 +23,7 @@ import regex
 
 #: Fixed value: the public pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-PIECES, CHUNKS, LONGEST = 400_000, 250_000, 64
+PIECES, CHUNKS, LONGEST = 500_000, 500_000, 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -48,51 +49,84 @@ def library(path: str):
     return found
 
 
+def runs(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Little-endian 32-bit ids as strings of bytes; ends: where each string ends, after a first 0."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int64)), pa.py_buffer(ids.astype(np.uint32, copy=False))])
+
+
+def _joined(ids: pa.Array, at: np.ndarray) -> pa.Array:
+    """What lies between each two of the places ``at`` in ``ids`` as one string."""
+    ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset + at]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(ends), ids.buffers()[2]])
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+
+
+class Known:
+    """The ids of strings; remembers up to ``limit`` strings, then forgets them all and begins anew."""
+
+    def __init__(self, encode: Callable[[pa.Array], pa.Array], limit: int) -> None:
+        self.encode, self.limit = encode, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+
+    def __call__(self, words: pa.Array) -> pa.Array:
+        """words: distinct strings."""
+        at = pc.index_in(words, value_set=self.words)
+        if not at.null_count:
+            return self.ids.take(at)
+        at = at.to_numpy(zero_copy_only=False)
+        missing = np.isnan(at)
+        new = words.filter(pa.array(missing))
+        fresh = self.encode(new)
+        place = np.where(missing, len(self.ids) + np.cumsum(missing) - 1, at).astype(np.int64)
+        found = pa.concat_arrays([self.ids, fresh]).take(pa.array(place))
+        short = pc.less_equal(pc.binary_length(new), LONGEST)
+        new, fresh = new.filter(short), fresh.filter(short)
+        if len(self.words) + len(new) > self.limit:
+            self._forget()
+        if len(new) <= self.limit:
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, fresh])
+        return found
+
+
 class ChunkEncoder:
-    """Encodes string columns; remembers pieces and chunks up to fixed numbers, then forgets them all and begins anew.
+    """Encodes string columns; pieces and chunks are remembered up to fixed numbers (see ``Known``).
 
-    encode_pieces: list of pieces to a list of little-endian 32-bit id strings.
+    encode_pieces: list of pieces to their little-endian 32-bit id strings, a list or an Arrow array of large binary.
     whole: one text to the same; special: strings that make a text go there.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], whole: Callable[[str], bytes], special: list[str],
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes] | pa.Array], whole: Callable[[str], bytes], special: list[str],
                  n_pieces: int = PIECES, n_chunks: int = CHUNKS) -> None:
         self.encode_pieces, self.special_text, self.special = encode_pieces, whole, special
-        self.n_pieces, self.n_chunks = n_pieces, n_chunks
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces, self.chunks = Known(self._new_pieces, n_pieces), Known(self._after_space, n_chunks)
         self.find = regex.compile(PATTERN).findall
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+    def _new_pieces(self, pieces: pa.Array) -> pa.Array:
+        found = self.encode_pieces(_strings(pieces))
+        return found if isinstance(found, pa.Array) else pa.array(found, pa.large_binary())
+
+    def _ids(self, pieces: pa.Array) -> pa.Array:
         """The ids of each match of the pattern."""
-        known = self.pieces
-        new = list(set(pieces).difference(known))
-        if new:
-            if len(known) + len(new) > self.n_pieces:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self.encode_pieces(new), strict=True))
-        found = list(map(known.__getitem__, pieces))
-        for p in new:
-            if len(p) > LONGEST:
-                del known[p]
-        return found
+        coded = pieces.dictionary_encode()
+        return self.pieces(coded.dictionary).take(coded.indices)
 
-    def _whole(self, text: str) -> bytes:
-        """The ids of a text that may be cut by the pattern alone."""
-        return b"".join(self._ids(self.find(text)))
+    def _whole(self, texts: list[str]) -> pa.Array:
+        """The ids of texts that may be cut by the pattern alone."""
+        found = list(map(self.find, texts))
+        return _joined(self._ids(pa.array(itertools.chain.from_iterable(found), pa.string())), np.cumsum([0, *map(len, found)]))
 
-    def _after_space(self, words: list[str]) -> list[bytes]:
+    def _after_space(self, words: pa.Array) -> pa.Array:
         """The ids of each word with a space before it; words have no space, nor white space at their ends."""
-        if not words:
-            return []
         # cut in one go: a piece begins with the space exactly where a word begins
-        pieces = self.find(" " + " ".join(words))
-        ids = self._ids(pieces)
-        if len(ids) == len(words):
-            return ids
-        begins = [i for i, p in enumerate(pieces) if p[0] == " "]
-        return [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(begins, [*begins[1:], len(ids)], strict=True)]
+        pieces = pa.array(self.find(" " + " ".join(_strings(words))), pa.string())
+        begins = np.flatnonzero(pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False))
+        return _joined(self._ids(pieces), np.append(begins, len(pieces)))
 
     @staticmethod
     def _odd(words: pa.Array) -> np.ndarray:
@@ -101,67 +135,44 @@ class ChunkEncoder:
         data = np.frombuffer(words.buffers()[2] or b"\0", np.uint8)
         odd = ends[1:] == ends[:-1]
         sides = np.stack([data[np.minimum(ends[:-1], len(data) - 1)], data[np.maximum(ends[1:] - 1, 0)]])
-        for i in np.flatnonzero(~odd & ~((sides > 32) & (sides < 127)).all(0)).tolist():  # all but printable ASCII
-            w = words[i].as_py()
-            odd[i] = w[0].isspace() or w[-1].isspace()
+        rest = np.flatnonzero(~odd & ~((sides > 32) & (sides < 127)).all(0))  # all but printable ASCII
+        odd[rest] = [w[0].isspace() or w[-1].isspace() for w in _strings(words.take(pa.array(rest)))]
         return odd
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more entry than texts). Null as empty."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         cut = pc.split_pattern(texts, " ")
         starts = cut.offsets.to_numpy().astype(np.int64)
         starts -= starts[0]
         coded = cut.flatten().dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = coded.dictionary.to_pylist()
-        first = starts[:-1]
-        odd = self._odd(coded.dictionary)
-        text_of = np.repeat(np.arange(n), np.diff(starts))
-        slow = np.zeros(n, bool)
-        slow[text_of[odd[index]]] = True
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        words = coded.dictionary
+        first, size = starts[:-1], np.diff(starts)
+        slow = np.logical_or.reduceat(self._odd(words)[index], first)
         for s in self.special:
             slow |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
         # chunks: each word with a space before it, each first word without
-        used = np.ones(len(index), bool)
+        used = np.repeat(~slow, size)
         used[first] = False
-        used &= ~slow[text_of]
         need = np.zeros(len(words), bool)
         need[index[used]] = True
-        held, needed = self.chunks, np.flatnonzero(need)
-        wanted = [words[i] for i in needed.tolist()]
-        ids = list(map(held.get, wanted))
-        missing = [j for j, found in enumerate(ids) if found is None]
-        new = [wanted[j] for j in missing]
-        fresh = self._after_space(new)
-        for j, found in zip(missing, fresh, strict=True):
-            ids[j] = found
-        heads = [words[i] if not s else "" for i, s in zip(index[first].tolist(), slow.tolist(), strict=True)]
-        known = list(set(heads) - {""})
-        head_ids = dict(zip(known, map(self._whole, known), strict=True)) | {"": b""}
-        own = [head_ids[h] for h in heads]
-        for i in np.flatnonzero(slow).tolist():
-            text = texts[i].as_py()
-            own[i] = self.special_text(text) if any(s in text for s in self.special) else self._whole(text)
-        if len(held) + len(new) > self.n_chunks:
-            held.clear()
-        held.update((w, i) for w, i in zip(new, fresh, strict=True) if len(w) <= LONGEST)
+        ids = self.chunks(words.filter(pa.array(need)))
+        # each text's own: its first word, or all of it
+        heads = _strings(words.take(pa.array(index[first])))
+        alone = [t.as_py() if s else h for t, s, h in zip(texts, slow.tolist(), heads, strict=True)]
+        whole = [s and any(x in t for x in self.special) for s, t in zip(slow.tolist(), alone, strict=True)]
+        number = {t: i for i, t in enumerate(dict.fromkeys(t for t, w in zip(alone, whole, strict=True) if not w))}
+        special = [self.special_text(t) for t, w in zip(alone, whole, strict=True) if w]
+        table = pa.concat_arrays([ids, self._whole(list(number)), pa.array(special, pa.large_binary())])
+        following = itertools.count(len(ids) + len(number))
         # spread the distinct ids over all places
-        of_word = np.zeros(len(words), np.int64)
-        of_word[needed] = np.arange(len(needed))
-        place = of_word[index]
-        place[first] = len(ids) + np.arange(n)
-        keep = used
-        keep[first] = True
-        table = ids + own
-        lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        flat = np.frombuffer(b"".join(table), np.uint32)
-        begin = np.cumsum(lengths) - lengths
-        place, of = place[keep], text_of[keep]
-        count = lengths[place]
-        total = int(count.sum())
-        shift = np.repeat(begin[place] - (np.cumsum(count) - count), count)
-        out = flat[shift + np.arange(total)] if total else np.zeros(0, np.uint32)
-        ends = np.cumsum(np.bincount(of, weights=count, minlength=n).astype(np.int64)) if n else np.zeros(0, np.int64)
-        return out, np.concatenate([[0], ends])
+        place = (np.cumsum(need) - 1)[index]
+        place[first] = [next(following) if w else len(ids) + number[t] for t, w in zip(alone, whole, strict=True)]
+        used[first] = True
+        spread = table.take(pa.array(place[used]))
+        ends = np.frombuffer(spread.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(np.where(slow, 1, size))])] // 4
+        return np.frombuffer(spread.buffers()[2] or b"", np.uint32)[:ends[-1]], ends
