@@ -159,7 +159,7 @@ class ChunkEncoder:
         used = np.repeat(~slow, size)
         used[first] = False
         need = np.zeros(len(words), bool)
-        need[index[used]] = True
+        need[index[np.flatnonzero(used)]] = True
         ids = self.chunks(words.filter(pa.array(need)))
         # each text's own: its first word, or all of it
         heads = _strings(words.take(pa.array(index[first])))
@@ -170,9 +170,9 @@ class ChunkEncoder:
         table = pa.concat_arrays([ids, self._whole(list(number)), pa.array(special, pa.large_binary())])
         following = itertools.count(len(ids) + len(number))
         # spread the distinct ids over all places
-        place = (np.cumsum(need) - 1)[index]
+        place = (np.cumsum(need) - 1).astype(np.int32)[index]
         place[first] = [next(following) if w else len(ids) + number[t] for t, w in zip(alone, whole, strict=True)]
         used[first] = True
-        spread = table.take(pa.array(place[used]))
+        spread = table.take(pa.array(place if used.all() else place[used]))
         ends = np.frombuffer(spread.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(np.where(slow, 1, size))])] // 4
         return np.frombuffer(spread.buffers()[2] or b"", np.uint32)[:ends[-1]], ends
