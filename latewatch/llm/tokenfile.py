@@ -42,7 +42,7 @@ END_ID = 0
 BLOCK = 512
 #: Text bytes encoded at once: the more, the fewer words are new to a worker again.
 SLICE = 24 << 20
-#: Pieces whose tokens are held as objects at once: few stay in the processor's cache, 4,096 took twice as long.
+#: Pieces whose tokens are held as objects at once (4,096 took twice as long).
 PIECES = 64
 MAGIC = b"WVM1"
 
