@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,66 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _places(spark: SparkSession) -> int:
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+
+
+def placed(rows: DataFrame, name: str, block: int) -> DataFrame:
+    """``rows``, of some MB each, with ``place`` (the task that wrote it) and ``chunk`` (its number); written one file a task.
+
+    What is found out about a row later can be ``brought`` to it without moving the rows.
+    """
+    rows = rows.select(F.spark_partition_id().alias("place"), F.monotonically_increasing_id().alias("chunk"), *rows.columns)
+    return _bucketed(rows, name, block)
+
+
+def _bucketed(rows: DataFrame, name: str, block: int) -> DataFrame:
+    """``rows`` as a table bucketed by place."""
+    spark = rows.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    # small row groups, checked after every row: a row is some MB
+    (rows.write.bucketBy(_places(spark), "place").option("path", scratch(spark, name)).option("compression", "zstd")
+     .option("parquet.block.size", block).option("parquet.page.size.row.check.min", 1).saveAsTable(table))
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only; its files stay
+    return found
+
+
+def _of_place(answers: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """place, all: the answers to each of its chunks."""
+    own = answers.repartition(_places(answers.sparkSession), "place").groupBy("place", "chunk").agg(F.collect_list(F.struct(*fields)).alias("one"))
+    return own.groupBy("place").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "one"))).alias("all"))
+
+
+def settled(answers: DataFrame, name: str, fields: tuple[str, ...], block: int) -> DataFrame:
+    """The answers, written by place: ``brought_from`` moves neither them nor the packs."""
+    return _bucketed(_of_place(answers, fields), name, block)
+
+
+def brought_from(packs: DataFrame, of_place: DataFrame, name: str) -> DataFrame:
+    return packs.join(of_place.hint("shuffle_hash"), "place", "left").withColumn(name, F.col("all")[F.col("chunk")]).drop("all")
+
+
+def brought(packs: DataFrame, answers: DataFrame, name: str) -> DataFrame:
+    """Each chunk with its answers (part, bucket, bits); the chunks stay where they are."""
+    return brought_from(packs, _of_place(answers, ("part", "bucket", "bits")), name)
+
+
+@contextmanager
+def frugal(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a job go when it ends, not when the driver collects its garbage,
+    and Python tasks get about ``SLICE_BYTES`` at once."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until the table has no such column (names match in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -26,7 +26,6 @@ of its own.  An empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from itertools import compress
 
@@ -35,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import brought, placed, written
 
 WIDTH = 35
 #: Text bytes of a chunk (one longer document goes whole).
@@ -219,21 +218,8 @@ def _pack(chunk_bytes: int):
 
 def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """place, chunk, ids, texts, words: the documents in chunks, one file a write task."""
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    rows = rows.mapInArrow(_pack(chunk_bytes), "ids array<long>, texts array<binary>, words long")
-    rows = rows.select(F.spark_partition_id().alias("place"), F.monotonically_increasing_id().alias("chunk"), "ids", "texts", "words")
-    name = f"chunks_{uuid.uuid4().hex}"
-    # small row groups, checked after every row: a row is some MB
-    (rows.write.bucketBy(_buckets(spark), "place").option("path", scratch(spark, "chunks")).option("compression", "zstd")
-     .option("parquet.block.size", 4 * chunk_bytes).option("parquet.page.size.row.check.min", 1).saveAsTable(name))
-    found = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the name only; its files stay
-    return found
-
-
-def _buckets(spark) -> int:
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
+    return placed(rows.mapInArrow(_pack(chunk_bytes), "ids array<long>, texts array<binary>, words long"), "chunks", 4 * chunk_bytes)
 
 
 _ASK = "place int, chunk long, part int, bucket int, blob binary, twice binary"
@@ -330,14 +316,6 @@ def _answers(asks: pa.Table, bits: list[np.ndarray]) -> pa.Table:
 _ANSWER = "place int, chunk long, part int, bucket int, bits binary, hits long"
 
 
-def _brought(packs: DataFrame, answers: DataFrame, name: str) -> DataFrame:
-    """Each chunk with its answers; the chunks stay where they are."""
-    n = _buckets(packs.sparkSession)
-    own = answers.repartition(n, "place").groupBy("place", "chunk").agg(F.collect_list(F.struct("part", "bucket", "bits")).alias("one"))
-    of_place = own.groupBy("place").agg(F.map_from_entries(F.collect_list(F.struct("chunk", "one"))).alias("all"))
-    return packs.join(of_place.hint("shuffle_hash"), "place", "left").withColumn(name, F.col("all")[F.col("chunk")]).drop("all")
-
-
 def remove_repeats(docs: DataFrame, width: int = WIDTH, per_bucket: int = PER_BUCKET, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, text (the words that stay, joined by a space), n_words, n_removed of every row of ``docs``."""
     packs = chunks(docs, chunk_bytes)
@@ -347,8 +325,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, per_bucket: int = PER_BU
     cells = written(asks.groupBy("part", "bucket").applyInArrow(_merged_sketch, _ANSWER), "cells")
     maybe = cells.where("part = 0").agg(F.sum("hits")).first()[0] or 0
     buckets = max(1, -(-maybe // per_bucket))
-    asks = _brought(packs.select("place", "chunk", "texts"), cells, "answers").select("place", "chunk", "texts", "answers").mapInArrow(_digest(width, segments, buckets), _ASK)
+    asks = brought(packs.select("place", "chunk", "texts"), cells, "answers").select("place", "chunk", "texts", "answers").mapInArrow(_digest(width, segments, buckets), _ASK)
     counted = written(asks.groupBy("bucket").applyInArrow(_counted_digests, _ANSWER), "counted")
-    both = _brought(_brought(packs, cells, "answers"), counted, "more")
+    both = brought(brought(packs, cells, "answers"), counted, "more")
     kept = both.select("ids", "texts", "answers", "more").mapInArrow(_remove(width, segments, buckets), "doc_id long, text binary, n_words long, n_removed long")
     return kept.withColumn("text", F.col("text").cast("string"))

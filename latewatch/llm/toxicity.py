@@ -10,11 +10,19 @@ evidence is the difference of its two log-likelihoods by word, over the whole te
 and over its most telling passage of ``SPAN`` words; a logistic curve turns the two into the score.  It is fitted on at
 most ``CURVE_ROWS`` training rows, by models that have not seen those.
 
-The counts that score come from all labelled training rows, summed by Spark by class
-and pair of words (their 64-bit XXH64).  The evidence of every counted word and pair is
-a written table, as large as the counts.  Documents are scored in chunks of at most
-``CHUNK`` text bytes (or one document): a chunk asks once for each of its distinct words and
-pairs, a shuffle joins these to the table, and what is found meets the chunk's texts.
+The counts that score come from all labelled training rows, by class and pair of words (their 64-bit
+XXH64), and are learnt and used in one go, so that neither the texts nor the pairs are written as rows:
+
+1. Every write task packs its documents, as numbered words, into one file (see ``placed``).  Labels come to their packs.
+2. A pack sends its distinct pairs once, as sorted 64-bit keys squeezed to their differences, with what its
+   own training rows count.  A bucket of keys adds these up and answers each pack in the order asked.
+   Buckets take turns in ``ROUNDS``, so only a part of the keys is on disk at a time.
+3. Of the packs that count a pair, one is told so; it counts the pair for its words.  Words are asked for and answered likewise.
+4. The evidence of a pack follows from the counts that came back.
+
+The counts of the curve's rows travel apart from the rest, so the models for the curve come from the same answers.
+``pair_counts``, ``weights`` and ``evidence`` do the same with a written table of the evidence of every word
+and pair, for texts that come later: chunks of at most ``CHUNK`` text bytes ask it through a shuffle.
 
 A null or empty text has no evidence and scores what the curve gives for none.
 Null ids count as the empty string in the split; null labels are not learnt from,
@@ -27,7 +35,8 @@ from __future__ import annotations
 
 import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +45,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, slices, written
+from .common import brought_from, frugal, placed, raw, settled, slices, written
 from .langid import held_out
 
-#: Text bytes that are scored together.
+#: Text bytes that are scored together by a stored table.
 CHUNK = 4 << 20
+#: Text bytes of a pack, whose distinct words and pairs ask together (one longer document goes whole).
+PACK = 14 << 20
+#: Pairs, and words, are counted in so many rounds; the shuffle of one is gone before the next.
+ROUNDS, WORD_ROUNDS = 4, 2
+#: Words of a pack whose evidence is worked out at once.
+STEP = 1 << 19
+#: Word places of all packs for each bucket of keys.
+PER_BUCKET = 1 << 21
 DISCOUNT = 0.75
 #: Pseudo-counts of the shared models in a class's words and contexts.
 SHARED, SHARED_PAIRS = 8.0, 200.0
@@ -55,9 +72,10 @@ FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 o
 def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The number of each word among the distinct ones, how many words each text has, and the distinct words' hashes (never 0)."""
     number = defaultdict(itertools.count().__next__)
-    split = [t.translate(FOLD).split() for t in texts]
-    n = np.fromiter(map(len, split), np.int64, len(split))
-    at = np.fromiter((c for ws in split for c in map(number.__getitem__, ws)), np.int64, int(n.sum()))
+    split = (t.translate(FOLD).split() for t in texts)
+    found = [np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)) for ws in split]
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    at = np.concatenate([np.zeros(0, np.int64), *found])
     ids = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number)).view(np.int64)
     return at, n, np.where(ids == 0, 1, ids)
 
@@ -173,10 +191,8 @@ def told(texts: list[bytes], first: np.ndarray, second: np.ndarray, x: np.ndarra
     first, second, x, y: the rows of ``weights`` for the texts' words and pairs.
     """
     at, n, ids = numbered(texts)
-    out = np.zeros((len(texts), 2))
-    some = n > 0
-    if not some.any():
-        return out
+    if not len(at):
+        return np.zeros((len(texts), 2))
     word = second == 0
     as_second, as_first = (_looked_up(first[word], v[word], ids) for v in (x, y))
     order = np.argsort(ids, kind="stable")
@@ -185,12 +201,21 @@ def told(texts: list[bytes], first: np.ndarray, second: np.ndarray, x: np.ndarra
     pair = _looked_up(number(first[~word]) << 31 | number(second[~word]), x[~word], at[later - 1] << 31 | at[later])
     difference = as_second[at]
     difference[later] += as_first[at[later - 1]] + pair
+    return _passages(difference, n)
+
+
+def _passages(difference: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of each text, whose n words tell ``difference``: the mean over all, and over the most telling passage."""
+    out = np.zeros((len(n), 2))
+    some = n > 0
+    if not some.any():
+        return out
     n = n[some]
     starts = np.cumsum(n) - n
     out[some, 0] = np.add.reduceat(difference, starts) / n
     # passages of SPAN words (or the whole of a shorter text) that end at each word
     run = np.concatenate([[0], np.cumsum(difference)])
-    place, length = np.arange(len(at)), np.repeat(np.minimum(SPAN, n), n)
+    place, length = np.arange(len(difference)), np.repeat(np.minimum(SPAN, n), n)
     whole = place + 1 - np.repeat(starts, n) >= length
     mean = np.where(whole, (run[place + 1] - run[np.maximum(place + 1 - length, 0)]) / length, -np.inf)
     out[some, 1] = np.maximum.reduceat(mean, starts)
@@ -237,14 +262,14 @@ class Curve:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) that have a label, with it."""
+    """The rows of ``docs`` whose doc_id has a label, with it."""
     given = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(F.col(label).cast("int")).alias(label))
     given = given.hint("merge")  # the same plan at every size: label tables outgrow a broadcast
-    return docs.join(given, docs["doc_id"] == given["__id"]).select("doc_id", "text", label)
+    return docs.join(given, docs["doc_id"] == given["__id"]).select(*docs.columns, label)
 
 
 def split(rows: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, text, toxic) with ``curve``: whether the row is one of those for the curve.
+    """``rows`` with ``curve``: whether the row is one of those for the curve.
 
     Those are at most ``CURVE_ROWS`` of a fifth of the rows: whose ids hash lowest.
     """
@@ -256,16 +281,297 @@ def split(rows: DataFrame) -> DataFrame:
     return rows.withColumn("curve", part)
 
 
-def fit(docs: DataFrame, labels: DataFrame):
-    """The table of ``weights`` and the curve, learnt from the labelled rows that are not held out.
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, in the fewest bytes, plane by plane: equal bytes cost little."""
+    values = values.ravel()
+    values = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return len(values).to_bytes(8, "little") + bytes([values.itemsize]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> np.ndarray:
+    """The numbers, unsigned and as narrow as they were sent."""
+    n, size = int.from_bytes(blob[:8], "little"), blob[8]
+    if not n:
+        return np.zeros(0, np.uint8)
+    planes = np.frombuffer(pa.decompress(blob[9:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(f"<u{size}").ravel()
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs of word hashes."""
+    u = np.uint64
+    key = first * u(0x9E3779B97F4A7C15) ^ (second ^ second >> u(31)) * u(0xC2B2AE3D27D4EB4F)
+    key = (key ^ key >> u(32)) * u(0xFF51AFD7ED558CCD)
+    return key ^ key >> u(29)
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key; rises with the key."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _least(bucket: int, buckets: int) -> np.uint64:
+    """The least key of a bucket."""
+    return np.uint64(-(-(bucket << 32) // buckets) << 32)
+
+
+def _inside_buckets(keys: np.ndarray, lo: int, hi: int, buckets: int) -> np.ndarray:
+    inside = keys >= _least(lo, buckets)
+    return inside & (keys < _least(hi, buckets)) if hi < buckets else inside
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
+
+
+def _packed(limit: int):
+    """Documents in rows of about ``limit`` text bytes, as numbers of their distinct words, the most frequent first."""
+    def row(ids: list[pa.Array], texts: list[bytes]) -> pa.RecordBatch:
+        at, n, words = numbered(texts)
+        words = words.view(np.uint64)
+        order = np.lexsort((words, -np.bincount(at, minlength=len(words))))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        values = [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pa.concat_arrays(ids)), squeezed(n), squeezed(np.diff(words[order], prepend=np.uint64(0))), squeezed(rank[at]), len(at)]
+        return pa.RecordBatch.from_arrays([values[0], *[pa.array([v]) for v in values[1:]]], names=["ids", "lengths", "words", "numbers", "places"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, held = [], [], 0
+        for batch in batches:
+            for part in slices(batch, limit=max(1, limit // 8)):
+                more = raw(part.column("text"))
+                size = sum(map(len, more))
+                if texts and held + size > limit:
+                    yield row(ids, texts)
+                    ids, texts, held = [], [], 0
+                ids.append(part.column("doc_id"))
+                texts += more
+                held += size
+        if texts:
+            yield row(ids, texts)
+    return run
+
+
+class Pack:
+    """The texts of a pack, the keys of their pairs, and how each text counts: 0 and 1 by class, 2 and 3 in the curve's rows, -1 not."""
+
+    def __init__(self, row: dict) -> None:
+        self.n = unsqueezed(row["lengths"].as_py()).astype(np.int64)
+        self.words = np.cumsum(unsqueezed(row["words"].as_py()), dtype=np.uint64)
+        self.at = unsqueezed(row["numbers"].as_py()).astype(np.int32)
+        self.curve, self.toxic = np.zeros(len(self.n), bool), np.full(len(self.n), -1)
+        if row["marks"].is_valid:
+            pos, toxic, curve = (row["marks"].values.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "toxic", "curve"))
+            self.curve[pos], self.toxic[pos] = curve, toxic
+        later = np.ones(len(self.at), bool)
+        later[(np.cumsum(self.n) - self.n)[self.n > 0]] = False
+        later = later[1:]
+        self.first, self.second = self.at[:-1][later], self.at[1:][later]
+        self.of = np.repeat(np.arange(len(self.n), dtype=np.int32), np.maximum(self.n - 1, 0))
+        self.kind = np.where((self.toxic == 0) | (self.toxic == 1), 2 * self.curve + self.toxic, -1).astype(np.int8)[self.of]
+        self.keys = np.empty(len(self.first), np.uint64)
+        for lo in range(0, len(self.keys), STEP):  # few at once
+            part = slice(lo, lo + STEP)
+            self.keys[part] = pair_keys(self.words[self.first[part]], self.words[self.second[part]])
+
+    def pair_asks(self, lo: int, hi: int, buckets: int) -> pa.RecordBatch:
+        """Distinct pairs of the buckets from lo to hi, with the counts of each kind."""
+        inside = _inside_buckets(self.keys, lo, hi, buckets)
+        keys, kind = self.keys[inside], self.kind[inside]
+        distinct = _distinct(keys)
+        counts = [np.bincount(np.searchsorted(distinct, keys[kind == k]), minlength=len(distinct)) for k in range(4)]
+        return _asks(distinct, np.stack(counts), buckets)
+
+    def pairs_answered(self, answers: list[pa.Scalar]) -> None:
+        """counts: of each distinct pair by kind, and whether this pack counts it for its words; place: of each pair in it."""
+        self.counts, self.place = _answered(answers, 5), np.empty(len(self.keys), np.int32)
+        order = np.argsort(self.keys)
+        keys = self.keys[order]
+        self.place[order] = np.cumsum(np.r_[True, keys[1:] != keys[:-1]][:len(keys)], dtype=np.int32) - 1
+        del self.keys  # no longer needed, and large
+
+    def word_asks(self, lo: int, hi: int, buckets: int) -> pa.RecordBatch:
+        """Of each word of the buckets from lo to hi: how often first, by kind; in how many pairs first, and second, by class, without the curve's rows and only with them."""
+        own = np.flatnonzero(self.kind >= 0)
+        place = self.place[own]
+        first, second = np.zeros((2, self.counts.shape[1]), np.int32)
+        first[place], second[place] = self.first[own], self.second[own]
+        of = lambda words: np.bincount(words, minlength=len(self.words))
+        before = [of(self.first[self.kind == k]) for k in range(4)]
+        counting = np.flatnonzero(self.counts[4])
+        rest, own = np.split(self.counts[:4, counting] > 0, 2)
+        counted = [counting[x] for x in (*rest, *(own & ~rest))]
+        order = np.argsort(self.words, kind="stable")
+        order = order[_inside_buckets(self.words[order], lo, hi, buckets)]
+        return _asks(self.words[order], np.stack([*before, *[of(side[c]) for side in (first, second) for c in counted]])[:, order], buckets)
+
+    def words_answered(self, answers: list[pa.Scalar]) -> None:
+        order = np.argsort(self.words, kind="stable")
+        self.known = np.zeros((12, len(self.words)), np.int64)
+        self.known[:, order] = _answered(answers, 13)[:12]
+        self.known[:4] += self.known[4:8]
+
+    def evidence(self, fit: int, sums: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Whole and passage of the texts ``docs`` by the counts of a fit (0: without the curve's rows, 1: all); sums: of ``known``, and both numbers of words."""
+        n = self.n[docs]
+        if not ready(fit, sums) or not n.any():
+            return np.zeros((len(n), 2))
+        before, types, after = (_of_fit(x, fit) for x in np.split(self.known, 3))
+        total, size = _of_fit(sums[8:12], fit).astype(float), sums[12 + fit]
+        shared = after[0] + after[1]
+        departs = [(after[c] + SHARED) / (shared * (total[c] / total.sum()) + SHARED) for c in (0, 1)]
+        mass = [np.minimum(DISCOUNT * types[c], before[c]) + SHARED_PAIRS for c in (0, 1)]
+        back = [np.log(mass[c] / (before[c] + SHARED_PAIRS)) for c in (0, 1)]
+        alone, lead = np.log(departs[1] / departs[0]), back[1] - back[0]
+        chosen = np.zeros(len(self.n), bool)
+        chosen[docs] = True
+        at, own = self.at if chosen.all() else self.at[np.repeat(chosen, self.n)], np.flatnonzero(chosen[self.of])
+        place = self.place[own]
+        # each distinct pair that is counted, by one of its places
+        a, b = np.zeros((2, self.counts.shape[1]), np.int32)
+        a[place], b[place] = self.first[own], self.second[own]
+        met = np.zeros(self.counts.shape[1], bool)
+        met[place] = True
+        some = np.flatnonzero(met & self.counts[:2 + 2 * fit].any(0))
+        p, a, b = _of_fit(self.counts[:4, some].astype(np.int64), fit), a[some], b[some]
+        both = (np.maximum(p.sum(0) - DISCOUNT, 0) + DISCOUNT * (types[0] + types[1])[a] * ((shared + 1) / (total.sum() + size))[b]) / (before[0] + before[1])[a]
+        tells = [np.log1p(np.maximum(p[c] - DISCOUNT, 0) / (mass[c][a] * both * departs[c][b])) for c in (0, 1)]
+        pair = np.zeros(self.counts.shape[1])
+        pair[some] = tells[1] - tells[0]
+        difference = alone[at]
+        difference[_inside(n)] += lead[self.first[own]] + pair[place]
+        return _passages(difference, n)
+
+
+def ready(fit: int, sums: np.ndarray) -> bool:
+    """Whether a fit has pairs of both classes."""
+    return bool((_of_fit(sums[:4], fit) > 0).all())
+
+
+def _of_fit(kinds: np.ndarray, fit: int) -> np.ndarray:
+    """Counts by class from those by kind."""
+    return kinds[:2] + kinds[2:] if fit else kinds[:2]
+
+
+def _asks(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket; keys: distinct, ascending."""
+    bucket = _bucket(keys, buckets)
+    cuts = [*np.flatnonzero(np.r_[len(keys) > 0, bucket[1:] != bucket[:-1]]).tolist(), len(keys)] if len(keys) else [0]
+    spans = list(zip(cuts, cuts[1:]))
+    sent = [squeezed(np.diff(keys[lo:hi], prepend=np.uint64(0))) for lo, hi in spans], [squeezed(counts[:, lo:hi]) for lo, hi in spans]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]].astype(np.int32)), *[pa.array(x, pa.binary()) for x in sent]], names=["bucket", "keys", "counts"])
+
+
+def _answered(answers: list[pa.Scalar], rows: int) -> np.ndarray:
+    """What came back for a pack's keys in all rounds, in ascending order."""
+    bits = {b: x for a in answers if a.is_valid for b, x in zip(a.values.field("bucket").to_pylist(), a.values.field("bits"), strict=True)}
+    return np.concatenate([np.zeros((rows, 0), np.uint8), *[unsqueezed(bits[b].as_py()).reshape(rows, -1) for b in sorted(bits)]], axis=1)
+
+
+def _summed(asks: pa.Table) -> pa.Table:
+    """Each ask of a bucket with the sums of its keys, and for each key whether it is the first that counts it.
+
+    sums: once a bucket, of all distinct keys; and how many of these are words that the first fit knows, and the second.
+    """
+    found = [np.cumsum(unsqueezed(x.as_py()), dtype=np.uint64) for x in asks.column("keys")]
+    counts = [unsqueezed(x.as_py()).reshape(-1, len(k)) for x, k in zip(asks.column("counts"), found, strict=True)]
+    sizes = [len(k) for k in found]
+    keys, counts = np.concatenate(found), np.concatenate(counts, axis=1)
+    distinct = _distinct(keys)
+    place = np.searchsorted(distinct, keys)
+    total = np.zeros((len(counts), len(distinct)), np.int64)
+    mine = np.zeros(len(keys), bool)
+    some = np.flatnonzero(counts.any(0))
+    for row, own in zip(total, counts):
+        np.add.at(row, place[some], own[some].astype(np.int64))
+    mine[some[np.unique(place[some], return_index=True)[1]]] = True
+    sums = total.sum(1).tolist()
+    if len(total) == 12:  # words
+        sums += [int(_of_fit(total[4:8] + total[8:], f).any(0).sum()) for f in (0, 1)]
+        total[:4] -= total[4:8]  # how often beyond once a pair: mostly 0
+    cuts = np.cumsum([0, *sizes])
+    bits = [squeezed(np.vstack([total[:, place[lo:hi]], mine[None, lo:hi]])) for lo, hi in zip(cuts, cuts[1:])]
+    out = asks.select(["place", "chunk", "bucket"]).append_column("bits", pa.array(bits, pa.binary()))
+    return out.append_column("sums", pa.array([sums, *[None] * (len(bits) - 1)], pa.list_(pa.int64())))
+
+
+def _by_pack(does):
+    """``does`` for each row of packs: its columns by name to a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield does({n: batch.column(n)[i] for n in batch.schema.names})
+                pa.default_memory_pool().release_unused()
+    return run
+
+
+def _sent(row: dict, asks: pa.RecordBatch) -> pa.RecordBatch:
+    own = [pa.array([row[c].as_py()] * asks.num_rows, t) for c, t in (("place", pa.int32()), ("chunk", pa.int64()))]
+    return pa.RecordBatch.from_arrays([*own, *asks.columns], names=["place", "chunk", *asks.schema.names])
+
+
+_ASK = "place int, chunk long, bucket int, keys binary, counts binary"
+_ANSWER = "place int, chunk long, bucket int, bits binary, sums array<long>"
+_TEXTS = ("place", "chunk", "lengths", "words", "numbers", "marks")
+
+
+def learnt(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Curve]:
+    """doc_id, whole, passage of every row of ``docs`` (doc_id, text), and the curve; learnt from the labelled rows that are not held out.
 
-    The curve sees evidence by counts without the curve's rows; the table returned counts all.
+    The curve sees evidence by counts without the curve's rows; what is returned counts all.
     """
-    rows = split(written(labelled(docs.where(~held_out()), labels.where(~held_out()), "toxic"), "toxic-rows"))
-    rest, own = (written(pair_counts(rows.where(F.col("curve") == mine)), "pairs") for mine in (False, True))
-    found = evidence(rows.where("curve").select("text", "toxic"), weights(rest)).toPandas()
-    every = written(rest.unionByName(own).groupBy("toxic", "first", "second").agg(F.sum("n").alias("n")), "pairs")
-    return weights(every), Curve(found[["whole", "passage"]].to_numpy(), found["toxic"].to_numpy(np.float64))
+    texts = placed(docs.mapInArrow(_packed(PACK), "ids array<long>, lengths binary, words binary, numbers binary, places long"), "packs", PACK)
+    ids = texts.select("place", "chunk", F.posexplode("ids").alias("pos", "doc_id"))
+    rows = written(labelled(ids.where(~held_out()), labels.where(~held_out()), "toxic"), "toxic-rows")
+    packs = brought_from(texts, settled(split(rows), "marks", ("pos", "toxic", "curve"), PACK), "marks").select("ids", *_TEXTS)
+    places = texts.agg(F.sum("places")).first()[0] or 0
+    buckets = max(1, -(-places // PER_BUCKET))
+
+    def answered(packs: DataFrame, name: str, rounds: int, asks: Callable[[dict, int, int], pa.RecordBatch]) -> list[DataFrame]:
+        """The answers to what packs ask about the buckets of each round, by place."""
+        cuts = [turn * buckets // min(rounds, buckets) for turn in range(min(rounds, buckets) + 1)]
+        sent = [packs.mapInArrow(_by_pack(lambda r, lo=lo, hi=hi: _sent(r, asks(r, lo, hi))), _ASK) for lo, hi in zip(cuts, cuts[1:])]
+        return [settled(x.groupBy("bucket").applyInArrow(_summed, _ANSWER), name, ("bucket", "bits", "sums"), PACK) for x in sent]
+
+    def with_pairs(r: dict) -> Pack:
+        pack = Pack(r)
+        pack.pairs_answered([r[c] for c in names])
+        return pack
+
+    pairs = answered(packs.select(*_TEXTS), "pairs", ROUNDS, lambda r, lo, hi: Pack(r).pair_asks(lo, hi, buckets))
+    names = [f"pairs{turn}" for turn in range(len(pairs))]
+    for name, own in zip(names, pairs, strict=True):
+        packs = brought_from(packs, own, name)
+    words = answered(packs.select(*_TEXTS, *names), "words", WORD_ROUNDS, lambda r, lo, hi: with_pairs(r).word_asks(lo, hi, buckets))
+    known = [f"words{turn}" for turn in range(len(words))]
+    for name, own in zip(known, words, strict=True):
+        packs = brought_from(packs, own, name)
+    found = reduce(DataFrame.unionByName, words).select(F.explode(F.map_values("all")).alias("one")).select(F.explode("one.sums").alias("sums")).select(F.posexplode("sums"))
+    found = found.groupBy("pos").agg(F.sum("col")).orderBy("pos").collect()
+    sums = np.array([x[1] for x in found] or [0] * 14)
+
+    def evidence_of(r: dict, fit: int, curve: bool) -> tuple[Pack, np.ndarray, np.ndarray]:
+        pack = with_pairs(r)
+        docs = np.flatnonzero(pack.curve) if curve else np.arange(len(pack.n))
+        if ready(fit, sums) and len(docs):
+            pack.words_answered([r[c] for c in known])
+            steps = np.cumsum(pack.n[docs]) // STEP  # few words at once
+            return pack, docs, np.concatenate([pack.evidence(fit, sums, x) for x in np.split(docs, np.flatnonzero(np.diff(steps)) + 1)])
+        return pack, docs, np.zeros((len(docs), 2))
+
+    def for_curve(r: dict) -> pa.RecordBatch:
+        pack, docs, got = evidence_of(r, 0, True)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (got[:, 0], got[:, 1], pack.toxic[docs].astype(np.int32))], names=["whole", "passage", "toxic"])
+
+    def for_all(r: dict) -> pa.RecordBatch:
+        got = evidence_of(r, 1, False)[2]
+        return pa.RecordBatch.from_arrays([r["ids"].values, pa.array(got[:, 0]), pa.array(got[:, 1])], names=["doc_id", "whole", "passage"])
+
+    seen = packs.select(*_TEXTS, *names, *known).mapInArrow(_by_pack(for_curve), "whole double, passage double, toxic int").toPandas()
+    curve = Curve(seen[["whole", "passage"]].to_numpy(), seen["toxic"].to_numpy(np.float64))
+    return written(packs.select("ids", *_TEXTS, *names, *known).mapInArrow(_by_pack(for_all), "doc_id long, whole double, passage double"), "evidence"), curve
 
 
 def _scored(curve: Curve):
@@ -279,5 +585,6 @@ def _scored(curve: Curve):
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``; labels: doc_id, toxic."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    table, curve = fit(docs, labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")))
-    return evidence(docs.withColumn("held_out", held_out()), table).mapInArrow(_scored(curve), "doc_id long, held_out boolean, score double, predicted int")
+    with frugal(docs.sparkSession):
+        found, curve = learnt(docs, labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")))
+    return found.withColumn("held_out", held_out()).mapInArrow(_scored(curve), "doc_id long, held_out boolean, score double, predicted int")

@@ -234,6 +234,36 @@ def test_evidence_against_brute_force_over_many_pairs(spark, monkeypatch):
         assert np.allclose(got[i], want, atol=1e-6), (i, got[i], want)
 
 
+def test_counts_that_come_back_tell_what_the_table_tells(spark, monkeypatch):
+    """Packs, buckets and rounds give the evidence of the written table, and the curve that of the rows it is fitted on."""
+    rng = np.random.default_rng(5)
+    words = [f"v{k}" for k in range(300)]
+    data = [(i % 380 if i % 50 else None, " ".join(rng.choice(words, rng.integers(0, 30), p=np.arange(300, 0, -1) / 45150)) if i % 21 else None) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(7, 1), (8, None), (None, 1)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "PACK", 2000)
+    monkeypatch.setattr(toxicity, "PER_BUCKET", 500)
+    found, curve = toxicity.learnt(docs, labels)
+    train = toxicity.split(toxicity.labelled(docs.where(~langid.held_out()), labels, "toxic"))
+    table, without = (toxicity.weights(toxicity.pair_counts(x)) for x in (train, train.where("not curve")))
+    near = lambda df: sorted((-1 if r["doc_id"] is None else r["doc_id"], round(r["whole"], 9), round(r["passage"], 9)) for r in rows(df))
+    assert np.allclose(near(found), near(toxicity.evidence(docs, table)), atol=1e-8)
+    seen = toxicity.evidence(train.where("curve").select("text", "toxic"), without).toPandas()
+    own = toxicity.Curve(seen[["whole", "passage"]].to_numpy(), seen["toxic"].to_numpy(float))
+    assert own.ready and np.allclose(own.w, curve.w) and np.allclose(own.mean, curve.mean)
+
+
+def test_toxicity_writes_neither_texts_nor_a_row_a_pair(spark, tmp_path, monkeypatch):
+    """What scoring keeps on disk is a small part of what a row a pair took."""
+    rng = np.random.default_rng(6)
+    data = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 200) % 20_000)) for i in range(1500)]
+    docs, labels = spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(1500)], "doc_id long, toxic int")
+    monkeypatch.setattr("latewatch.llm.common.scratch_path", lambda _, name: f"{tmp_path}/{name}-{rng.integers(1 << 60)}")
+    assert toxicity.score(docs.coalesce(2), labels).count() == 1500
+    pairs = sum(len(t.split()) - 1 for _, t in data)
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 6 * pairs
+
+
 def test_toxicity_of_odd_rows(spark, tables):
     docs = documents(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (99, 1), (1, 0)], "doc_id long, toxic int")
