@@ -51,7 +51,7 @@ from .langid import held_out
 #: Text bytes that are scored together by a stored table.
 CHUNK = 4 << 20
 #: Text bytes of a pack, whose distinct words and pairs ask together (one longer document goes whole).
-PACK = 14 << 20
+PACK = 10 << 20
 #: Pairs, and words, are counted in so many rounds; the shuffle of one is gone before the next.
 ROUNDS, WORD_ROUNDS = 4, 2
 #: Words of a pack whose evidence is worked out at once.
