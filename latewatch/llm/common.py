@@ -9,7 +9,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -27,13 +27,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, compression: str = "zstd", block: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors.
+
+    ``block``: for rows of some MB each, the bytes of a row group.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write.option("compression", compression)
+    (_small_groups(writer, block) if block else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _small_groups(writer: DataFrameWriter, block: int) -> DataFrameWriter:
+    """Small row groups, checked after every row: a row is some MB."""
+    return writer.option("parquet.block.size", block).option("parquet.page.size.row.check.min", 1)
+
+
 def _places(spark: SparkSession) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
 
@@ -51,9 +60,7 @@ def _bucketed(rows: DataFrame, name: str, block: int) -> DataFrame:
     """``rows`` as a table bucketed by place."""
     spark = rows.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
-    # small row groups, checked after every row: a row is some MB
-    (rows.write.bucketBy(_places(spark), "place").option("path", scratch(spark, name)).option("compression", "zstd")
-     .option("parquet.block.size", block).option("parquet.page.size.row.check.min", 1).saveAsTable(table))
+    _small_groups(rows.write.bucketBy(_places(spark), "place").option("path", scratch(spark, name)).option("compression", "zstd"), block).saveAsTable(table)
     found = spark.table(table)
     spark.sql(f"DROP TABLE {table}")  # the name only; its files stay
     return found

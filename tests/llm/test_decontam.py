@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pyarrow.parquet as pq
 import pytest
 
 from latewatch.llm import decontam
@@ -62,3 +63,23 @@ def test_clean_and_empty(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect() if not brute(r.text, ITEMS)[-1]}
     assert decontam.judge(docs.where("false"), items).count() == 0
     assert not any(r["contaminated"] or r["n_items"] for r in rows(decontam.judge(docs, items.where("false"))))
+
+
+def python_steps(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+
+def test_one_python_worker_a_task(spark):
+    docs, items = documents(spark, TEXTS), spark.createDataFrame([(i, t) for i, t in ITEMS], "item_id long, text string")
+    assert python_steps(decontam.judge(docs, items)) == 1
+    assert python_steps(decontam.judge(docs, items.where("false"))) == 1
+    assert python_steps(decontam.clean(docs, items)) == 0  # the search is over before texts are shuffled
+
+
+def test_index_in_small_row_groups(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "INDEX_BLOCK", 1 << 10)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    index = decontam.build_index(documents(spark, [" ".join(f"a{n}x{i}" for i in range(1000)) for n in range(6)]).coalesce(1), shard_words=1000)
+    groups = [g for f in index.inputFiles() for g in [pq.ParquetFile(f.removeprefix("file://")).metadata] if g.num_rows]
+    assert sum(g.num_rows for g in groups) == 6 and all(g.num_row_groups == g.num_rows for g in groups)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
