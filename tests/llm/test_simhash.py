@@ -98,3 +98,55 @@ def test_keep_first(spark):
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {4, 3, 1}
+
+
+def test_fingerprints_of_many_texts_at_once():
+    rng = np.random.default_rng(9)
+    parts = ["a", "B", "word", "WORD", "é", "漢字", " ", "x" * 45, "Y" * 700, "\x1c", "\x00", " ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", " one two three four five "]
+    for shingle in (1, 3, 4):
+        texts = ["".join(rng.choice(parts, int(rng.integers(0, 60)))) for _ in range(120)] + ["", " \n", "lone", "a b c d", " ".join(f"w{i}" for i in range(3000))]
+        assert simhash.fingerprinted([t.encode() for t in texts], shingle).tolist() == [brute_fp(t, shingle) for t in texts]
+    assert len(simhash.fingerprinted([])) == 0
+
+
+def test_hashes_of_every_length():
+    data = np.random.default_rng(4).integers(0, 256, 700, dtype=np.uint8)
+    at = np.arange(200)
+    for length in [*range(0, 100), 255, 256, 480]:
+        assert simhash.xxh64(data, at, length).tolist() == [xxhash.xxh64_intdigest(data[a:a + length].tobytes(), 42) for a in at.tolist()]
+
+
+def near_copies(n, bits, seed):
+    rng = np.random.default_rng(seed)
+    flips = np.array([sum(1 << int(b) for b in rng.choice(64, bits, replace=False)) for _ in range(n)], np.uint64)
+    return np.unique(flips ^ np.uint64(0x123456789ABCDEF))
+
+
+def test_spanning_edges_against_all_pairs():
+    rng = np.random.default_rng(8)
+    for n, near, bits in ((1, 2, 1), (30, 60, 3), (300, 200, 5), (5, 400, 7)):
+        fps = np.unique(np.concatenate([rng.integers(0, 1 << 63, n).astype(np.uint64), near_copies(near, bits, n)]))
+        for part in (None, rng.integers(0, 2, len(fps)), (np.arange(len(fps)) < 3).astype(int), np.zeros(len(fps), int)):
+            a, b = np.nonzero(np.bitwise_count(fps[:, None] ^ fps) <= 4)
+            apart = slice(None) if part is None else part[a] != part[b]
+            want = simhash.forest(np.arange(len(fps)), a[apart], b[apart])
+            for at_once in (50, 1 << 18):
+                assert (simhash.spanning(fps, part, 4, at_once) == want).all()
+            u, v = simhash.leaf_links(fps[:16], np.array([len(fps[:16])]), np.full(len(fps[:16]), -1) if part is None else part[:16], 4)
+            first = np.nonzero((a < 16) & (b < 16) & (True if part is None else part[a] != part[b]))[0]
+            assert len(u) == len(v) == np.count_nonzero(simhash.forest(np.arange(len(fps[:16])), a[first], b[first]) != np.arange(len(fps[:16])))
+
+
+def test_near_copies_are_not_compared_by_the_square(monkeypatch):
+    asked = []
+    pairs = simhash.GrayIndex.pairs
+    monkeypatch.setattr(simhash.GrayIndex, "pairs", lambda self, queries, *a: asked.append(len(queries) * len(self.fps)) or pairs(self, queries, *a))
+    fps = near_copies(3000, 3, 1)
+    u, _ = simhash.links_of(fps, None, 4)
+    assert len(u) == len(fps) - 1
+    assert sum(asked) < len(fps) ** 2 / 8
+
+
+def test_few_keys_a_fingerprint():
+    """A key is a row to shuffle, while some hundred fingerprints of a key are compared in less time."""
+    assert simhash.n_blocks(3_000_000) == 5 and simhash.n_blocks(20_000_000) == 6
