@@ -41,6 +41,8 @@ from .common import slices
 NEVER = 1 << 60
 #: Token pairs that a worker remembers.
 PAIRS = 400_000
+#: Steps of the automaton that a worker holds, those past failed ones among them.
+STEPS = 400_000
 #: Words of one trie.
 RUN = 65_536
 #: Text bytes encoded at once.
@@ -165,8 +167,8 @@ class TrieEncoder:
         Sorted words and the length of the prefix that each shares with the one before are the trie: a walk
         goes back to that prefix and down the rest.  The lists hold the path, a place for each prefix.
         """
-        known, steps, fall, ends, together = self._known, self.v._step, self.v._fall, self.v.ends, self.v.go_together
-        last, size, states = [0], [0], [0]  # of the path's prefixes: their last tokens, how long those are, the automaton's states
+        known, steps, fall, ends, together, packed = self._known, self.v._step, self.v._fall, self.v.ends, self.v.go_together, self.v.packed
+        last, coded, states = [0], [b""], [0]  # of the path's prefixes: their last tokens, their ids, the automaton's states
         before = b""
         for number in numbers:
             word = words[number]
@@ -175,14 +177,19 @@ class TrieEncoder:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1:], size[shared + 1:], states[shared + 1:]
+            del last[shared + 1:], coded[shared + 1:], states[shared + 1:]
             state = states[shared]
             for n, b in enumerate(word[shared:], shared + 1):
-                found = steps.get(state << 8 | b)
-                while found is None and state:
-                    state = fall[state]
-                    found = steps.get(state << 8 | b)
-                state = found or 0
+                key = state << 8 | b
+                found = steps.get(key)
+                if found is None:
+                    while found is None and state:
+                        state = fall[state]
+                        found = steps.get(state << 8 | b)
+                    found = found or 0
+                    if len(steps) < STEPS:  # the next time it is one step
+                        steps[key] = found
+                state = found
                 for token, length in ends[state]:
                     if length == n:
                         break
@@ -197,18 +204,11 @@ class TrieEncoder:
                 else:
                     raise ValueError("the vocabulary lacks a byte")
                 last.append(token)
-                size.append(length)
+                coded.append(coded[n - length] + packed[token])
                 states.append(state)
-            out[number] = self._read(last, size)
+            out[number] = coded[-1]
             before = word
 
-    def _read(self, last: list[int], size: list[int]) -> bytes:
-        ids, n, packed = [], len(last) - 1, self.v.packed
-        while n:
-            ids.append(packed[last[n]])
-            n -= size[n]
-        return b"".join(reversed(ids))
-
 
 class Codec:
     """Encoding and decoding of whole texts; kept by the worker between tasks."""
