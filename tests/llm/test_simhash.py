@@ -150,3 +150,12 @@ def test_near_copies_are_not_compared_by_the_square(monkeypatch):
 def test_few_keys_a_fingerprint():
     """A key is a row to shuffle, while some hundred fingerprints of a key are compared in less time."""
     assert simhash.n_blocks(3_000_000) == 5 and simhash.n_blocks(20_000_000) == 6
+
+
+def test_large_keys_merged_or_broadcast(spark, monkeypatch):
+    fps = near_copies(400, 3, 6)
+    frame = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long").repartition(3)
+    for most in (0, 1 << 16):
+        monkeypatch.setattr(simhash, "LARGE_KEYS", most)
+        found = rows(simhash.components(simhash.edges(frame, len(fps), slice_rows=50)))
+        assert {r["root"] for r in found} == {int(fps.view(np.int64).min())} and len({r["node"] for r in found} | {r["root"] for r in found}) == len(fps)
